@@ -417,30 +417,10 @@ def export_summary(bed: Bed) -> DataFrame:
 _LOG_ROW = f"{ts('snapshot_id')}, {ts('record_timestamp')}, triggered_by, status, notes"
 
 
-@check("O01", REPORT_CTES + f"""SELECT {_TIMES_SQL}, owner_id, total_score,
-row_number() OVER (ORDER BY record_timestamp DESC, total_score DESC, owner_id NULLS FIRST) AS position FROM report""")
+@check("O01", REPORT_CTES + f"SELECT {_TIMES_SQL}, owner_id, total_score FROM report")
 def report_order(bed: Bed) -> DataFrame:
-    """The report's order, made visible as a position within each load time."""
     rows = _owner_rows(bed).select("snapshot_id", "record_timestamp", "owner_id", "total_score")
-    ordered = history.report_order(rows).select("*", F.monotonically_increasing_id().alias("_at"))
-    return _positions(ordered)
-
-
-def _positions(ordered: DataFrame) -> DataFrame:
-    """Position of each row: rows of earlier partitions plus the place in its own."""
-    at = F.col("_at")
-    part, place = F.shiftright(at, 33), at.bitwiseAND((1 << 33) - 1)
-    rows = ordered.withColumns({"_part": part, "_place": place})
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    later = sizes.select(F.col("_part").alias("_p"), "_n")
-    offsets = (
-        sizes.select("_part").join(later, F.col("_p") < F.col("_part"), "left")
-        .groupBy("_part").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_before"))
-    )
-    return rows.join(offsets, "_part").select(
-        "snapshot_id", "record_timestamp", "owner_id", "total_score",
-        (F.col("_before") + F.col("_place") + 1).alias("position"),
-    )
+    return history.report_order(rows)
 
 
 @check("O02", f"SELECT {_LOG_ROW} FROM (SELECT * FROM registry WHERE status = 'started' ORDER BY record_timestamp DESC LIMIT 1) t")
