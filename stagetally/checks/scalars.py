@@ -170,13 +170,17 @@ def file_date(bed: Bed) -> DataFrame:
     return bed.table("orders").select(F.col("o_orderkey").alias("k"), snapshots.file_date(name).alias("file_date"))
 
 
-def event_payloads(bed: Bed) -> DataFrame:
-    """Queue messages built from events: base64, plain JSON, broken JSON, noise."""
+def event_payloads(bed: Bed, rescore: bool = False) -> DataFrame:
+    """Queue messages built from events: base64, plain JSON, broken JSON, noise.
+
+    With ``rescore`` the sign-up events ask for all snapshots to be scored.
+    """
     key = F.col("event_id")
     year = F.make_date((key % 7 + 1995).cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
     kind = (
         F.when(F.col("event_type") == "purchase", "crm.snapshot.completed")
         .when(F.col("event_type") == "error", "crm.snapshot.failed")
+        .when((F.col("event_type") == "signup") & F.lit(rescore), "crm.rescore.all")
         .otherwise(F.concat(F.lit("crm."), F.col("event_type")))
     )
     body = F.to_json(

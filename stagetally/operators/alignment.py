@@ -65,7 +65,7 @@ def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return literal_table(
         spark,
         [(f.name, f.dataType.simpleString()) for f in schema],
-        T.StructType.fromDDL("field string, type string"),
+        "field string, type string",
     )
 
 
@@ -94,5 +94,5 @@ def required_tables_present(spark: SparkSession, present: list[str], required: l
     return literal_table(
         spark,
         [(t, t in present) for t in required],
-        T.StructType.fromDDL("table string, present boolean"),
+        "table string, present boolean",
     )

@@ -129,7 +129,7 @@ def orphan_values(tables: Tables) -> DataFrame:
             wanted.add((label, target, target_field))
     if not facts:
         schema = "table string, field string, target string, value string, n bigint"
-        return _union([], schema=T.StructType.fromDDL(schema))
+        return _union([], schema=schema)
     for label, target, target_field in sorted(wanted):
         keys.append(
             tables[target].select(F.lit(label).alias("target"), F.col(target_field).alias("value"))
@@ -389,7 +389,7 @@ def recommendations(issues: DataFrame) -> DataFrame:
     advice = literal_table(
         spark,
         [(i, t, a) for i, (t, a) in enumerate(ADVICE.items(), 1)],
-        T.StructType.fromDDL("position bigint, issue_type string, recommendation string"),
+        "position bigint, issue_type string, recommendation string",
     )
     found = advice.join(issues.select("issue_type").distinct(), "issue_type", "left_semi")
     nothing = found.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")

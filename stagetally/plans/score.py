@@ -7,7 +7,6 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stagetally.operators import registry as log
 from stagetally.operators.scoring import score_history, score_units, stage_mapping
@@ -16,10 +15,8 @@ from stagetally.schemas import STAGE_MAPPING_ROWS
 from stagetally.session import literal_table
 from stagetally.sources.warehouse import Warehouse, as_timestamp
 
-_STAMPS = T.StructType.fromDDL("snapshot_id timestamp, record_timestamp timestamp")
-_RESULTS = T.StructType.fromDDL(
-    "snapshot_id timestamp, status string, unit_records bigint, history_records bigint, error string"
-)
+_STAMPS = "snapshot_id timestamp, record_timestamp timestamp"
+_RESULTS = "snapshot_id timestamp, status string, unit_records bigint, history_records bigint, error string"
 
 
 def _stamped(df: DataFrame, stamps: DataFrame) -> DataFrame:

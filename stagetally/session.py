@@ -28,12 +28,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
-    """A small constant table.
+def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A small constant table, its schema given as a type or as DDL text.
 
     Going through Arrow gives a LocalRelation, so the optimizer knows the exact
     size and picks a broadcast by itself; no hint is needed.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     rows = list(rows)
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     arrow = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in schema])
