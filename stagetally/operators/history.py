@@ -129,6 +129,33 @@ def with_snapshot_totals(owner_rows: DataFrame, totals: DataFrame) -> DataFrame:
     return owner_rows.join(totals, "snapshot_id", "inner")
 
 
+def with_window_totals(owner_rows: DataFrame) -> DataFrame:
+    """The same rows as ``with_snapshot_totals`` over ``snapshot_totals``.
+
+    The totals come from windows over the owner rows, so the joins and
+    aggregates below are computed once instead of once per side of a join.
+    Owner rows are few (owners times load times), whatever the number of units.
+    """
+    load = Window.partitionBy("snapshot_id", "record_timestamp")
+    no_owner = F.max(F.when(F.col("owner_id").isNull(), 1).otherwise(0)).over(load)
+    totals = F.struct(
+        "record_timestamp",
+        (F.max("_owner_no").over(load) - no_owner).cast("bigint").alias("active_owners"),
+        F.sum("total_companies").over(load).alias("total_companies_all_owners"),
+        F.sum("total_score").over(load).alias("total_score_all_owners"),
+        F.avg("total_score").over(load).alias("avg_score_per_owner"),
+    )
+    snapshot = Window.partitionBy("snapshot_id")
+    rows = (
+        owner_rows.filter("snapshot_id IS NOT NULL")
+        .withColumn("_owner_no", F.dense_rank().over(load.orderBy("owner_id")))
+        .withColumn("_totals", totals)
+        .withColumn("_loads", F.collect_set("_totals").over(snapshot))
+    )
+    loads = F.inline(F.transform("_loads", lambda t: t.dropFields("record_timestamp")))
+    return rows.select(*owner_rows.columns, loads)
+
+
 def owner_rank(df: DataFrame) -> DataFrame:
     """Rank inside the snapshot by score; ties go to the smaller owner id."""
     w = Window.partitionBy("snapshot_id").orderBy(

@@ -1,12 +1,13 @@
 """Integrity checks.  Each returns issue rows of one schema; no problem, no row.
 
-Every table is scanned once per check family: fields are unpivoted and
-aggregated together instead of being queried one by one.
+Fields of a table are expanded and aggregated together, so the counting rules
+take one scan of a table and the value rules another, however many fields and
+rules there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,133 +67,205 @@ def _is_blank(df: DataFrame, field: str) -> Column:
     return F.col(field) == "" if isinstance(df.schema[field].dataType, T.StringType) else F.lit(False)
 
 
-def _field_counts(df: DataFrame, table: str, tests: Mapping[str, Column]) -> DataFrame:
-    """Rows per field that satisfy its test, one scan, one row per field."""
-    sums = df.agg(
-        *[F.coalesce(F.sum(F.when(t, 1).otherwise(0)), F.lit(0)).alias(f) for f, t in tests.items()]
+def _counters(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> DataFrame:
+    """Rows that satisfy each rule, one scan per table: (rule, table, field, count).
+
+    ``rules`` maps a rule name to its fields per table and test per field.
+    """
+    parts = []
+    for table, df in tables.items():
+        sums = {
+            f"{rule}|{table}|{f}": F.coalesce(F.sum(F.when(test(df, f), 1).otherwise(0)), F.lit(0))
+            for rule, (fields, test) in rules.items()
+            for f in fields.get(table, [])
+        }
+        if sums:
+            counted = df.agg(*[c.alias(name) for name, c in sums.items()])
+            parts.append(counted.unpivot([], [f"`{n}`" for n in sums], "_rule", "count"))
+    if not parts:
+        return _union([], schema="rule string, table string, field string, count bigint")
+    named = F.split("_rule", r"\|")
+    return _union(parts).select(
+        *[named[i].alias(c) for i, c in enumerate(("rule", "table", "field"))], "count"
     )
-    return sums.unpivot([], list(tests), "field", "count").withColumn("table", F.lit(table))
 
 
-def _counted_values(parts: list[DataFrame]) -> DataFrame:
-    """(table, field, value) rows to counts; hot values collapse before the shuffle."""
-    return _union(parts).groupBy("table", "field", "value").agg(F.count(F.lit(1)).alias("n"))
+def _offending(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> DataFrame:
+    """Counts of values that satisfy each rule: (rule, table, field, target, value, n).
 
+    One scan per table: its fields are expanded, filtered and counted together.
+    The partial aggregate collapses a value shared by many rows before the
+    shuffle.  NULL and blank values never count.
+    """
+    parts = []
+    for table, df in tables.items():
+        columns = {}
+        for rule, (fields, test) in rules.items():
+            for f, target in fields.get(table, {}).items():
+                c = F.col(f)
+                hit = (c != "") & test(c) if test else c != ""
+                columns[f"{rule}|{table}|{f}|{target}"] = F.when(hit, c)
+        if columns:
+            wide = df.select(*[c.alias(name) for name, c in columns.items()])
+            parts.append(
+                wide.unpivot([], [f"`{n}`" for n in columns], "_rule", "value").filter("value IS NOT NULL")
+            )
+    if not parts:
+        return _union(
+            [], schema="rule string, table string, field string, target string, value string, n bigint"
+        )
+    named = F.split("_rule", r"\|")
+    counted = _union(parts).groupBy("_rule", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(
+        *[named[i].alias(c) for i, c in enumerate(("rule", "table", "field", "target"))], "value", "n"
+    )
 
-def _with_samples(counted: DataFrame) -> DataFrame:
-    """Total rows per field plus the first five distinct values."""
-    totals = counted.groupBy("table", "field").agg(F.sum("n").alias("count"))
-    return totals.join(sample_values(counted, ["table", "field"], "value"), ["table", "field"])
 
+def _with_samples(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Total rows per key plus the first five distinct values.
 
-def _values(df: DataFrame, table: str, fields: list[str]) -> DataFrame:
-    return (
-        df.select(*fields)
-        .unpivot([], fields, "field", "value")
-        .filter("value IS NOT NULL AND value <> ''")
-        .withColumn("table", F.lit(table))
-    )
+    The filter keeps the count in both branches, so they share one shuffle.
+    """
+    totals = counted.groupBy(*keys).agg(F.sum("n").alias("count"))
+    return totals.join(sample_values(counted.filter("n > 0"), keys, "value"), keys)
 
 
 # -- the checks -------------------------------------------------------------------------------
 
 
-def blank_reference_count(tables: Tables) -> DataFrame:
-    """Reference fields that hold an empty string instead of NULL."""
-    parts = [
-        _field_counts(tables[t], t, {f: F.col(f) == "" for f in fields})
-        for t, fields in RELATIONSHIPS.items()
-        if t in tables
-    ]
-    found = _union(parts).filter("count > 0").withColumn("sample_values", F.array(F.lit("''")))
-    text = F.concat(F.lit("Empty string in "), "field", F.lit(" should be NULL"))
-    return _issue_rows(found, "blank_reference_field", "warning", text)
+_BLANK = {t: list(fields) for t, fields in RELATIONSHIPS.items()}
+_TARGETS = {
+    t: {f: f"{ref}.{ref_field}" for f, (ref, ref_field) in fields.items()}
+    for t, fields in RELATIONSHIPS.items()
+}
+_EMAILS = {t: dict.fromkeys(fields, "") for t, fields in EMAIL_FIELDS.items()}
+_LOWERED = {
+    t: dict.fromkeys(fields + URL_FIELDS.get(t, []), "") for t, fields in LOWERCASE_FIELDS.items()
+}
+
+# Rules that only count rows: (fields per table, test).
+COUNTER_RULES = {
+    "blank_reference_field": (_BLANK, lambda df, f: F.col(f) == ""),
+    "missing_required_field": (REQUIRED_FIELDS, lambda df, f: F.col(f).isNull() | _is_blank(df, f)),
+}
+# Rules that also show values: ({table: {field: target}}, test or None).
+VALUE_RULES = {
+    "orphaned_reference": (_TARGETS, None),
+    "invalid_format": (_EMAILS, lambda c: ~c.rlike(EMAIL_PATTERN)),
+    "case_normalization": (_LOWERED, lambda c: c != F.lower(c)),
+}
+_SEVERITY = {
+    "blank_reference_field": "warning",
+    "missing_required_field": "critical",
+    "orphaned_reference": "critical",
+    "invalid_format": "warning",
+    "case_normalization": "warning",
+}
 
 
-def orphan_values(tables: Tables) -> DataFrame:
-    """Counts of reference values that have no target, per table, field and value.
+def counter_issues(tables: Tables, rules: Iterable[str] = tuple(COUNTER_RULES)) -> DataFrame:
+    """Issues of the counting rules, one scan per table for all of them."""
+    found = _counters(tables, {r: COUNTER_RULES[r] for r in rules}).filter("count > 0")
+    blank = F.col("rule") == "blank_reference_field"
+    samples = (
+        F.when(blank, F.array(F.lit("''")))
+        .when(F.col("table") == "snapshot_registry", F.array(F.lit("NULL")))
+        .otherwise(F.array(F.lit("NULL"), F.lit("''")))
+    )
+    text = F.when(blank, F.concat(F.lit("Empty string in "), "field", F.lit(" should be NULL"))).otherwise(
+        F.concat(F.lit("Required field "), "field", F.lit(" is NULL or blank"))
+    )
+    return _rule_issues(found.withColumn("sample_values", samples), text)
 
-    Facts are reduced to one row per value before the anti join and targets to
-    distinct keys, so a value shared by a third of the rows costs one row.  All
-    relationships go through the same join.
+
+def value_issues(tables: Tables, rules: Iterable[str] = tuple(VALUE_RULES)) -> DataFrame:
+    """Issues of the value rules, one scan per table for all of them.
+
+    References are reduced to one row per value before the anti join and their
+    targets to distinct keys; all relationships go through the same join.
     """
-    facts, keys, wanted = [], [], set()
-    for table, fields in RELATIONSHIPS.items():
-        if table not in tables:
-            continue
-        for (target, target_field) in dict.fromkeys(fields.values()):
-            if target not in tables:
-                continue
-            used = [f for f, ref in fields.items() if ref == (target, target_field)]
-            label = f"{target}.{target_field}"
-            facts.append(_values(tables[table], table, used).withColumn("target", F.lit(label)))
-            wanted.add((label, target, target_field))
-    if not facts:
-        schema = "table string, field string, target string, value string, n bigint"
-        return _union([], schema=schema)
-    for label, target, target_field in sorted(wanted):
-        keys.append(
-            tables[target].select(F.lit(label).alias("target"), F.col(target_field).alias("value"))
-        )
-    counted = (
-        _union(facts).groupBy("table", "field", "target", "value").agg(F.count(F.lit(1)).alias("n"))
+    usable = {r: _present(VALUE_RULES[r], tables) for r in rules}
+    counted = _offending(tables, usable)
+    orphan = F.col("rule") == "orphaned_reference"
+    if "orphaned_reference" in usable:
+        targets = {t for fields in usable["orphaned_reference"][0].values() for t in fields.values()}
+        broken = counted.filter(orphan).join(_target_keys(tables, targets), ["target", "value"], "left_anti")
+        counted = counted.filter(~orphan).unionByName(broken)
+    text = (
+        F.when(orphan, F.concat("field", F.lit(" values without a row in "), "target"))
+        .when(F.col("rule") == "invalid_format", F.concat(F.lit("Not an e-mail address in "), "field"))
+        .otherwise(F.concat("field", F.lit(" should be lower case")))
     )
-    return counted.join(_union(keys).distinct(), ["target", "value"], "left_anti")
+    return _rule_issues(_with_samples(counted, ["rule", "table", "field", "target"]), text)
 
 
-def orphan_references(tables: Tables) -> DataFrame:
-    counted = orphan_values(tables)
-    found = _with_samples(counted).join(
-        counted.select("table", "field", "target").distinct(), ["table", "field"]
+def _present(rule: tuple, tables: Tables) -> tuple:
+    """The rule without references to tables that are absent."""
+    fields, test = rule
+    kept = {
+        t: {f: target for f, target in by_field.items() if not target or target.split(".")[0] in tables}
+        for t, by_field in fields.items()
+    }
+    return kept, test
+
+
+def _target_keys(tables: Tables, targets: Iterable[str]) -> DataFrame:
+    """Distinct keys of the referenced tables: (target, value)."""
+    parts = []
+    for target in sorted(targets):
+        table, field = target.split(".")
+        parts.append(tables[table].select(F.lit(target).alias("target"), F.col(field).alias("value")))
+    return _union(parts, schema="target string, value string").distinct()
+
+
+def _rule_issues(found: DataFrame, description: Column) -> DataFrame:
+    severity = F.lit(None).cast("string")
+    for rule, level in _SEVERITY.items():
+        severity = F.when(F.col("rule") == rule, level).otherwise(severity)
+    return found.select(
+        "table",
+        "field",
+        F.col("rule").alias("issue_type"),
+        F.col("count").cast("bigint").alias("count"),
+        severity.alias("severity"),
+        description.alias("description"),
+        "sample_values",
     )
-    text = F.concat("field", F.lit(" values without a row in "), "target")
-    return _issue_rows(found, "orphaned_reference", "critical", text)
+
+
+def blank_reference_count(tables: Tables) -> DataFrame:
+    """Reference fields that hold an empty string instead of NULL."""
+    return counter_issues(tables, ["blank_reference_field"])
 
 
 def missing_required_count(tables: Tables) -> DataFrame:
     """Required fields that are NULL or blank (a timestamp can only be NULL)."""
-    parts = []
-    for t, fields in REQUIRED_FIELDS.items():
-        if t in tables:
-            df = tables[t]
-            parts.append(_field_counts(df, t, {f: F.col(f).isNull() | _is_blank(df, f) for f in fields}))
-    samples = F.when(F.col("table") == "snapshot_registry", F.array(F.lit("NULL"))).otherwise(
-        F.array(F.lit("NULL"), F.lit("''"))
-    )
-    found = _union(parts).filter("count > 0").withColumn("sample_values", samples)
-    text = F.concat(F.lit("Required field "), "field", F.lit(" is NULL or blank"))
-    return _issue_rows(found, "missing_required_field", "critical", text)
+    return counter_issues(tables, ["missing_required_field"])
+
+
+def orphan_references(tables: Tables) -> DataFrame:
+    """Reference values without a row in the table they point to."""
+    return value_issues(tables, ["orphaned_reference"])
 
 
 def invalid_format_count(tables: Tables) -> DataFrame:
     """E-mail fields that do not look like an address; NULL and blank are ignored."""
-    parts = [
-        _values(tables[t], t, fields).filter(~F.col("value").rlike(EMAIL_PATTERN))
-        for t, fields in EMAIL_FIELDS.items()
-        if t in tables
-    ]
-    if not parts:
-        return _union([])
-    text = F.concat(F.lit("Not an e-mail address in "), "field")
-    return _issue_rows(_with_samples(_counted_values(parts)), "invalid_format", "warning", text)
+    return value_issues(tables, ["invalid_format"])
 
 
 def case_violation_count(tables: Tables) -> DataFrame:
     """Values that should be lower case, over all 13 fields."""
-    parts = []
-    for t in LOWERCASE_FIELDS:
-        if t in tables:
-            fields = LOWERCASE_FIELDS[t] + URL_FIELDS.get(t, [])
-            parts.append(_values(tables[t], t, fields).filter(F.col("value") != F.lower("value")))
-    if not parts:
-        return _union([])
-    text = F.concat("field", F.lit(" should be lower case"))
-    return _issue_rows(_with_samples(_counted_values(parts)), "case_normalization", "warning", text)
+    return value_issues(tables, ["case_normalization"])
+
+
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per unique key."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys held by more than one row, with their row count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return key_counts(df, keys).filter("n > 1")
 
 
 def duplicate_summary(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -258,7 +331,7 @@ def snapshot_consistency(tables: Tables) -> DataFrame:
     registered = registry.agg(F.count(F.lit(1)).alias("n"))
     issues = []
     if parts:
-        found = _with_samples(_union(parts)).filter(F.col("count") > 0)
+        found = _with_samples(_union(parts), ["table", "field"])
         known = registered.scalar() > 0
         missing = F.col("field") == "missing_snapshot_data"
         issues.append(
@@ -291,17 +364,24 @@ def snapshot_consistency(tables: Tables) -> DataFrame:
 def snapshot_distribution(companies: DataFrame, deals: DataFrame) -> DataFrame:
     """Distinct companies and deals per snapshot.
 
-    Ids are deduplicated with the snapshot in the key, so no task sees all ids
-    of one snapshot.
+    Counted from rows per (id, snapshot): no task sees all ids of a snapshot,
+    and in an audit the duplicate check shares that shuffle (the test on the
+    count keeps both plans alike).
     """
-    ids = companies.select("snapshot_id", F.lit("company").alias("kind"), F.col("company_id").alias("id"))
-    ids = ids.unionByName(
-        deals.select("snapshot_id", F.lit("deal").alias("kind"), F.col("deal_id").alias("id"))
-    ).distinct()
-    present = F.col("id").isNotNull()
-    return ids.groupBy("snapshot_id").agg(
-        F.sum(F.when((F.col("kind") == "company") & present, 1).otherwise(0)).alias("companies"),
-        F.sum(F.when((F.col("kind") == "deal") & present, 1).otherwise(0)).alias("deals"),
+
+    def present(df, field, kind):
+        keyed = key_counts(df, [field, "snapshot_id"])
+        one = F.when(F.col(field).isNotNull() & (F.col("n") > 0), 1).otherwise(0)
+        zero = F.lit(0)
+        return keyed.select(
+            "snapshot_id",
+            (one if kind == "companies" else zero).alias("companies"),
+            (one if kind == "deals" else zero).alias("deals"),
+        )
+
+    both = present(companies, "company_id", "companies").unionByName(present(deals, "deal_id", "deals"))
+    return both.groupBy("snapshot_id").agg(
+        F.sum("companies").alias("companies"), F.sum("deals").alias("deals")
     )
 
 

@@ -30,11 +30,8 @@ class AuditReport:
 def audit_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The issues of all eight checks; tables that are absent are skipped."""
     checks = [
-        integrity.blank_reference_count(tables),
-        integrity.orphan_references(tables),
-        integrity.missing_required_count(tables),
-        integrity.invalid_format_count(tables),
-        integrity.case_violation_count(tables),
+        integrity.counter_issues(tables),
+        integrity.value_issues(tables),
         integrity.snapshot_consistency(tables),
         integrity.duplicate_records(tables),
     ]

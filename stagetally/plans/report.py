@@ -21,7 +21,7 @@ def owner_history(
 ) -> DataFrame:
     """Owner rows with totals, rank and change, without a final order."""
     rows = history.owner_aggregates(enriched_units(units, companies, deals, owners))
-    rows = history.with_snapshot_totals(rows, history.snapshot_totals(rows))
+    rows = history.with_window_totals(rows)
     rows = history.previous_period(history.owner_rank(rows))
     return history.period_change_percent(history.period_change(rows))
 
