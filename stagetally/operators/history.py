@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagetally.functions.text import owner_display_name
+from stagetally.operators.distinct import distinct_aggregate
 
 OWNER_KEYS = ["snapshot_id", "record_timestamp", "owner_id", "owner_email", "owner_name"]
-_SPREAD = 256
 
 
 def with_companies(units: DataFrame, companies: DataFrame) -> DataFrame:
@@ -30,27 +30,24 @@ def with_deals(units: DataFrame, deals: DataFrame) -> DataFrame:
     """Deal attributes as of the unit's own snapshot.
 
     Most units may have no deal.  Their NULL key would send a whole snapshot to
-    one task, so those rows get one of many spread values in a third key; rows
-    with a deal and the deal side all carry 0.
+    one task, so the key also says whether there is a deal and holds the
+    company otherwise: those rows spread by company and still match nothing.
     """
-    side = deals.select(
-        F.col("deal_id").alias("_id"),
+
+    def key(has_deal, value):
+        return F.struct(has_deal.alias("has_deal"), value.alias("id"))
+
+    side = deals.filter("deal_id IS NOT NULL").select(
+        key(F.lit(True), F.col("deal_id")).alias("_id"),
         F.col("snapshot_id").alias("_snapshot"),
-        F.lit(0).alias("_side"),
         "deal_type",
         "deal_name",
         F.col("amount").alias("deal_amount"),
     )
-    spread = F.when(
-        F.col("deal_id").isNull(), F.pmod(F.hash("company_id"), F.lit(_SPREAD)) + 1
-    ).otherwise(0)
-    units = units.withColumn("_spread", spread)
-    match = (
-        (units["deal_id"] == side["_id"])
-        & (units["snapshot_id"] == side["_snapshot"])
-        & (units["_spread"] == side["_side"])
-    )
-    return units.join(side, match, "left").drop("_id", "_snapshot", "_side", "_spread")
+    wanted = key(F.col("deal_id").isNotNull(), F.coalesce("deal_id", "company_id"))
+    units = units.withColumn("_key", wanted)
+    match = (units["_key"] == side["_id"]) & (units["snapshot_id"] == side["_snapshot"])
+    return units.join(side, match, "left").drop("_id", "_snapshot", "_key")
 
 
 def with_owners(units: DataFrame, owners: DataFrame) -> DataFrame:
@@ -68,22 +65,13 @@ def with_owners(units: DataFrame, owners: DataFrame) -> DataFrame:
     )
 
 
-def sorted_list(c: str) -> Column:
-    """Distinct non-NULL values, sorted and comma-joined; NULL when there are none."""
-    return F.nullif(F.array_join(F.sort_array(F.collect_set(c)), ","), F.lit(""))
-
-
-def _count_if(condition: Column) -> Column:
-    return F.sum(F.when(condition, 1).otherwise(0))
-
-
-def _score_if(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("adjusted_score")).otherwise(0.0))
+def _one_if(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
 
 
 def owner_aggregates(units: DataFrame) -> DataFrame:
     """Everything the report shows per owner and snapshot."""
-    level = F.col("stage_level")
+    level, score = F.col("stage_level"), F.col("adjusted_score")
     bands = {
         "nurturing": level == 0,
         "lead": level.between(1, 3),
@@ -92,21 +80,32 @@ def owner_aggregates(units: DataFrame) -> DataFrame:
     }
     company_types = ["Prospect", "Customer", "Partner", "Vendor"]
     deal_types = {"new_business": "New Business", "existing_business": "Existing Business"}
-    return units.groupBy(*OWNER_KEYS).agg(
-        sorted_list("company_type").alias("company_types"),
-        sorted_list("deal_type").alias("deal_types"),
-        sorted_list("development_category").alias("development_categories"),
-        sorted_list("hiring_developers").alias("hiring_status"),
-        F.count_distinct("company_id").alias("total_companies"),
-        F.count_distinct("deal_id").alias("total_deals"),
-        F.sum("adjusted_score").alias("total_score"),
-        F.avg("adjusted_score").alias("avg_score_per_unit"),
-        F.sum(F.coalesce("deal_amount", F.lit(0.0))).alias("total_deal_value"),
-        *[_count_if(test).alias(f"{band}_count") for band, test in bands.items()],
-        *[_score_if(test).alias(f"{band}_score") for band, test in bands.items()],
-        *[_count_if(F.col("company_type") == t).alias(f"{t.lower()}_count") for t in company_types],
-        _count_if(F.col("deal_type").isNotNull()).alias("companies_with_deals"),
-        *[_count_if(F.col("deal_type") == t).alias(f"{n}_count") for n, t in deal_types.items()],
+    sums = {
+        "total_score": score,
+        "_scored": _one_if(score.isNotNull()),
+        "total_deal_value": F.coalesce("deal_amount", F.lit(0.0)),
+        **{f"{band}_count": _one_if(test) for band, test in bands.items()},
+        **{f"{band}_score": F.when(test, score).otherwise(0.0) for band, test in bands.items()},
+        **{f"{t.lower()}_count": _one_if(F.col("company_type") == t) for t in company_types},
+        "companies_with_deals": _one_if(F.col("deal_type").isNotNull()),
+        **{f"{n}_count": _one_if(F.col("deal_type") == t) for n, t in deal_types.items()},
+    }
+    lists = {
+        "company_types": "company_type",
+        "deal_types": "deal_type",
+        "development_categories": "development_category",
+        "hiring_status": "hiring_developers",
+    }
+    distinct = {"total_companies": "company_id", "total_deals": "deal_id"}
+    rows = distinct_aggregate(units, OWNER_KEYS, distinct, lists, sums)
+    average = F.when(F.col("_scored") > 0, F.col("total_score") / F.col("_scored"))
+    return rows.withColumn("avg_score_per_unit", average).select(
+        *OWNER_KEYS,
+        *lists,
+        *distinct,
+        "total_score",
+        "avg_score_per_unit",
+        *[name for name in sums if name not in ("total_score", "_scored")],
     )
 
 
@@ -148,6 +147,7 @@ def with_window_totals(owner_rows: DataFrame) -> DataFrame:
     snapshot = Window.partitionBy("snapshot_id")
     rows = (
         owner_rows.filter("snapshot_id IS NOT NULL")
+        .repartition("snapshot_id")  # serves every window here and the rank after it
         .withColumn("_owner_no", F.dense_rank().over(load.orderBy("owner_id")))
         .withColumn("_totals", totals)
         .withColumn("_loads", F.collect_set("_totals").over(snapshot))

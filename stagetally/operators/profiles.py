@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagetally.functions.snapshots import snapshot_id_format
-from stagetally.operators.history import sorted_list
+from stagetally.operators.distinct import distinct_aggregate
 from stagetally.operators.sampling import sample_values
 
 # Fields whose mixed-case values are listed with their counts.
@@ -20,10 +20,20 @@ _LISTED_FIELDS = {
 }
 
 
-def _issues(field: str) -> Column:
-    """Rows whose value is not lower case; 0 for an empty input."""
-    mixed = F.when(F.col(field) != F.lower(field), 1).otherwise(0)
-    return F.coalesce(F.sum(mixed), F.lit(0).cast("bigint"))
+def _mixed(field: str) -> Column:
+    """1 for a value that is not lower case."""
+    return F.when(F.col(field) != F.lower(field), 1).otherwise(0)
+
+
+def _profile(
+    df: DataFrame, stage: str, stages: str, distinct: Mapping[str, str], checked: list[str]
+) -> DataFrame:
+    """Rows, distinct counts, the sorted list of lowered stages, mixed-case rows per field."""
+    sums = {"total": F.lit(1), **{f"{f}_issues": _mixed(f) for f in checked}}
+    rows = distinct_aggregate(
+        df.withColumn("_stage", F.lower(stage)), [], distinct, {stages: "_stage"}, sums
+    )
+    return rows.na.fill(0, list(sums)).select("total", *distinct, stages, *[n for n in sums if n != "total"])
 
 
 def normalization_violations(companies: DataFrame, deals: DataFrame, owners: DataFrame) -> DataFrame:
@@ -45,38 +55,32 @@ def normalization_violations(companies: DataFrame, deals: DataFrame, owners: Dat
 
 
 def profile_companies(companies: DataFrame) -> DataFrame:
-    stage = companies.withColumn("_stage", F.lower("lifecycle_stage"))
-    return stage.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct("_stage").alias("unique_lifecycle_stages"),
-        sorted_list("_stage").alias("lifecycle_stages"),
-        F.count_distinct("owner_id").alias("unique_owners"),
-        _issues("lifecycle_stage").alias("lifecycle_stage_issues"),
-        _issues("lead_status").alias("lead_status_issues"),
+    return _profile(
+        companies,
+        "lifecycle_stage",
+        "lifecycle_stages",
+        {"unique_lifecycle_stages": "_stage", "unique_owners": "owner_id"},
+        ["lifecycle_stage", "lead_status"],
     )
 
 
 def profile_deals(deals: DataFrame) -> DataFrame:
-    stage = deals.withColumn("_stage", F.lower("deal_stage"))
-    return stage.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct("_stage").alias("unique_deal_stages"),
-        sorted_list("_stage").alias("deal_stages"),
-        F.count_distinct("associated_company_id").alias("unique_associated_companies"),
-        _issues("deal_stage").alias("deal_stage_issues"),
-        _issues("deal_type").alias("deal_type_issues"),
+    return _profile(
+        deals,
+        "deal_stage",
+        "deal_stages",
+        {"unique_deal_stages": "_stage", "unique_associated_companies": "associated_company_id"},
+        ["deal_stage", "deal_type"],
     )
 
 
 def profile_stage_mapping(mapping: DataFrame) -> DataFrame:
-    stage = mapping.withColumn("_stage", F.lower("combined_stage"))
-    return stage.agg(
-        F.count(F.lit(1)).alias("total"),
-        sorted_list("_stage").alias("combined_stages"),
-        *[
-            _issues(f).alias(f"{f}_issues")
-            for f in ("combined_stage", "lifecycle_stage", "lead_status", "deal_stage")
-        ],
+    return _profile(
+        mapping,
+        "combined_stage",
+        "combined_stages",
+        {},
+        ["combined_stage", "lifecycle_stage", "lead_status", "deal_stage"],
     )
 
 
@@ -95,7 +99,7 @@ def profile_owners(owners: DataFrame) -> DataFrame:
     return owners.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_distinct(F.lower("email")).alias("unique_emails"),
-        _issues("email").alias("email_issues"),
+        F.coalesce(F.sum(_mixed("email")), F.lit(0).cast("bigint")).alias("email_issues"),
     )
 
 

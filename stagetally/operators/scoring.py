@@ -87,11 +87,8 @@ def companies_with_deals(companies: DataFrame, deals: DataFrame) -> DataFrame:
     one outer join: a company may hold a large share of all deals, and AQE can
     split the deal side of an inner join but not the right side of a left join.
     The anti join only sees distinct keys, so a hot company is one row there.
-    Both joins ask for companies with a key, so they share one shuffle of them;
-    companies without a key, which match nothing, are added as they are.
+    The price is a second shuffle of the narrow company rows.
     """
-    keyed = F.col("company_id").isNotNull() & F.col("snapshot_id").isNotNull()
-    companies, unkeyed = companies.filter(keyed), companies.filter(~keyed)
     deals = deals.select(
         "deal_id",
         "deal_stage",
@@ -107,7 +104,7 @@ def companies_with_deals(companies: DataFrame, deals: DataFrame) -> DataFrame:
 
     matched = deals.join(companies, same(deals), "inner").drop("_company", "_snapshot")
     keys = deals.select("_company", "_snapshot").distinct()
-    alone = companies.join(keys, same(keys), "left_anti").unionByName(unkeyed)
+    alone = companies.join(keys, same(keys), "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
