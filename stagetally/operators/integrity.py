@@ -45,9 +45,9 @@ ADVICE = {
 NO_ADVICE = "No action needed; keep running the checks"
 
 
-def _union(parts: list[DataFrame], spark: SparkSession | None = None, schema=ISSUES) -> DataFrame:
+def _union(parts: list[DataFrame], schema=ISSUES) -> DataFrame:
     if not parts:
-        return literal_table(spark or SparkSession.getActiveSession(), [], schema)
+        return literal_table(SparkSession.getActiveSession(), [], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -90,8 +90,19 @@ def _counters(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> Da
     )
 
 
-def _offending(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> DataFrame:
-    """Counts of values that satisfy each rule: (rule, table, field, target, value, n).
+def _rule_table(tables: Tables, rules: Mapping[str, tuple]) -> list[tuple[str, str, str, str, str]]:
+    """(number, rule, table, field, target) of every rule that applies."""
+    applied = [
+        (rule, table, f, target)
+        for table in tables
+        for rule, (fields, _) in rules.items()
+        for f, target in fields.get(table, {}).items()
+    ]
+    return [(str(i), *r) for i, r in enumerate(applied)]
+
+
+def _offending(tables: Tables, rules: Mapping[str, tuple], numbered: list[tuple]) -> DataFrame:
+    """Counts of values that satisfy each rule: (number, value, n).
 
     One scan per table: its fields are expanded, filtered and counted together.
     The partial aggregate collapses a value shared by many rows before the
@@ -99,26 +110,17 @@ def _offending(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> D
     """
     parts = []
     for table, df in tables.items():
-        columns = {}
-        for rule, (fields, test) in rules.items():
-            for f, target in fields.get(table, {}).items():
-                c = F.col(f)
-                hit = (c != "") & test(c) if test else c != ""
-                columns[f"{rule}|{table}|{f}|{target}"] = F.when(hit, c)
+        columns = []
+        for number, rule, _, f, _ in (r for r in numbered if r[2] == table):
+            c, test = F.col(f), rules[rule][1]
+            hit = (c != "") & test(c) if test else c != ""
+            columns.append(F.when(hit, c).alias(number))
         if columns:
-            wide = df.select(*[c.alias(name) for name, c in columns.items()])
-            parts.append(
-                wide.unpivot([], [f"`{n}`" for n in columns], "_rule", "value").filter("value IS NOT NULL")
-            )
-    if not parts:
-        return _union(
-            [], schema="rule string, table string, field string, target string, value string, n bigint"
-        )
-    named = F.split("_rule", r"\|")
-    counted = _union(parts).groupBy("_rule", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(
-        *[named[i].alias(c) for i, c in enumerate(("rule", "table", "field", "target"))], "value", "n"
-    )
+            names = [r[0] for r in numbered if r[2] == table]
+            wide = df.select(*columns).unpivot([], names, "number", "value")
+            parts.append(wide.filter("value IS NOT NULL"))
+    counted = _union(parts, schema="number string, value string")
+    return counted.groupBy("number", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _with_samples(counted: DataFrame, keys: list[str]) -> DataFrame:
@@ -185,18 +187,26 @@ def value_issues(tables: Tables, rules: Iterable[str] = tuple(VALUE_RULES)) -> D
     targets to distinct keys; all relationships go through the same join.
     """
     usable = {r: _present(VALUE_RULES[r], tables) for r in rules}
-    counted = _offending(tables, usable)
+    numbered = _rule_table(tables, usable)
+    names = literal_table(
+        SparkSession.getActiveSession(),
+        numbered,
+        "number string, rule string, table string, field string, target string",
+    )
+    counted = _offending(tables, usable, numbered)
+    targets = {r[4] for r in numbered if r[4]}
+    if targets:
+        # Values of the other rules have an empty target, so they pass the anti join.
+        counted = counted.join(names.select("number", "target"), "number").join(
+            _target_keys(tables, targets), ["target", "value"], "left_anti"
+        )
     orphan = F.col("rule") == "orphaned_reference"
-    if "orphaned_reference" in usable:
-        targets = {t for fields in usable["orphaned_reference"][0].values() for t in fields.values()}
-        broken = counted.filter(orphan).join(_target_keys(tables, targets), ["target", "value"], "left_anti")
-        counted = counted.filter(~orphan).unionByName(broken)
     text = (
         F.when(orphan, F.concat("field", F.lit(" values without a row in "), "target"))
         .when(F.col("rule") == "invalid_format", F.concat(F.lit("Not an e-mail address in "), "field"))
         .otherwise(F.concat("field", F.lit(" should be lower case")))
     )
-    return _rule_issues(_with_samples(counted, ["rule", "table", "field", "target"]), text)
+    return _rule_issues(_with_samples(counted, ["number"]).join(names, "number"), text)
 
 
 def _present(rule: tuple, tables: Tables) -> tuple:
@@ -309,36 +319,52 @@ def registered_without_data(fact: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def snapshot_consistency(tables: Tables) -> DataFrame:
-    """Both directions for every fact table; a single issue if the registry is empty."""
+    """Both directions for every fact table; a single issue if the registry is empty.
+
+    Every table is reduced to its snapshot ids, and one aggregate over their
+    union tells which table knows which id.
+    """
     if "snapshot_registry" not in tables:
         return _union([])
-    registry = tables["snapshot_registry"].select(F.col("snapshot_id").cast("string").alias("value"))
-    registry = registry.distinct()
-    parts = []
-    for t in FACT_TABLES:
-        if t not in tables:
-            continue
-        present = tables[t].select(F.col("snapshot_id").cast("string").alias("value")).distinct()
-        for kind, left, right in (
-            ("unregistered_snapshot", present, registry),
-            ("missing_snapshot_data", registry, present),
-        ):
-            parts.append(
-                left.join(right, "value", "left_anti").select(
-                    F.lit(t).alias("table"), F.lit(kind).alias("field"), "value", F.lit(1).alias("n")
-                )
-            )
-    registered = registry.agg(F.count(F.lit(1)).alias("n"))
-    issues = []
-    if parts:
-        found = _with_samples(_union(parts), ["table", "field"])
-        known = registered.scalar() > 0
-        missing = F.col("field") == "missing_snapshot_data"
+    facts = [t for t in FACT_TABLES if t in tables]
+    ids = _union(
+        [
+            tables[t].select(F.col("snapshot_id").cast("string").alias("value")).distinct().withColumn("of", F.lit(t))
+            for t in ("snapshot_registry", *facts)
+        ]
+    )
+    known = ids.filter("value IS NOT NULL").groupBy("value").agg(
+        *[F.bool_or(F.col("of") == t).alias(t) for t in ("snapshot_registry", *facts)]
+    )
+    registered = F.col("snapshot_registry")
+    cases = [
+        F.when(registered != F.col(t), F.struct(
+            F.lit(t).alias("table"),
+            F.when(registered, "missing_snapshot_data").otherwise("unregistered_snapshot").alias("issue_type"),
+        ))
+        for t in facts
+    ]
+    empty = tables["snapshot_registry"].agg(F.count("snapshot_id").alias("n"))
+    issues = [
+        empty.filter("n = 0").select(
+            F.lit("snapshot_registry").alias("table"),
+            F.lit("snapshot_id").alias("field"),
+            F.lit("missing_snapshots").alias("issue_type"),
+            F.lit(0).cast("bigint").alias("count"),
+            F.lit("critical").alias("severity"),
+            F.lit("The registry holds no snapshot").alias("description"),
+            F.array().cast("array<string>").alias("sample_values"),
+        )
+    ]
+    if facts:
+        found = known.select("value", F.lit(1).alias("n"), F.inline(F.array_compact(F.array(*cases))))
+        found = _with_samples(found, ["table", "issue_type"]).filter(empty.scalar() > 0)
+        missing = F.col("issue_type") == "missing_snapshot_data"
         issues.append(
-            found.filter(known).select(
+            found.select(
                 "table",
                 F.lit("snapshot_id").alias("field"),
-                F.col("field").alias("issue_type"),
+                "issue_type",
                 F.col("count").cast("bigint").alias("count"),
                 F.when(missing, "info").otherwise("warning").alias("severity"),
                 F.when(missing, "Registered snapshots without a row in the table")
@@ -347,17 +373,6 @@ def snapshot_consistency(tables: Tables) -> DataFrame:
                 "sample_values",
             )
         )
-    issues.append(
-        registered.filter("n = 0").select(
-            F.lit("snapshot_registry").alias("table"),
-            F.lit("snapshot_id").alias("field"),
-            F.lit("missing_snapshots").alias("issue_type"),
-            F.lit(0).cast("bigint").alias("count"),
-            F.lit("critical").alias("severity"),
-            F.lit("The registry holds no snapshot").alias("description"),
-            F.array().cast("array<string>").alias("sample_values"),
-        )
-    )
     return _union(issues)
 
 

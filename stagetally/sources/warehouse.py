@@ -70,7 +70,7 @@ class Warehouse:
             [T.StructField(stored.get(f.name, f.name), f.dataType) for f in schema]
         )
         df = self.spark.read.schema(disk).parquet(self.path(name))
-        return df.select(*[F.col(stored.get(c, c)).alias(c) for c in schema.names])
+        return df.withColumnsRenamed({s: c for c, s in stored.items()}).select(*schema.names)
 
     def read_table_for_snapshot(self, name: str, snapshot_id) -> DataFrame:
         """One snapshot of a fact table; the filter prunes directories."""
