@@ -156,8 +156,8 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     open_names = names.join(exact, "_key", "left_anti")
 
     longest = owner_names.agg(F.max(F.length("name"))).first()[0] or 0
-    inside_lookup = lookup.select(_substrings("_name", longest).alias("_part"), "_hit")
-    inside_name = open_names.select("_key", _substrings("_key", longest).alias("_part"))
+    inside_lookup = _with_substrings(lookup, "_name", longest).select("_part", "_hit")
+    inside_name = _with_substrings(open_names, "_key", longest).select("_key", "_part")
     partial = (
         open_names.join(inside_lookup, F.col("_key") == F.col("_part"))
         .select("_key", "_hit")
@@ -173,18 +173,21 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     )
 
 
-def _substrings(name: str, longest: int) -> Column:
-    """Distinct substrings up to a length, the empty one included, one per row."""
-    size = F.length(name)
-    starts = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-
-    def from_start(i):
-        room = F.least(F.lit(longest), size - i + 1)
-        lengths = F.when(room > 0, F.sequence(F.lit(1), room)).otherwise(F.array().cast("array<int>"))
-        return F.transform(lengths, lambda n: F.substr(F.col(name), i, n))
+def _with_substrings(df: DataFrame, name: str, longest: int) -> DataFrame:
+    """Every substring up to a length as ``_part``, the empty one included.
 
-    parts = F.flatten(F.transform(starts, from_start))
-    return F.explode(F.array_distinct(F.concat(F.array(F.lit("")), parts)))
+    Two generators in a row stream the substrings instead of building an array
+    of them; repeated ones do no harm, the best hit is a minimum.
+    """
+    size = F.length(name)
+    start = F.explode(F.sequence(F.lit(1), F.greatest(size, F.lit(1))))
+    room = F.greatest(F.least(F.lit(longest), size - F.col("_start") + 1), F.lit(0))
+    first = F.when(F.col("_start") == 1, 0).otherwise(F.least(F.lit(1), room))
+    return (
+        df.withColumn("_start", start)
+        .withColumn("_size", F.explode(F.sequence(first, room)))
+        .withColumn("_part", F.substr(F.col(name), F.col("_start"), F.col("_size")))
+    )
 
 
 def with_file_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:

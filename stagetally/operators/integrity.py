@@ -7,7 +7,7 @@ rules there are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,31 +63,26 @@ def _issue_rows(df: DataFrame, issue_type: str, severity: str, description: Colu
     )
 
 
-def _is_blank(df: DataFrame, field: str) -> Column:
-    return F.col(field) == "" if isinstance(df.schema[field].dataType, T.StringType) else F.lit(False)
-
-
-def _counters(tables: Tables, rules: Mapping[str, Mapping[str, Callable]]) -> DataFrame:
+def _counters(tables: Tables, rules: Mapping[str, tuple]) -> DataFrame:
     """Rows that satisfy each rule, one scan per table: (rule, table, field, count).
 
-    ``rules`` maps a rule name to its fields per table and test per field.
+    ``rules`` maps a rule name to its fields per table and to the SQL test for
+    text fields and for other fields.
     """
     parts = []
     for table, df in tables.items():
-        sums = {
-            f"{rule}|{table}|{f}": F.coalesce(F.sum(F.when(test(df, f), 1).otherwise(0)), F.lit(0))
-            for rule, (fields, test) in rules.items()
-            for f in fields.get(table, [])
-        }
+        sums = {}
+        for rule, (fields, text_test, other_test) in rules.items():
+            for f in fields.get(table, []):
+                is_text = isinstance(df.schema[f].dataType, T.StringType)
+                test = (text_test if is_text else other_test).format(c=f)
+                sums[f"{rule}|{table}|{f}"] = f"coalesce(sum(CASE WHEN {test} THEN 1 ELSE 0 END), 0)"
         if sums:
-            counted = df.agg(*[c.alias(name) for name, c in sums.items()])
+            counted = df.selectExpr(*[f"{e} AS `{n}`" for n, e in sums.items()])
             parts.append(counted.unpivot([], [f"`{n}`" for n in sums], "_rule", "count"))
-    if not parts:
-        return _union([], schema="rule string, table string, field string, count bigint")
+    counted = _union(parts, schema="_rule string, count bigint")
     named = F.split("_rule", r"\|")
-    return _union(parts).select(
-        *[named[i].alias(c) for i, c in enumerate(("rule", "table", "field"))], "count"
-    )
+    return counted.select(*[named[i].alias(c) for i, c in enumerate(("rule", "table", "field"))], "count")
 
 
 def _rule_table(tables: Tables, rules: Mapping[str, tuple]) -> list[tuple[str, str, str, str, str]]:
@@ -110,14 +105,13 @@ def _offending(tables: Tables, rules: Mapping[str, tuple], numbered: list[tuple]
     """
     parts = []
     for table, df in tables.items():
-        columns = []
-        for number, rule, _, f, _ in (r for r in numbered if r[2] == table):
-            c, test = F.col(f), rules[rule][1]
-            hit = (c != "") & test(c) if test else c != ""
-            columns.append(F.when(hit, c).alias(number))
+        columns = {
+            number: f"CASE WHEN {f} <> '' AND {rules[rule][1].format(c=f)} THEN {f} END AS `{number}`"
+            for number, rule, of, f, _ in numbered
+            if of == table
+        }
         if columns:
-            names = [r[0] for r in numbered if r[2] == table]
-            wide = df.select(*columns).unpivot([], names, "number", "value")
+            wide = df.selectExpr(*columns.values()).unpivot([], [f"`{n}`" for n in columns], "number", "value")
             parts.append(wide.filter("value IS NOT NULL"))
     counted = _union(parts, schema="number string, value string")
     return counted.groupBy("number", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -145,16 +139,16 @@ _LOWERED = {
     t: dict.fromkeys(fields + URL_FIELDS.get(t, []), "") for t, fields in LOWERCASE_FIELDS.items()
 }
 
-# Rules that only count rows: (fields per table, test).
+# Rules that only count rows: (fields per table, test for text, test for other types).
 COUNTER_RULES = {
-    "blank_reference_field": (_BLANK, lambda df, f: F.col(f) == ""),
-    "missing_required_field": (REQUIRED_FIELDS, lambda df, f: F.col(f).isNull() | _is_blank(df, f)),
+    "blank_reference_field": (_BLANK, "{c} = ''", "false"),
+    "missing_required_field": (REQUIRED_FIELDS, "({c} IS NULL OR {c} = '')", "{c} IS NULL"),
 }
-# Rules that also show values: ({table: {field: target}}, test or None).
+# Rules that also show values: ({table: {field: target}}, test).
 VALUE_RULES = {
-    "orphaned_reference": (_TARGETS, None),
-    "invalid_format": (_EMAILS, lambda c: ~c.rlike(EMAIL_PATTERN)),
-    "case_normalization": (_LOWERED, lambda c: c != F.lower(c)),
+    "orphaned_reference": (_TARGETS, "true"),
+    "invalid_format": (_EMAILS, f"NOT {{c}} RLIKE r'{EMAIL_PATTERN.replace('{', '{{').replace('}', '}}')}'"),
+    "case_normalization": (_LOWERED, "{c} <> lower({c})"),
 }
 _SEVERITY = {
     "blank_reference_field": "warning",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stagetally.functions.snapshots import snapshot_id_format
 from stagetally.operators.distinct import distinct_aggregate
 from stagetally.operators.sampling import sample_values
+from stagetally.session import literal_table
 
 # Fields whose mixed-case values are listed with their counts.
 _LISTED_FIELDS = {
@@ -114,22 +115,36 @@ def source_summary(companies: DataFrame, deals: DataFrame, mapping: DataFrame, n
         "deals": (deals, "deal_stage"),
         "stage_mapping": (mapping, "combined_stage"),
     }
-    counts, stages = [], []
-    for name, (df, field) in inputs.items():
-        tag = F.lit(name).alias("source_table")
-        counts.append(df.agg(F.count(F.lit(1)).alias("record_count")).select(tag, "record_count"))
-        stages.append(df.select(tag, F.lower(field).alias("stage")))
-    seen = reduce(DataFrame.unionByName, stages).filter("stage IS NOT NULL").distinct()
+    spark = companies.sparkSession
+    names = literal_table(spark, [(name,) for name in inputs], "source_table string")
+    seen = (
+        reduce(
+            DataFrame.unionByName,
+            [
+                df.select(F.lit(name).alias("source_table"), F.lower(field).alias("stage"))
+                for name, (df, field) in inputs.items()
+            ],
+        )
+        .groupBy("source_table", "stage")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = seen.groupBy("source_table").agg(F.sum("n").alias("record_count"))
+    # The test on the count keeps it in this branch too, so both share one shuffle.
+    stages = seen.filter("stage IS NOT NULL AND n > 0").select("source_table", "stage")
     in_full = F.col("source_table") == "companies"
-    listed = sample_values(seen.filter(~in_full), ["source_table"], "stage", n).unionByName(
-        seen.filter(in_full)
+    listed = sample_values(stages.filter(~in_full), ["source_table"], "stage", n).unionByName(
+        stages.filter(in_full)
         .groupBy("source_table")
         .agg(F.sort_array(F.collect_list("stage")).alias("sample_values"))
     )
     return (
-        reduce(DataFrame.unionByName, counts)
+        names.join(counts, "source_table", "left")
         .join(listed, "source_table", "left")
-        .select("source_table", "record_count", F.array_join("sample_values", ",").alias("stages"))
+        .select(
+            "source_table",
+            F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count"),
+            F.array_join("sample_values", ",").alias("stages"),
+        )
     )
 
 

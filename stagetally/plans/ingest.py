@@ -90,7 +90,7 @@ def ingest_snapshot(
             ),
         }
         for name, rows in references.items():
-            warehouse.replace_table(rows, name)
+            warehouse.replace_table(rows, name, reads_itself=False)
     except Exception as error:
         registry_log.register_ingest_failure(warehouse, snapshot, str(error), as_of)
         if event_path:

@@ -108,5 +108,5 @@ def copy_reference(
     """Replace the target's reference tables by the cleaned source rows."""
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     for name, df in sources.items():
-        target.replace_table(reference_rows(df, name, F.lit(as_of)), name)
+        target.replace_table(reference_rows(df, name, F.lit(as_of)), name, reads_itself=False)
     return list(sources)

@@ -43,7 +43,7 @@ def score_snapshots(
     registry_log.register_scoring_start(warehouse, ids, as_of)
     try:
         mapping = stage_mapping(spark, as_of)
-        warehouse.replace_table(mapping, "stage_mapping")
+        warehouse.replace_table(mapping, "stage_mapping", reads_itself=False)
         stamps = literal_table(
             spark, [(s, as_of + timedelta(microseconds=i)) for i, s in enumerate(ids)], _STAMPS
         )

@@ -111,13 +111,16 @@ class Warehouse:
     def append_table(self, df: DataFrame, name: str) -> None:
         self._store(self._conform(df, name), name, "append")
 
-    def replace_table(self, df: DataFrame, name: str) -> bool:
-        """Replace the whole table; an empty input leaves it as it is."""
+    def replace_table(self, df: DataFrame, name: str, reads_itself: bool = True) -> bool:
+        """Replace the whole table; an empty input leaves it as it is.
+
+        Unless told otherwise the input is taken to be derived from the table
+        and is checkpointed before the table is overwritten.
+        """
         if df.isEmpty():
             return False
         df = self._conform(df, name)
-        if self.exists(name):
-            # The input may be derived from the table itself.
+        if reads_itself and self.exists(name):
             df = cut_lineage(df)
         self._store(df, name, "overwrite")
         return True
