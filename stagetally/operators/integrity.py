@@ -118,12 +118,9 @@ def _offending(tables: Tables, rules: Mapping[str, tuple], numbered: list[tuple]
 
 
 def _with_samples(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Total rows per key plus the first five distinct values.
-
-    The filter keeps the count in both branches, so they share one shuffle.
-    """
+    """Total rows per key plus the first five distinct values."""
     totals = counted.groupBy(*keys).agg(F.sum("n").alias("count"))
-    return totals.join(sample_values(counted.filter("n > 0"), keys, "value"), keys)
+    return totals.join(sample_values(counted, keys, "value", count="n"), keys)
 
 
 # -- the checks -------------------------------------------------------------------------------
@@ -188,11 +185,14 @@ def value_issues(tables: Tables, rules: Iterable[str] = tuple(VALUE_RULES)) -> D
         "number string, rule string, table string, field string, target string",
     )
     counted = _offending(tables, usable, numbered)
-    targets = {r[4] for r in numbered if r[4]}
+    targets = {r[0]: r[4] for r in numbered if r[4]}
     if targets:
         # Values of the other rules have an empty target, so they pass the anti join.
-        counted = counted.join(names.select("number", "target"), "number").join(
-            _target_keys(tables, targets), ["target", "value"], "left_anti"
+        target = F.lit("")
+        for number, name in targets.items():
+            target = F.when(F.col("number") == number, name).otherwise(target)
+        counted = counted.withColumn("target", target).join(
+            _target_keys(tables, set(targets.values())), ["target", "value"], "left_anti"
         )
     orphan = F.col("rule") == "orphaned_reference"
     text = (

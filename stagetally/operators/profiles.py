@@ -129,10 +129,9 @@ def source_summary(companies: DataFrame, deals: DataFrame, mapping: DataFrame, n
         .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = seen.groupBy("source_table").agg(F.sum("n").alias("record_count"))
-    # The test on the count keeps it in this branch too, so both share one shuffle.
-    stages = seen.filter("stage IS NOT NULL AND n > 0").select("source_table", "stage")
+    stages = seen.filter("stage IS NOT NULL")
     in_full = F.col("source_table") == "companies"
-    listed = sample_values(stages.filter(~in_full), ["source_table"], "stage", n).unionByName(
+    listed = sample_values(stages.filter(~in_full), ["source_table"], "stage", n, count="n").unionByName(
         stages.filter(in_full)
         .groupBy("source_table")
         .agg(F.sort_array(F.collect_list("stage")).alias("sample_values"))
