@@ -146,6 +146,7 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     searched name no longer than the longest lookup name - so there is no
     pairwise comparison, and only distinct names without an exact match take
     part.  A blank name is contained in every lookup name: the first one wins.
+    Calling this reads one number, the longest lookup name.
     """
     lookup = owner_names.select(
         F.col("name").alias("_name"), F.struct("rank", "owner_id").alias("_hit")

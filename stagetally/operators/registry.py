@@ -14,6 +14,7 @@ SCORING_FAILURE = "scoring_failure"
 EXPORT_IMPORT = "excel_import"
 MIGRATION = "production_migration_step3"
 AUDIT = "integrity_verification_step5"
+RESCORE_REQUEST = "rescore_step4"
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
 
 

@@ -62,6 +62,17 @@ def register_ingest_failure(warehouse: Warehouse, snapshot_id, message: str, as_
     )
 
 
+def register_rescore_request(
+    warehouse: Warehouse, snapshot_count: int, as_of: datetime, message_id: str | None = None
+) -> None:
+    """Log that scoring of all snapshots was asked for; the request time stands for a snapshot."""
+    notes = f"Triggered rescore-all for {snapshot_count} snapshots"
+    if message_id:
+        notes += f" | Message ID: {message_id}"
+    at = as_timestamp(as_of).replace(microsecond=0)
+    register_event(warehouse, at, log.RESCORE_REQUEST, log.STARTED, notes, as_of)
+
+
 def _replace_events(
     warehouse: Warehouse, snapshot_ids: Iterable, removed: list[str], events: list[tuple], as_of: datetime
 ) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
@@ -25,19 +25,23 @@ def _stamped(df: DataFrame, stamps: DataFrame) -> DataFrame:
 
 
 def score_snapshots(
-    warehouse: Warehouse, snapshot_ids: Iterable, as_of: datetime | None = None, processed: int = 0
+    warehouse: Warehouse,
+    snapshot_ids: Iterable,
+    as_of: datetime | None = None,
+    processed: Mapping[datetime, int] | None = None,
 ) -> DataFrame:
     """Score the given snapshots, store units and history, log the outcome.
 
     Both tables are replaced per snapshot, so a rerun gives the same rows.
     History is read back from the stored units.  Load times grow by one
     microsecond per snapshot in the given order, because the report compares
-    snapshots by load time.  ``processed`` is the record count a completion
-    message announced, kept in the log.  Returns one result row per snapshot.
+    snapshots by load time.  ``processed`` holds the record counts that
+    completion messages announced, kept in the log.  Returns one result row per snapshot.
     """
     spark = warehouse.spark
     ids = list(dict.fromkeys(as_timestamp(s) for s in snapshot_ids))
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
+    announced = {as_timestamp(s): n for s, n in (processed or {}).items()}
     if not ids:
         return literal_table(spark, [], _RESULTS)
     registry_log.register_scoring_start(warehouse, ids, as_of)
@@ -70,7 +74,7 @@ def score_snapshots(
     registry_log.register_events(
         warehouse,
         [
-            (log.SCORING_COMPLETION, log.COMPLETED, registry_log.scoring_note(processed, notes[s]), s)
+            (log.SCORING_COMPLETION, log.COMPLETED, registry_log.scoring_note(announced.get(s, 0), notes[s]), s)
             for s in ids
         ],
         as_of + timedelta(microseconds=len(ids)),

@@ -10,6 +10,7 @@ from stagetally.functions.events import (
     DEFAULT_NAMESPACE,
     RESCORE_ALL,
     SNAPSHOT_COMPLETED,
+    count_total,
     event_type,
     parse_event,
 )
@@ -41,8 +42,12 @@ def route_events(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> Dat
         .when(kind == event_type(SNAPSHOT_COMPLETED, namespace), "invalid")
         .otherwise("ignore")
     )
+    announced = F.coalesce(count_total(F.col("event.data.data_tables")), F.lit(0).cast("bigint"))
     return event.select(
-        route.alias("route"), F.coalesce(kind, F.lit("unknown")).alias("event_type"), snapshot.alias("snapshot_id")
+        route.alias("route"),
+        F.coalesce(kind, F.lit("unknown")).alias("event_type"),
+        snapshot.alias("snapshot_id"),
+        announced.alias("records"),
     )
 
 
@@ -55,19 +60,20 @@ def handle_batch(
     its snapshots, so a repeated batch changes nothing.  Only distinct snapshot
     ids reach the driver.
     """
+    snapshot = parse_snapshot_id(canonical_snapshot_id(F.col("snapshot_id")))
     routed = (
         route_events(batch, namespace)
         .filter(F.col("route").isin("score", "rescore_all"))
-        .select("route", parse_snapshot_id(canonical_snapshot_id(F.col("snapshot_id"))).cast("string").alias("id"))
-        .distinct()
+        .groupBy("route", snapshot.cast("string").alias("id"))
+        .agg(F.max("records").alias("records"))
         .orderBy("id")
         .collect()
     )
     if any(r["route"] == "rescore_all" for r in routed):
         rescore_all(warehouse)
-    ids = [r["id"] for r in routed if r["route"] == "score" and r["id"] is not None]
-    if ids:
-        score_snapshots(warehouse, ids)
+    wanted = {r["id"]: r["records"] for r in routed if r["route"] == "score" and r["id"] is not None}
+    if wanted:
+        score_snapshots(warehouse, wanted, processed=wanted)
 
 
 def score_on_event(

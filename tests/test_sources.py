@@ -112,7 +112,7 @@ def test_stream_scores_once_per_snapshot(warehouse, tmp_path):
     warehouse.append_table(table(spark, "deals", [deal("a", "1", "x", S1)]), "deals")
     warehouse.append_table(stages(spark), "deal_stage_reference")
     warehouse.append_table(table(spark, "snapshot_registry", [logged(S2, "ingest_completion", "completed", S2)]), "snapshot_registry")
-    message = json.dumps({"type": "crm.snapshot.completed", "data": {"snapshot_id": S1}})
+    message = json.dumps({"type": "crm.snapshot.completed", "data": {"snapshot_id": S1, "data_tables": {"companies": 2, "deals": 1}}})
     other = json.dumps({"type": "crm.test.request", "data": {"snapshot_id": S2}})
     write(tmp_path / "in" / "1.txt", message, message, other, "noise")
 
@@ -122,6 +122,8 @@ def test_stream_scores_once_per_snapshot(warehouse, tmp_path):
         return sorted(r["snapshot_id"].day for r in warehouse.read("pipeline_score_history").collect())
 
     assert run() == [1]
+    done = warehouse.read("snapshot_registry").filter(F.col("triggered_by") == "scoring_completion").first()
+    assert done["notes"] == "Scoring: Processed 3 records - Units: 1, History: 1, Mapping: 16"
     write(tmp_path / "in" / "2.txt", json.dumps({"type": "crm.rescore.all"}), message)
     assert run() == [1, 8]
     log = warehouse.read("snapshot_registry").filter(F.col("triggered_by") == "scoring_completion")

@@ -92,6 +92,9 @@ def test_registry_writes(warehouse):
     registry_log.update_status(warehouse, S2, "failed", "why")
     row = warehouse.read_table_for_snapshot("snapshot_registry", S2).collect()[0]
     assert (row["status"], row["notes"]) == ("failed", "Scoring process initiated | why")
+    registry_log.register_rescore_request(warehouse, 2, AS_OF, "m1")
+    asked = warehouse.read("snapshot_registry").filter("triggered_by = 'rescore_step4'").first()
+    assert (asked["status"], asked["notes"]) == ("started", "Triggered rescore-all for 2 snapshots | Message ID: m1")
     empty = registry_log.with_status(table(spark, "snapshot_registry", [logged(S1, "t", "s", S1)]), "x", "n")
     assert empty.first()["notes"] == " | n"
 
