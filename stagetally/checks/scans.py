@@ -7,16 +7,9 @@ from pyspark.sql import functions as F
 
 from stagetally.checks.base import AS_OF, SNAPSHOT, Bed, check, ts
 from stagetally.operators import registry as log
-from stagetally.plans import registry_log
 from stagetally.schemas import COMPANY_PROPERTIES, DEAL_ASSOCIATIONS
 from stagetally.sources import exports, landing
-from stagetally.sources.warehouse import (
-    Warehouse,
-    as_timestamp,
-    merge_rows,
-    table_counts,
-    write_report,
-)
+from stagetally.sources.warehouse import table_counts, write_report
 
 
 def _stamp():

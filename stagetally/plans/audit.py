@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stagetally.operators import integrity
 from stagetally.operators import registry as log
