@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -70,3 +72,11 @@ def _signature(edges: DataFrame) -> tuple:
         F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))
     ).first()
     return tuple(row)
+
+
+def per_process(name: str, make: Callable):
+    """What ``make`` returns, made once in a Python worker and kept for its later tasks."""
+    kept = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

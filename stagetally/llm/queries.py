@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import neighbours, packing, simhash
 from .common import stored, table
 
 
@@ -19,5 +19,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every vector whose id is divisible by 20."""
+    return neighbours.nearest(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda key: key % 20 == 0, k=20
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, packed into sequences of at most 2048."""
+    return packing.packed_documents(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed(
+        "key", "doc_id"
+    )
+
+
+QUERIES = {"op1_simhash": op1_simhash, "op2_neighbours": op2_neighbours, "op4_packing": op4_packing}
 ORACLES: dict[str, str] = {}
