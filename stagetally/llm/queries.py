@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, simhash
+from . import langid, neighbours, packing, secrets, sharding, simhash
 from .common import stored, table
 
 
@@ -33,5 +33,55 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op2_neighbours": op2_neighbours, "op4_packing": op4_packing}
+def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from 12 shards by hash to 16 of equal bytes."""
+    text = F.col("text")
+    docs = stored(
+        table(spark, sf_dir, "documents").select(
+            "doc_id",
+            (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+            sharding.old_layout(F.col("doc_id"), 12).alias("old_shard"),
+        )
+    )
+    return sharding.resharded(docs, "old_shard", "size", lambda total: sharding.even_capacities(total, 16)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *(secrets.count_of(F.col("base"), p.kind).alias(f"n_{p.kind}") for p in secrets.PATTERNS),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("all")).alias("spans"),
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))), "text", "lang")
+    return langid.identified(docs, ["doc_id"], "text", model).withColumn(
+        "held_out", langid.held_out(F.col("doc_id"))
+    )
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_neighbours": op2_neighbours,
+    "op4_packing": op4_packing,
+    "op7_resharding": op7_resharding,
+    "op9_secrets": op9_secrets,
+    "op10_language": op10_language,
+}
 ORACLES: dict[str, str] = {}
