@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagetally.session import cut_lineage
+from stagetally.session import cut_lineage, scratch_path
 
 #: Rows of one Arrow batch; texts are long, so a batch is kept well under the default.
 BATCH_ROWS = 1000
@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def by_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with batches small enough for long texts."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(work, schema)
@@ -31,6 +31,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder; smaller than a checkpoint where rows are many."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def connected(links: DataFrame) -> DataFrame:
     """Connected components of the graph given by ``links(a, b)``.
 

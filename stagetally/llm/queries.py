@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, neighbours, packing, secrets, sharding, simhash
+from . import contamination, langid, neighbours, packing, repeats, secrets, sharding, simhash
 from .common import stored, table
 
 
@@ -33,6 +33,24 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text unit that an earlier document, or the same one, holds already."""
+    return repeats.repeated_units(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("rank").alias("doc_id"),
+        "start",
+        "end",
+        F.col("first_rank").alias("first_doc_id"),
+        "first_start",
+    )
+
+
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.with_hits(docs, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select("doc_id", F.explode(contamination.HITS).alias("hit")).select("doc_id", "hit.*")
+
+
 def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents moved from 12 shards by hash to 16 of equal bytes."""
     text = F.col("text")
@@ -80,6 +98,8 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
     "op4_packing": op4_packing,
+    "op5_repeats": op5_repeats,
+    "op6_contamination": op6_contamination,
     "op7_resharding": op7_resharding,
     "op9_secrets": op9_secrets,
     "op10_language": op10_language,

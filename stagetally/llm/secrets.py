@@ -47,7 +47,7 @@ CLASSES = (
         r"[A-Za-z0-9+/_=-]{24,}",
         "0123456789" + _LETTERS + _LETTERS.upper() + "+/_=-",
         24,
-        3.85,
+        4.01,
     ),
 )
 
