@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, neighbours, packing, repeats, secrets, sharding, simhash
+from . import contamination, langid, neighbours, packing, repeats, secrets, sharding, simhash, surrogates
 from .common import stored, table
 
+#: The key of the registered query; users bring their own, and keep it.
+SURROGATE_KEY = "registered query"
+
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -74,6 +77,19 @@ def op7_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced, and where it was."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = surrogates.with_surrogates(docs, "text", SURROGATE_KEY)
+    spans = F.transform(surrogates.ENTITIES, lambda e: F.concat_ws(":", e["kind"], e["start"].cast("string"), e["end"].cast("string")))
+    return found.select(
+        "doc_id",
+        "text",
+        F.size(surrogates.ENTITIES).alias("n_entities"),
+        F.array_join(spans, ",").alias("entities"),
+    )
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -101,6 +117,7 @@ QUERIES = {
     "op5_repeats": op5_repeats,
     "op6_contamination": op6_contamination,
     "op7_resharding": op7_resharding,
+    "op8_surrogates": op8_surrogates,
     "op9_secrets": op9_secrets,
     "op10_language": op10_language,
 }
