@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_batches
 
@@ -126,25 +127,24 @@ def train(docs: DataFrame, text: str, language: str) -> Model:
     return fitted(languages, counts)
 
 
-def identified(docs: DataFrame, keys: list[str], text: str, model: Model) -> DataFrame:
-    """``(*keys, lang_pred, score, lead)`` for every row; see :func:`predicted`.
+def identified(docs: DataFrame, text: str, model: Model) -> DataFrame:
+    """``docs`` with ``__lang``, ``__score`` and ``__lead`` for every row; see :func:`predicted`.
 
     ``und`` with score 0 is the language of texts that are null or have no letter.
     """
-    names, weights = list(keys), docs.sparkSession.sparkContext.broadcast(tuple(model))
+    at, shared = docs.columns.index(text), docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [predicted(weights.value, t.as_py()) for t in batch.column(len(names))]
+            found = [predicted(shared.value, t.as_py()) for t in batch.column(at)]
             langs, scores, leads = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(leads, pa.float64())],
-                [*names, "lang_pred", "score", "lead"],
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(leads, pa.float64())],
+                [*batch.schema.names, "__lang", "__score", "__lead"],
             )
 
-    rows = docs.select(*names, F.col(text).cast("string").alias("__text"))
-    types = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:-1])
-    return by_batches(rows, work, f"{types}, lang_pred string, score double, lead double")
+    added = T.StructType.fromDDL("__lang string, __score double, __lead double")
+    return by_batches(docs, work, T.StructType([*docs.schema.fields, *added.fields]))
 
 
 def held_out(key: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, neighbours, packing, repeats, secrets, sharding, simhash, surrogates
+from . import contamination, langid, neighbours, packing, pages, repeats, secrets, sharding, simhash, surrogates
 from .common import stored, table
 
 #: The key of the registered query; users bring their own, and keep it.
@@ -29,6 +29,14 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.main_texts(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return found.select(
+        F.col("page").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, packed into sequences of at most 2048."""
     return packing.packed_documents(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed(
@@ -105,14 +113,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))), "text", "lang")
-    return langid.identified(docs, ["doc_id"], "text", model).withColumn(
-        "held_out", langid.held_out(F.col("doc_id"))
+    return langid.identified(docs, "text", model).select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
     )
 
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
+    "op3_pages": op3_pages,
     "op4_packing": op4_packing,
     "op5_repeats": op5_repeats,
     "op6_contamination": op6_contamination,
