@@ -41,8 +41,8 @@ def units(docs: DataFrame, rank: str, text: str, unit: str, min_words: int) -> D
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, starts, ends, digests = [], [], [], []
-            for i, t in enumerate(batch.column(2).to_pylist()):
-                for start, end in units_of(t or "", unit):
+            for i, t in enumerate(t or "" for t in batch.column(2).to_pylist()):
+                for start, end in units_of(t, unit):
                     words = t[start:end].lower().split()
                     if len(words) >= min_words:
                         at.append(i)
