@@ -29,59 +29,81 @@ def score_history(bed: Bed) -> DataFrame:
     return bed.history
 
 
-_COUNTS_SQL = """
-    CAST(SUM(CASE WHEN {test} THEN 1 ELSE 0 END) AS BIGINT) AS {name}_count"""
-_BANDS = {
-    "nurturing": "stage_level = 0",
-    "lead": "stage_level BETWEEN 1 AND 3",
-    "sql": "stage_level = 4",
-    "opportunity": "stage_level BETWEEN 5 AND 8",
-}
+_BANDS = {"nurturing": (0, 0), "lead": (1, 3), "sql": (4, 4), "opportunity": (5, 8)}
 _TYPES = {
-    "prospect": "company_type = 'Prospect'",
-    "customer": "company_type = 'Customer'",
-    "partner": "company_type = 'Partner'",
-    "vendor": "company_type = 'Vendor'",
-    "new_business": "deal_type = 'New Business'",
-    "existing_business": "deal_type = 'Existing Business'",
+    "prospect": ("company", "Prospect"),
+    "customer": ("company", "Customer"),
+    "partner": ("company", "Partner"),
+    "vendor": ("company", "Vendor"),
+    "new_business": ("deal", "New Business"),
+    "existing_business": ("deal", "Existing Business"),
+}
+_LISTS = {
+    "company_types": "company_type",
+    "deal_types": "deal_type",
+    "development_categories": "development_category",
+    "hiring_status": "hiring_developers",
 }
+_OWNER_KEYS = "snapshot_id, record_timestamp, owner_id, owner_email, owner_name"
+
+
+def _joined(key: str, other: str) -> str:
+    """Equality of the group keys, NULL equal to NULL."""
+    return " AND ".join(f"{key}.{k} IS NOT DISTINCT FROM {other}.{k}" for k in _OWNER_KEYS.split(", "))
+
 
+# Everything that is counted per owner goes into one long table of (group, what, n, score),
+# which is pivoted once; lists come from a long table of distinct values.
 REPORT_CTES = f"""
-, enriched AS (
-  SELECT u.snapshot_id, u.record_timestamp, u.owner_id, u.company_id, u.deal_id, u.stage_level, u.adjusted_score,
-         c.company_type, c.development_category, c.hiring_developers, d.deal_type, d.amount AS deal_amount,
-         o.email AS owner_email, concat(coalesce(o.first_name, ''), ' ', coalesce(o.last_name, '')) AS owner_name
-  FROM {_ENRICHED} WHERE u.stage_level NOT IN (-1, 9)),
+, report_rows AS (
+  SELECT u.snapshot_id, u.record_timestamp, u.owner_id, o.email AS owner_email,
+         concat(ifnull(o.first_name, ''), ' ', ifnull(o.last_name, '')) AS owner_name,
+         u.company_id, u.deal_id, u.stage_level, u.adjusted_score, ifnull(d.amount, 0) AS deal_value,
+         c.company_type, d.deal_type, c.development_category, c.hiring_developers
+  FROM {_ENRICHED} WHERE u.stage_level BETWEEN 0 AND 8),
+bands AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {a}, {b})" for n, (a, b) in _BANDS.items())}) v(band, low, high)),
+long_counts AS (
+  SELECT {_OWNER_KEYS}, band AS what, adjusted_score AS score FROM report_rows JOIN bands ON stage_level BETWEEN low AND high
+  UNION ALL SELECT {_OWNER_KEYS}, 'company ' || company_type, 0 FROM report_rows WHERE company_type IS NOT NULL
+  UNION ALL SELECT {_OWNER_KEYS}, 'deal ' || deal_type, 0 FROM report_rows WHERE deal_type IS NOT NULL
+  UNION ALL SELECT {_OWNER_KEYS}, 'any deal', 0 FROM report_rows WHERE deal_type IS NOT NULL),
+counted AS (
+  SELECT {_OWNER_KEYS}, map_from_entries(list((what, n))) AS n, map_from_entries(list((what, score))) AS score
+  FROM (SELECT {_OWNER_KEYS}, what, count(*) AS n, sum(score) AS score FROM long_counts GROUP BY ALL) GROUP BY ALL),
+long_values AS (
+  {" UNION ".join(f"SELECT {_OWNER_KEYS}, '{name}' AS list, {column} AS item FROM report_rows WHERE {column} IS NOT NULL" for name, column in _LISTS.items())}),
+listed AS (
+  SELECT {_OWNER_KEYS}, map_from_entries(list((list, text))) AS lists
+  FROM (SELECT {_OWNER_KEYS}, list, string_agg(item, ',' ORDER BY item) AS text FROM long_values GROUP BY ALL) GROUP BY ALL),
+measured AS (
+  SELECT {_OWNER_KEYS}, count(DISTINCT company_id) AS total_companies, count(DISTINCT deal_id) AS total_deals,
+         sum(adjusted_score) AS total_score, avg(adjusted_score) AS avg_score_per_unit, sum(deal_value) AS total_deal_value
+  FROM report_rows GROUP BY ALL),
 per_owner AS (
-  SELECT snapshot_id, record_timestamp, owner_id, owner_email, owner_name,
-    string_agg(DISTINCT company_type, ',' ORDER BY company_type) AS company_types,
-    string_agg(DISTINCT deal_type, ',' ORDER BY deal_type) AS deal_types,
-    nullif(string_agg(DISTINCT development_category, ',' ORDER BY development_category), '') AS development_categories,
-    string_agg(DISTINCT hiring_developers, ',' ORDER BY hiring_developers) AS hiring_status,
-    count(DISTINCT company_id) AS total_companies, count(DISTINCT deal_id) AS total_deals,
-    sum(adjusted_score) AS total_score, avg(adjusted_score) AS avg_score_per_unit,
-    sum(coalesce(deal_amount, 0)) AS total_deal_value,
-    {", ".join(_COUNTS_SQL.format(test=t, name=n) for n, t in _BANDS.items())},
-    {", ".join(f"SUM(CASE WHEN {t} THEN adjusted_score ELSE 0 END) AS {n}_score" for n, t in _BANDS.items())},
-    {", ".join(_COUNTS_SQL.format(test=t, name=n) for n, t in _TYPES.items())},
-    CAST(SUM(CASE WHEN deal_type IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS companies_with_deals
-  FROM enriched GROUP BY ALL),
+  SELECT m.*, {", ".join(f"l.lists['{name}'] AS {name}" for name in _LISTS)},
+    {", ".join(f"CAST(ifnull(k.n['{b}'], 0) AS BIGINT) AS {b}_count, CAST(ifnull(k.score['{b}'], 0) AS DOUBLE) AS {b}_score" for b in _BANDS)},
+    {", ".join(f"CAST(ifnull(k.n['{of} {value}'], 0) AS BIGINT) AS {n}_count" for n, (of, value) in _TYPES.items())},
+    CAST(ifnull(k.n['any deal'], 0) AS BIGINT) AS companies_with_deals
+  FROM measured m LEFT JOIN counted k ON {_joined("m", "k")} LEFT JOIN listed l ON {_joined("m", "l")}),
 totals AS (
   SELECT snapshot_id, record_timestamp, count(DISTINCT owner_id) AS active_owners,
          CAST(sum(total_companies) AS BIGINT) AS total_companies_all_owners,
          sum(total_score) AS total_score_all_owners, avg(total_score) AS avg_score_per_owner
-  FROM per_owner GROUP BY ALL),
+  FROM measured GROUP BY ALL),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY owner_id ORDER BY record_timestamp, snapshot_id) AS turn FROM per_owner),
+compared AS (
+  SELECT now.* EXCLUDE (turn), ago.total_score AS previous_total_score, ago.total_companies AS previous_total_companies,
+         ago.record_timestamp AS previous_record_timestamp,
+         now.total_score - ago.total_score AS score_change_from_previous,
+         now.total_companies - ago.total_companies AS company_change_from_previous,
+         round((now.total_score - ago.total_score) / nullif(ago.total_score, 0) * 100, 2) AS score_change_percent
+  FROM numbered now LEFT JOIN numbered ago
+    ON ago.owner_id IS NOT DISTINCT FROM now.owner_id AND ago.turn = now.turn - 1),
 report AS (
-  SELECT p.*, t.active_owners, t.total_companies_all_owners, t.total_score_all_owners, t.avg_score_per_owner,
-         row_number() OVER (PARTITION BY p.snapshot_id ORDER BY p.total_score DESC, p.owner_id NULLS FIRST) AS owner_rank_in_snapshot,
-         lag(p.total_score) OVER w AS previous_total_score, lag(p.total_companies) OVER w AS previous_total_companies,
-         lag(p.record_timestamp) OVER w AS previous_record_timestamp,
-         p.total_score - lag(p.total_score) OVER w AS score_change_from_previous,
-         p.total_companies - lag(p.total_companies) OVER w AS company_change_from_previous,
-         CASE WHEN lag(p.total_score) OVER w = 0 THEN NULL
-              ELSE round((p.total_score - lag(p.total_score) OVER w) / lag(p.total_score) OVER w * 100, 2) END AS score_change_percent
-  FROM per_owner p JOIN totals t ON p.snapshot_id = t.snapshot_id
-  WINDOW w AS (PARTITION BY p.owner_id ORDER BY p.record_timestamp, p.snapshot_id))
+  SELECT compared.*, totals.* EXCLUDE (snapshot_id, record_timestamp),
+         row_number() OVER (PARTITION BY snapshot_id ORDER BY total_score DESC, owner_id NULLS FIRST) AS owner_rank_in_snapshot
+  FROM compared JOIN totals USING (snapshot_id))
 """
 _ROUNDED_SQL = """round(total_deal_value, 2) AS total_deal_value, round(avg_score_per_unit, 6) AS avg_score_per_unit"""
 _TIMES_SQL = f"{ts('snapshot_id')}, {ts('record_timestamp')}"

@@ -40,7 +40,7 @@ def normalization_applied(bed: Bed) -> DataFrame:
     return units.groupBy(*keys).agg(F.count(F.lit(1)).alias("units"))
 
 
-@check("F04", f"SELECT deal_id, associated_company_id, {ts('snapshot_id')}, deal_stage, CAST(flag AS BIGINT) AS deal_flag FROM d_open")
+@check("F04", f"SELECT deal_id, associated_company_id, {ts('snapshot_id')}, stage AS deal_stage, CAST((given_stage <> stage) IS TRUE AS BIGINT) AS deal_flag FROM tidy_deals")
 def open_deals(bed: Bed) -> DataFrame:
     return scoring.prepared_deals(bed.deals, bed.stages)
 

@@ -17,7 +17,7 @@ def distinct_aggregate(
 ) -> DataFrame:
     """Per group: distinct counts, sorted distinct lists and sums (names -> columns).
 
-    A list is comma-joined and NULL when it would be empty.  Putting
+    A list is comma-joined; without a value it is NULL, of one empty text it is empty.  Putting
     ``collect_set`` next to ``count(DISTINCT)`` would keep set objects for every
     distinct id.  Here each row is expanded to one row per counted or listed
     column; a hash aggregate reduces those to distinct values (large groups
@@ -52,7 +52,7 @@ def distinct_aggregate(
 
     def joined(column: str) -> Column:
         found = F.collect_list(F.when(F.col("_kind") == kind_of[column], F.col("_value")))
-        return F.nullif(F.array_join(F.sort_array(found), ","), F.lit(""))
+        return F.when(F.size(found) > 0, F.array_join(F.sort_array(found), ","))
 
     return counts.groupBy(*keys).agg(
         *[joined(c).alias(name) for name, c in lists.items()],
