@@ -225,15 +225,15 @@ def profile_owners(bed: Bed) -> DataFrame:
     return profiles.profile_owners(bed.reps)
 
 
-def _listed(source: str, table: str, field: str, limit: str) -> str:
+def _listed(source: str, table: str, field: str) -> str:
     return f"""SELECT '{source}' AS source_table, (SELECT count(*) FROM {table}) AS record_count,
     (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT lower({field}) AS v FROM {table}
-     WHERE {field} IS NOT NULL ORDER BY v {limit}) x) AS stages"""
+     WHERE {field} IS NOT NULL) x) AS stages, 0 AS left_out"""
 
 
 @check("A09", ", c2000 AS (SELECT * FROM companies " + _AT_2000 + "), d2000 AS (SELECT * FROM deals " + _AT_2000 + ") "
-    + _listed("companies", "c2000", "lifecycle_stage", "") + " UNION ALL " + _listed("deals", "d2000", "deal_stage", "LIMIT 10")
-    + " UNION ALL " + _listed("stage_mapping", "wide_mapping", "combined_stage", "LIMIT 10"))
+    + _listed("companies", "c2000", "lifecycle_stage") + " UNION ALL " + _listed("deals", "d2000", "deal_stage")
+    + " UNION ALL " + _listed("stage_mapping", "wide_mapping", "combined_stage"))
 def source_summary(bed: Bed) -> DataFrame:
     return profiles.source_summary(_at_2000(bed.companies), _at_2000(bed.deals), bed.wide_mapping)
 

@@ -74,10 +74,10 @@ _LINK_SQL = "replace(replace(proff_link, 'HTTPS://', 'https://'), 'Www.Example.C
 
 
 @check("C06", f"""SELECT company_id, company_name, owner_id, {", ".join(f"lower(trim({f})) AS {f}" for f in _NORMAL)},
-{_LINK_SQL} AS proff_link FROM companies WHERE snapshot_id = TIMESTAMP '2000-01-01'""")
+{_LINK_SQL} AS proff_link, strftime(snapshot_id, '%Y') AS year FROM companies""")
 def normalize_fields(bed: Bed) -> DataFrame:
-    rows = bed.companies.filter(F.col("snapshot_id") == F.lit("2000-01-01").cast("timestamp"))
-    return records.normalize_fields(rows, "companies").drop("snapshot_id", "record_timestamp")
+    rows = records.normalize_fields(bed.companies, "companies")
+    return rows.withColumn("year", F.date_format("snapshot_id", "yyyy")).drop("snapshot_id", "record_timestamp")
 
 
 @check("C07", "SELECT owner_id, field, rule, value, lower(value) AS expected FROM (" + " UNION ALL ".join(
@@ -198,7 +198,7 @@ def event_payloads(bed: Bed, rescore: bool = False) -> DataFrame:
         .when(key % 10 == 4, F.substring(body, 1, 20))
         .otherwise(F.lit("not a message"))
     )
-    return bed.table("events").select(key.alias("k"), F.regexp_replace(value, r"\s+$", "").alias("value"))
+    return bed.table("events").select(key.alias("k"), F.regexp_replace(value, r"[\r\n]+", "").alias("value"))
 
 
 PAYLOAD_TYPE_SQL = """CASE event_type WHEN 'purchase' THEN 'crm.snapshot.completed' WHEN 'error' THEN 'crm.snapshot.failed'

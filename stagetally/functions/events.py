@@ -45,9 +45,10 @@ def event_type(kind: str, namespace: str = DEFAULT_NAMESPACE) -> str:
 
 def parse_event(payload: Column) -> Column:
     """Envelope struct of a base64 or plain JSON message; NULL when it is neither."""
+    # The first character decides, so plain JSON is never sent through a decoder that fails on it.
     decoded = F.try_to_binary(payload, F.lit("base64")).try_cast("string")
-    text = F.when(_is_object(decoded), decoded).when(_is_object(payload), payload)
-    return F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, ENVELOPE))
+    text = F.when(_is_object(payload), payload).otherwise(decoded)
+    return F.when(_is_object(text) & F.try_parse_json(text).isNotNull(), F.from_json(text, ENVELOPE))
 
 
 def _is_object(text: Column) -> Column:

@@ -20,6 +20,12 @@ def parse_snapshot_id(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
+def readable_snapshot_id(c: Column) -> Column:
+    """The canonical identifier; NULL where ``canonical_snapshot_id`` would put the current time."""
+    nothing = F.lit(None).cast("timestamp")
+    return F.when(parse_snapshot_id(canonical_snapshot_id(c, nothing)).isNotNull(), canonical_snapshot_id(c, nothing))
+
+
 def canonical_snapshot_id(c: Column, as_of: Column | None = None) -> Column:
     """Identifier without fractions, a bare date moved to 06:00.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -396,17 +396,14 @@ def snapshot_distribution(companies: DataFrame, deals: DataFrame) -> DataFrame:
 
 def distribution_anomalies(distribution: DataFrame) -> DataFrame:
     """Snapshots below 50 % or above 200 % of the mean, if there are two or more."""
-    # One row per snapshot: few enough for one window, which spares a second computation.
-    every = Window.partitionBy(F.lit(0))
-    mean = {t: F.avg(t).over(every) for t in FACT_TABLES}
-    sized = distribution.select(
-        "*", F.count(F.lit(1)).over(every).alias("_snapshots"), *[m.alias(f"_{t}") for t, m in mean.items()]
-    ).filter("_snapshots > 1")
+    # The means are one row; as a scalar they reach every task without gathering the snapshots in one.
+    means = F.struct(F.count(F.lit(1)).alias("snapshots"), *[F.avg(t).alias(t) for t in FACT_TABLES])
+    sized = distribution.withColumn("_all", distribution.agg(means.alias("all")).scalar())
     per_table = [
-        F.struct(F.lit(t).alias("table"), F.col(t).cast("bigint").alias("count"), F.col(f"_{t}").alias("mean"))
+        F.struct(F.lit(t).alias("table"), F.col(t).cast("bigint").alias("count"), F.col("_all")[t].alias("mean"))
         for t in FACT_TABLES
     ]
-    rows = sized.select("snapshot_id", F.inline(F.array(*per_table)))
+    rows = sized.filter("_all.snapshots > 1").select("snapshot_id", F.inline(F.array(*per_table)))
     ratio = F.when(F.col("mean") > 0, F.col("count") / F.col("mean")).otherwise(0.0)
     found = rows.filter((ratio < 0.5) | (ratio > 2.0)).withColumns(
         {

@@ -104,11 +104,13 @@ def profile_owners(owners: DataFrame) -> DataFrame:
     )
 
 
-def source_summary(companies: DataFrame, deals: DataFrame, mapping: DataFrame, n: int = 10) -> DataFrame:
+def source_summary(
+    companies: DataFrame, deals: DataFrame, mapping: DataFrame, n: int | None = None
+) -> DataFrame:
     """Rows and distinct stages per scoring input.
 
-    Company stages are listed in full; deal and mapping stages only the first
-    ``n`` in sort order.
+    All stages are listed.  With ``n``, deal and mapping stages end after the
+    first ``n`` in sort order, and ``left_out`` counts the others.
     """
     inputs = {
         "companies": (companies, "lifecycle_stage"),
@@ -130,19 +132,21 @@ def source_summary(companies: DataFrame, deals: DataFrame, mapping: DataFrame, n
     )
     counts = seen.groupBy("source_table").agg(F.sum("n").alias("record_count"))
     stages = seen.filter("stage IS NOT NULL")
-    in_full = F.col("source_table") == "companies"
-    listed = sample_values(stages.filter(~in_full), ["source_table"], "stage", n, count="n").unionByName(
-        stages.filter(in_full)
-        .groupBy("source_table")
-        .agg(F.sort_array(F.collect_list("stage")).alias("sample_values"))
-    )
+    in_full = (F.col("source_table") == "companies") if n else F.lit(True)
+    listed = stages.filter(in_full).groupBy("source_table").agg(F.sort_array(F.collect_list("stage")).alias("sample_values"))
+    if n:
+        cut = sample_values(stages.filter(~in_full), ["source_table"], "stage", n, count="n")
+        listed = listed.unionByName(cut)
+    found = stages.groupBy("source_table").agg(F.count(F.lit(1)).alias("found"))
     return (
         names.join(counts, "source_table", "left")
         .join(listed, "source_table", "left")
+        .join(found, "source_table", "left")
         .select(
             "source_table",
             F.coalesce("record_count", F.lit(0).cast("bigint")).alias("record_count"),
             F.array_join("sample_values", ",").alias("stages"),
+            F.coalesce(F.col("found") - F.size("sample_values"), F.lit(0)).cast("bigint").alias("left_out"),
         )
     )
 

@@ -72,7 +72,7 @@ def integrity_audit(
         as_of.replace(microsecond=0),
         log.AUDIT,
         log.COMPLETED,
-        f"Data integrity verification | Issues: {found} | Score: {score}/100",
+        f"audited, {found} issues, score {score}",
         as_of,
     )
     return report

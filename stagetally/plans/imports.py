@@ -18,6 +18,8 @@ from stagetally.operators.exports import (
     with_file_pairs,
 )
 from stagetally.plans import registry_log
+from stagetally.schemas import TABLES
+from stagetally.session import literal_table
 from stagetally.sources.exports import (
     ExportGroup,
     list_exports,
@@ -42,6 +44,9 @@ def mapped_exports(
                     rows, parse_snapshot_id(F.col("snapshot_id")), as_of, group.columns, owner_names
                 )
             )
+    if not mapped:
+        table = "companies" if kind == "company" else "deals"
+        return literal_table(pairs.sparkSession, [], TABLES[table])
     return reduce(DataFrame.unionByName, mapped)
 
 
@@ -70,6 +75,8 @@ def import_exports(
     if dry_run:
         return export_summary(tables["companies"], tables["deals"])
     ids = [r[0] for r in pairs.select("snapshot_id").collect()]
+    if not ids:
+        return export_summary(tables["companies"], tables["deals"])
     for name, rows in tables.items():
         warehouse.replace_snapshots(rows, name, ids)
     summary = export_summary(
@@ -84,7 +91,7 @@ def import_exports(
             (
                 log.EXPORT_IMPORT,
                 log.COMPLETED,
-                f"Excel+CRM import | Companies: {r['companies']}, Deals: {r['deals']}",
+                f"exports loaded, {r['companies']} companies and {r['deals']} deals",
                 r["id"],
             )
             for r in counts.collect()

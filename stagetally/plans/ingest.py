@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from stagetally.functions.events import build_completed_event, build_failed_event
 from stagetally.functions.records import normalize_fields
 from stagetally.functions.snapshots import format_snapshot_id
-from stagetally.operators.sampling import limit_per_object
 from stagetally.plans import registry_log
 from stagetally.schemas import COMPANY_PROPERTIES, DEAL_ASSOCIATIONS, DEAL_PROPERTIES
 from stagetally.session import cut_lineage, literal_table
@@ -46,16 +45,15 @@ def object_rows(pages: DataFrame, config: ObjectConfig, snapshot_id, as_of) -> D
 
 
 def limited_pages(pages: DataFrame, limit: int | None) -> DataFrame:
-    return limit_per_object(
-        pages.withColumn("kind", F.lit(1)), limit, "kind", ["page_file", "position"]
-    ).drop("kind")
+    """The first pages in file order; all without a limit."""
+    return pages.orderBy("page_file", "position").limit(limit) if limit else pages
 
 
 def ingest_snapshot(
     warehouse: Warehouse,
     paths: Mapping[str, str],
     snapshot_id=None,
-    limit: int | None = 10,
+    limit: int | None = None,
     dry_run: bool = True,
     as_of: datetime | None = None,
     environment: str = "dev",
@@ -66,7 +64,8 @@ def ingest_snapshot(
     """Load one snapshot and return rows per table.
 
     ``paths`` names the landed folders of each object table and of ``owners``
-    and ``deal_stage_reference``.  A dry run only counts.  Owners and stages
+    and ``deal_stage_reference``.  A dry run only counts.  A limit on the
+    objects of each table is noted in the registry.  Owners and stages
     are replaced; an empty list leaves the old ones.
     """
     spark = warehouse.spark
@@ -90,7 +89,7 @@ def ingest_snapshot(
             ),
         }
         for name, rows in references.items():
-            warehouse.replace_table(rows, name, reads_itself=False)
+            warehouse.replace_table(rows, name)
     except Exception as error:
         registry_log.register_ingest_failure(warehouse, snapshot, str(error), as_of)
         if event_path:
@@ -98,10 +97,10 @@ def ingest_snapshot(
             spark.range(1).select(event.alias("value")).write.mode("append").text(event_path)
         raise
     stored = {n: warehouse.read_table_for_snapshot(n, snapshot) for n in facts}
-    counts = cut_lineage(table_counts(stored | references))
+    counts = cut_lineage(table_counts(stored | {n: warehouse.read_or_empty(n) for n in references}))
     by_table = {r["table"]: r["rows"] for r in counts.collect()}
     registry_log.register_ingest_completion(
-        warehouse, snapshot, {n: by_table[n] for n in facts}, {n: by_table[n] for n in references}, as_of
+        warehouse, snapshot, {n: by_table[n] for n in facts}, {n: by_table[n] for n in references}, as_of, limit
     )
     if event_path:
         event = completed_event(spark, snapshot, by_table, list(facts), list(references), as_of, environment)

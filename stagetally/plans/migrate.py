@@ -32,7 +32,8 @@ def migration_counts(sources: dict[str, DataFrame], target: Warehouse) -> DataFr
     parts = []
     for name, df in sources.items():
         source = df.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("source_rows"))
-        stored = target.read(name).groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("target_rows"))
+        stored = target.read_or_empty(name).filter("snapshot_id IS NOT NULL").groupBy("snapshot_id")
+        stored = stored.agg(F.count(F.lit(1)).alias("target_rows"))
         parts.append(
             source.join(stored, "snapshot_id", "left")
             .na.fill(0, ["target_rows"])
@@ -52,12 +53,16 @@ def migrate_snapshots(
     as_of: datetime | None = None,
     clear_previous: bool = True,
     dry_run: bool = False,
+    rejected_path: str | None = None,
 ) -> DataFrame:
     """Migrate all (or the given) source snapshots in one plan per table.
 
     ``sources`` maps fact tables to DataFrames whose ``snapshot_id`` is text in
     any known form.  Several source ids may fall on one target id; their rows
-    are added up there.  Returns the verification per table and snapshot.
+    are added up there.  Rows with an unreadable id are not loaded: they are
+    written as JSON lines below ``rejected_path``, one folder per table, if it
+    is given, and counted under a NULL id, which is never verified.  Returns
+    the verification per table and snapshot.
     """
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     wanted = list(snapshot_ids) if snapshot_ids is not None else None
@@ -73,18 +78,22 @@ def migrate_snapshots(
         for name in FACT_TABLES:
             target.delete_snapshots(name, log.MIGRATION)
         target.forget_trigger(log.MIGRATION)
+    if rejected_path:
+        for name, rows in mapped.items():
+            rows.filter("snapshot_id IS NULL").write.mode("overwrite").json(f"{rejected_path}/{name}")
     for name, rows in mapped.items():
-        target.append_table(rows, name)
+        target.append_table(rows.filter("snapshot_id IS NOT NULL"), name)
     checked = migration_counts(mapped, target)
     per_snapshot = (
-        checked.groupBy(F.col("snapshot_id").cast("string").alias("id"))
+        checked.filter("snapshot_id IS NOT NULL")
+        .groupBy(F.col("snapshot_id").cast("string").alias("id"))
         .agg(F.sum("source_rows").alias("n"), F.array_join(F.sort_array(F.collect_set("table")), ", ").alias("t"))
         .collect()
     )
     registry_log.register_events(
         target,
         [
-            (log.MIGRATION, log.COMPLETED, f"Migrated with normalization | Tables: {r['t']} | Records: {r['n']:,}", r["id"])
+            (log.MIGRATION, log.COMPLETED, f"migrated {r['n']} rows of {r['t']}", r["id"])
             for r in per_snapshot
         ],
         as_of,
@@ -108,5 +117,5 @@ def copy_reference(
     """Replace the target's reference tables by the cleaned source rows."""
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     for name, df in sources.items():
-        target.replace_table(reference_rows(df, name, F.lit(as_of)), name, reads_itself=False)
+        target.replace_table(reference_rows(df, name, F.lit(as_of)), name)
     return list(sources)

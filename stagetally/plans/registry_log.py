@@ -39,7 +39,7 @@ def register_event(
 
 
 def register_ingest_start(warehouse: Warehouse, snapshot_id, as_of: datetime, trigger: str = "manual") -> None:
-    register_event(warehouse, snapshot_id, trigger, log.STARTED, "Snapshot process initiated", as_of)
+    register_event(warehouse, snapshot_id, trigger, log.STARTED, "snapshot load began", as_of)
 
 
 def register_ingest_completion(
@@ -48,17 +48,18 @@ def register_ingest_completion(
     data_counts: dict[str, int],
     reference_counts: dict[str, int],
     as_of: datetime,
+    limit: int | None = None,
 ) -> None:
-    notes = (
-        f"Ingest: {sum(data_counts.values())} data records, "
-        f"{sum(reference_counts.values())} reference records. Tables: {list(data_counts)}"
-    )
+    rows = {**data_counts, **reference_counts}
+    notes = "loaded " + ", ".join(f"{name}={n}" for name, n in rows.items())
+    if limit:
+        notes += f"; at most {limit} objects of a table"
     register_event(warehouse, snapshot_id, log.INGEST_COMPLETION, log.COMPLETED, notes, as_of)
 
 
 def register_ingest_failure(warehouse: Warehouse, snapshot_id, message: str, as_of: datetime) -> None:
     register_event(
-        warehouse, snapshot_id, log.INGEST_FAILURE, log.FAILED, f"Ingest failed: {message}", as_of
+        warehouse, snapshot_id, log.INGEST_FAILURE, log.FAILED, f"load stopped: {message}", as_of
     )
 
 
@@ -66,9 +67,9 @@ def register_rescore_request(
     warehouse: Warehouse, snapshot_count: int, as_of: datetime, message_id: str | None = None
 ) -> None:
     """Log that scoring of all snapshots was asked for; the request time stands for a snapshot."""
-    notes = f"Triggered rescore-all for {snapshot_count} snapshots"
+    notes = f"all {snapshot_count} completed snapshots are to be scored anew"
     if message_id:
-        notes += f" | Message ID: {message_id}"
+        notes += f" (message {message_id})"
     at = as_timestamp(as_of).replace(microsecond=0)
     register_event(warehouse, at, log.RESCORE_REQUEST, log.STARTED, notes, as_of)
 
@@ -85,12 +86,12 @@ def _replace_events(
 def register_scoring_start(warehouse: Warehouse, snapshot_ids: Iterable, as_of: datetime) -> None:
     """Drop earlier start and completion rows of the snapshots, then log a start."""
     ids = list(snapshot_ids)
-    events = [(log.SCORING_START, log.STARTED, "Scoring process initiated", s) for s in ids]
+    events = [(log.SCORING_START, log.STARTED, "scoring began", s) for s in ids]
     _replace_events(warehouse, ids, [log.SCORING_START, log.SCORING_COMPLETION], events, as_of)
 
 
 def scoring_note(processed: int, notes: str | None = None) -> str:
-    return f"Scoring: Processed {processed} records" + (f" - {notes}" if notes else "")
+    return f"scored, {processed} records announced" + (f"; {notes}" if notes else "")
 
 
 def register_scoring_completion(
@@ -105,7 +106,7 @@ def register_scoring_failure(
 ) -> None:
     """Drop every scoring row of the snapshots, then log a failure."""
     ids = list(snapshot_ids)
-    events = [(log.SCORING_FAILURE, log.FAILED, f"Scoring failed: {message}", s) for s in ids]
+    events = [(log.SCORING_FAILURE, log.FAILED, f"scoring stopped: {message}", s) for s in ids]
     removed = [log.SCORING_START, log.SCORING_COMPLETION, log.SCORING_FAILURE]
     _replace_events(warehouse, ids, removed, events, as_of)
 

@@ -47,7 +47,7 @@ def score_snapshots(
     registry_log.register_scoring_start(warehouse, ids, as_of)
     try:
         mapping = stage_mapping(spark, as_of)
-        warehouse.replace_table(mapping, "stage_mapping", reads_itself=False)
+        warehouse.replace_table(mapping, "stage_mapping")
         stamps = literal_table(
             spark, [(s, as_of + timedelta(microseconds=i)) for i, s in enumerate(ids)], _STAMPS
         )
@@ -68,7 +68,7 @@ def score_snapshots(
         registry_log.register_scoring_failure(warehouse, ids, str(error), datetime.now(timezone.utc))
         raise
     notes = {
-        s: f"Units: {unit_rows[s]}, History: {history_rows[s]}, Mapping: {len(STAGE_MAPPING_ROWS)}"
+        s: f"{unit_rows[s]} units, {history_rows[s]} history rows, {len(STAGE_MAPPING_ROWS)} scoring rows"
         for s in ids
     }
     registry_log.register_events(
@@ -88,8 +88,28 @@ def score_snapshot(warehouse: Warehouse, snapshot_id, as_of: datetime | None = N
     return score_snapshots(warehouse, [snapshot_id], as_of)
 
 
-def rescore_all(warehouse: Warehouse, as_of: datetime | None = None) -> DataFrame:
-    """Score every completed snapshot, oldest completion first, in one batch."""
+def rescore_all(
+    warehouse: Warehouse, as_of: datetime | None = None, message_id: str | None = None
+) -> DataFrame:
+    """Score every completed snapshot, oldest completion first; the request is logged.
+
+    All go through one plan.  If that fails, each is scored by itself, so a
+    snapshot that cannot be scored fails alone and the others are stored.
+    """
+    as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     rows = log.completed_snapshots(warehouse.read("snapshot_registry"))
     ids = [r[0] for r in rows.select(F.col("snapshot_id").cast("string")).collect()]
-    return score_snapshots(warehouse, ids, as_of)
+    registry_log.register_rescore_request(warehouse, len(ids), as_of, message_id)
+    try:
+        return score_snapshots(warehouse, ids, as_of)
+    except Exception:
+        if len(ids) < 2:
+            raise
+    results = []
+    for i, snapshot in enumerate(ids):
+        at = as_of + timedelta(microseconds=i)
+        try:
+            results += [tuple(r) for r in score_snapshots(warehouse, [snapshot], at).collect()]
+        except Exception as error:
+            results.append((as_timestamp(snapshot), "error", None, None, str(error)[:500]))
+    return literal_table(warehouse.spark, results, _RESULTS)

@@ -6,10 +6,11 @@ prunes partitions and a rewrite touches only the snapshots it concerns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from stagetally.schemas import FACT_TABLES, PARTITIONED, TABLES
 from stagetally.session import configure, cut_lineage, literal_table
 
 _KEY = "snapshot_id"
+REPEATED_KEY = "a source key is repeated"
 
 
 class Warehouse:
@@ -60,11 +62,15 @@ class Warehouse:
 
     # -- reading -----------------------------------------------------------------
 
+    def read_or_empty(self, name: str) -> DataFrame:
+        """The table, or no rows before its first write."""
+        return self.read(name) if self.exists(name) else literal_table(self.spark, [], TABLES[name])
+
     def read(self, name: str) -> DataFrame:
-        """The table under its declared schema; empty when it does not exist yet."""
+        """The table under its declared schema; an absent one is an error."""
         schema = TABLES[name]
         if not self.exists(name):
-            return literal_table(self.spark, [], schema)
+            raise FileNotFoundError(f"no table {name} at {self.path(name)}")
         stored = self.column_names.get(name, {})
         disk = T.StructType(
             [T.StructField(stored.get(f.name, f.name), f.dataType) for f in schema]
@@ -97,7 +103,7 @@ class Warehouse:
             ]
         )
 
-    def _store(self, df: DataFrame, name: str, mode: str, dynamic: bool = False) -> None:
+    def _store(self, df: DataFrame, name: str, mode: str, dynamic: bool = False, path: str | None = None) -> None:
         """Write conformed rows; ``dynamic`` overwrites only the snapshots present."""
         if name in PARTITIONED:
             # Rebalancing gathers each snapshot's rows into a few well-sized files and,
@@ -106,24 +112,41 @@ class Warehouse:
         else:
             writer = df.write
         kind = "dynamic" if dynamic else "static"
-        writer.mode(mode).option("partitionOverwriteMode", kind).parquet(self.path(name))
+        writer.mode(mode).option("partitionOverwriteMode", kind).parquet(path or self.path(name))
 
     def append_table(self, df: DataFrame, name: str) -> None:
         self._store(self._conform(df, name), name, "append")
 
-    def replace_table(self, df: DataFrame, name: str, reads_itself: bool = True) -> bool:
-        """Replace the whole table; an empty input leaves it as it is.
+    def replace_table(self, df: DataFrame, name: str) -> bool:
+        """Replace the whole table; an empty input leaves it as it is."""
+        return self._swap_in(self._conform(df, name), name)
+
+    def _swap_in(self, df: DataFrame, name: str, keep_if_empty: bool = True) -> bool:
+        """Write the rows beside the table, then put them in its place.
 
-        Unless told otherwise the input is taken to be derived from the table
-        and is checkpointed before the table is overwritten.
+        The old files stay until the new ones are complete, so the input may be
+        derived from the table, is computed once, and a failed write loses
+        nothing.  Rows are counted during the write.
         """
-        if df.isEmpty():
-            return False
-        df = self._conform(df, name)
-        if reads_itself and self.exists(name):
-            df = cut_lineage(df)
-        self._store(df, name, "overwrite")
-        return True
+        seen = Observation()
+        fs, table = self._fs(self.path(name))
+        beside = f"{self.root}/_new-{self.prefix}{name}-{uuid.uuid4().hex}"
+        new, old = self._fs(beside)[1], self._fs(beside.replace("/_new-", "/_old-"))[1]
+        try:
+            self._store(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, "errorifexists", path=beside)
+            if not seen.get.get("rows") and keep_if_empty:
+                return False
+            there = fs.exists(table)
+            if there and not fs.rename(table, old):
+                raise OSError(f"cannot move {table.toString()}")
+            if not fs.rename(new, table):
+                if there:
+                    fs.rename(old, table)
+                raise OSError(f"cannot move {new.toString()}")
+            fs.delete(old, True)
+            return True
+        finally:
+            fs.delete(new, True)
 
     def replace_snapshots(self, df: DataFrame, name: str, snapshot_ids: Iterable) -> dict[datetime, int]:
         """Make the given snapshots hold exactly the rows of ``df``.
@@ -176,14 +199,16 @@ class Warehouse:
         A matched row keeps the target's value in columns the source lacks.
         """
         source = stringify_complex(source).withColumn(key, F.col(key).cast("string"))
-        repeated = source.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
-        if not repeated.isEmpty():
-            raise ValueError(f"upsert into {name}: {key} is not unique in the source")
-        self.replace_table(merge_rows(self.read(name), source, key), name)
+        try:
+            self.replace_table(merge_rows(self.read_or_empty(name), source, key), name)
+        except Exception as error:
+            if REPEATED_KEY in str(error):
+                raise ValueError(f"upsert into {name}: {key} is not unique in the source") from error
+            raise
 
     def snapshots_of(self, trigger: str) -> list[datetime]:
         """Snapshots a trigger has registered."""
-        ids = self.read("snapshot_registry").filter(F.col("triggered_by") == trigger)
+        ids = self.read_or_empty("snapshot_registry").filter(F.col("triggered_by") == trigger)
         ids = ids.filter(F.col(_KEY).isNotNull()).select(F.col(_KEY).cast("string")).distinct()
         return [as_timestamp(r[0]) for r in ids.collect()]
 
@@ -208,7 +233,8 @@ class Warehouse:
     def rewrite_registry(self, snapshot_ids: Iterable, change) -> None:
         """Apply ``change`` to the log rows of some snapshots and store the result."""
         ids = [as_timestamp(s) for s in snapshot_ids]
-        kept = cut_lineage(change(self.read_snapshots("snapshot_registry", ids)))
+        rows = self.read_or_empty("snapshot_registry").filter(F.col(_KEY).isin(ids))
+        kept = cut_lineage(change(rows))
         self.replace_snapshots(kept, "snapshot_registry", ids)
 
     # -- whole datasets ------------------------------------------------------------
@@ -217,7 +243,7 @@ class Warehouse:
         """Copy every table to another warehouse, replacing what is there."""
         copied = list(names) if names is not None else self.tables()
         for name in copied:
-            target._store(target._conform(self.read(name), name), name, "overwrite")
+            target._swap_in(target._conform(self.read(name), name), name, keep_if_empty=False)
         return copied
 
     def verify_mirror(self, target: "Warehouse", names: Iterable[str] | None = None) -> DataFrame:
@@ -229,7 +255,7 @@ class Warehouse:
             T.StructType([T.StructField("table", T.StringType()), T.StructField("schema_equal", T.BooleanType())]),
         )
         counts = table_counts({n: self.read(n) for n in names}).withColumnRenamed("rows", "source_rows")
-        copies = table_counts({n: target.read(n) for n in names}).withColumnRenamed("rows", "target_rows")
+        copies = table_counts({n: target.read_or_empty(n) for n in names}).withColumnRenamed("rows", "target_rows")
         equal = F.col("source_rows") == F.col("target_rows")
         return (
             counts.join(copies, "table")
@@ -252,15 +278,33 @@ def _stored_schema(warehouse: Warehouse, name: str) -> list[tuple[str, str]] | N
 
 
 def merge_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Result of an upsert: unmatched target rows plus all source rows."""
-    tk = F.col(key).cast("string")
-    target_only = [c for c in target.columns if c not in source.columns]
-    fresh = source.select(*[c for c in source.columns if c in target.columns])
-    if target_only:
-        old = target.filter(tk.isNotNull()).select(tk.alias("_key"), *target_only)
-        fresh = fresh.join(old, fresh[key] == old["_key"], "left").drop("_key")
-    kept = target.withColumn(key, tk).join(source.select(key), key, "left_anti")
-    return kept.unionByName(fresh.select(*target.columns))
+    """Result of an upsert: one full outer join on the text key, and the rows without a key.
+
+    Computing it fails if a key is repeated in the source; the test counts
+    within the join's own partitioning, so it costs no shuffle.
+    """
+    target = target.withColumn(key, F.col(key).cast("string"))
+    shared = [c for c in target.columns if c in source.columns and c != key]
+    source = source.select(key, *shared)
+    times = F.count(F.lit(1)).over(Window.partitionBy(key))
+    checked = F.when(times > 1, F.raise_error(F.lit(REPEATED_KEY)).cast("int")).otherwise(1)
+    new = source.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in shared], checked.alias("_given")
+    )
+    joined = target.filter(F.col(key).isNotNull()).join(new, F.col(key) == F.col("_key"), "full_outer")
+    merged = joined.select(
+        *[
+            F.coalesce(key, "_key").alias(c)
+            if c == key
+            else F.when(F.col("_given") == 1, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            if c in shared
+            else F.col(c)
+            for c in target.columns
+        ]
+    )
+    unkeyed = target.filter(F.col(key).isNull())
+    fresh = source.filter(F.col(key).isNull())
+    return merged.unionByName(unkeyed).unionByName(fresh, allowMissingColumns=True).select(*target.columns)
 
 
 def table_counts(tables: Mapping[str, DataFrame], snapshot_id=None) -> DataFrame:

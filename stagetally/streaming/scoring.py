@@ -14,9 +14,8 @@ from stagetally.functions.events import (
     event_type,
     parse_event,
 )
-from stagetally.functions.snapshots import canonical_snapshot_id, parse_snapshot_id
+from stagetally.functions.snapshots import parse_snapshot_id, readable_snapshot_id
 from stagetally.plans.score import rescore_all, score_snapshots
-from stagetally.session import scratch_path
 from stagetally.sources.warehouse import Warehouse
 
 
@@ -30,15 +29,17 @@ def read_messages(spark: SparkSession, source: str, fmt: str = "text", **options
 def route_events(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
     """What to do with each message: score, rescore_all, ignore or invalid.
 
+    A completed snapshot whose id is missing or unreadable is invalid.
     Works on a batch and on a stream; the event type is kept for all of them.
     """
     event = messages.select(parse_event(F.col("value")).alias("event"))
     kind = F.col("event.type")
     snapshot = F.col("event.data.snapshot_id")
+    readable = readable_snapshot_id(snapshot).isNotNull()
     route = (
         F.when(F.col("event").isNull(), "invalid")
         .when(kind == event_type(RESCORE_ALL, namespace), "rescore_all")
-        .when((kind == event_type(SNAPSHOT_COMPLETED, namespace)) & snapshot.isNotNull(), "score")
+        .when((kind == event_type(SNAPSHOT_COMPLETED, namespace)) & readable, "score")
         .when(kind == event_type(SNAPSHOT_COMPLETED, namespace), "invalid")
         .otherwise("ignore")
     )
@@ -60,7 +61,7 @@ def handle_batch(
     its snapshots, so a repeated batch changes nothing.  Only distinct snapshot
     ids reach the driver.
     """
-    snapshot = parse_snapshot_id(canonical_snapshot_id(F.col("snapshot_id")))
+    snapshot = parse_snapshot_id(readable_snapshot_id(F.col("snapshot_id")))
     routed = (
         route_events(batch, namespace)
         .filter(F.col("route").isin("score", "rescore_all"))
@@ -79,12 +80,11 @@ def handle_batch(
 def score_on_event(
     messages: DataFrame,
     warehouse: Warehouse,
-    checkpoint: str | None = None,
+    checkpoint: str,
     namespace: str = DEFAULT_NAMESPACE,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the scoring stream."""
-    checkpoint = checkpoint or scratch_path(warehouse.spark, "score-on-event")
+    """Start the scoring stream; ``checkpoint`` keeps its place over restarts."""
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, _: handle_batch(batch, warehouse, namespace)
     )
@@ -96,11 +96,12 @@ def score_on_event(
 def publish_events(
     events: DataFrame, target: str, checkpoint: str | None = None, available_now: bool = True
 ) -> StreamingQuery | None:
-    """Write envelope rows (``value``) to a text sink, as a stream or as a batch."""
+    """Write envelope rows (``value``) to a text sink, as a stream (which needs a checkpoint) or as a batch."""
     if not events.isStreaming:
         events.select("value").write.mode("append").text(target)
         return None
-    checkpoint = checkpoint or scratch_path(events.sparkSession, "publish-events")
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder")
     writer = (
         events.select("value")
         .writeStream.format("text")

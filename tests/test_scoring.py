@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from stagetally.operators import history, registry
@@ -173,7 +174,9 @@ def test_rescore_all_follows_completion_order(warehouse):
     order = [r["snapshot_id"].day for r in loaded.orderBy("at").collect()]
     assert order == [8, 1]
     states = {r["snapshot_id"].month: r["state"] for r in registry.scoring_state(warehouse.read("snapshot_registry")).collect()}
-    assert states == {6: "done", 5: "pending"}
+    assert states[6] == "done" and states[5] == "pending"
+    asked = warehouse.read("snapshot_registry").filter("triggered_by = 'rescore_step4'")
+    assert asked.count() == 1
 
 
 def test_empty_result_clears_a_scored_snapshot(warehouse):
@@ -195,4 +198,29 @@ def test_failure_is_logged(warehouse):
         pass
     log = warehouse.read("snapshot_registry").filter(F.col("snapshot_id") == as_timestamp(S1))
     found = {(r["triggered_by"], r["status"], r["notes"]) for r in log.collect()}
-    assert found == {("ingest_completion", "completed", None), ("scoring_failure", "failed", "Scoring failed: boom")}
+    assert found == {("ingest_completion", "completed", None), ("scoring_failure", "failed", "scoring stopped: boom")}
+
+
+def test_one_broken_snapshot_leaves_the_others_scored(warehouse, monkeypatch):
+    filled(warehouse)
+    broken, stamped = as_timestamp(S1), score._stamped
+
+    def failing(df, stamps):
+        if any(as_timestamp(r["id"]) == broken for r in stamps.select(F.col("snapshot_id").cast("string").alias("id")).collect()):
+            raise RuntimeError("broken snapshot")
+        return stamped(df, stamps)
+
+    monkeypatch.setattr(score, "_stamped", failing)
+    result = score.rescore_all(warehouse, AS_OF)
+    assert registry.rescore_summary(result).collect()[0].asDict() == {
+        "status": "partial_success", "discovered": 2, "succeeded": 1, "failed": 1}
+    stored = {r["snapshot_id"].day for r in warehouse.read("pipeline_score_history").collect()}
+    assert stored == {8}
+
+
+def test_absent_inputs_are_an_error(warehouse):
+    filled(warehouse)
+    fs, path = warehouse._fs(warehouse.path("deals"))
+    fs.delete(path, True)
+    with pytest.raises(FileNotFoundError):
+        score.score_snapshots(warehouse, [S1], AS_OF)

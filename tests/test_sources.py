@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagetally.operators.exports import drop_empty_rows
-from stagetally.plans import imports, ingest
+from stagetally.plans import imports, ingest, migrate
 from stagetally.session import literal_table
 from stagetally.sources import exports
 from stagetally.streaming import scoring as streams
@@ -95,7 +95,7 @@ def test_import_exports(warehouse, tmp_path):
     assert warehouse.read("companies").first()["owner_id"] == "7"
     row = warehouse.read("deals").first()
     assert (row["deal_id"], row["deal_stage"], row["amount"], row["owner_id"]) == ("10", "won", 15.0, "8")
-    assert warehouse.read("snapshot_registry").first()["notes"].endswith("Companies: 1, Deals: 1")
+    assert warehouse.read("snapshot_registry").first()["notes"].endswith("1 companies and 1 deals")
 
 
 def test_pairs_need_both_files(spark):
@@ -123,8 +123,46 @@ def test_stream_scores_once_per_snapshot(warehouse, tmp_path):
 
     assert run() == [1]
     done = warehouse.read("snapshot_registry").filter(F.col("triggered_by") == "scoring_completion").first()
-    assert done["notes"] == "Scoring: Processed 3 records - Units: 1, History: 1, Mapping: 16"
+    assert done["notes"] == "scored, 3 records announced; 1 units, 1 history rows, 16 scoring rows"
     write(tmp_path / "in" / "2.txt", json.dumps({"type": "crm.rescore.all"}), message)
     assert run() == [1, 8]
     log = warehouse.read("snapshot_registry").filter(F.col("triggered_by") == "scoring_completion")
     assert log.count() == 2
+
+
+def test_exports_of_one_kind_alone_import_nothing(warehouse, tmp_path):
+    folder = tmp_path / "alone"
+    folder.mkdir()
+    write(folder / "deals 2025-01-01.csv", "Record ID,Deal Name", "1,x")
+    summary = imports.import_exports(warehouse, str(folder), as_of=AS_OF)
+    assert summary.filter("snapshot_id IS NOT NULL").count() == 0 and not warehouse.exists("deals")
+
+
+def test_a_completed_message_with_an_unreadable_id_is_invalid(spark):
+    good, bad = "2025-06-08T06:00:00Z", "garbage"
+    rows = [json.dumps({"type": "crm.snapshot.completed", "data": {"snapshot_id": i}}) for i in (good, bad, "", "2025-06-08")]
+    routed = streams.route_events(spark.createDataFrame([(r,) for r in rows], "value string")).collect()
+    assert [r["route"] for r in routed] == ["score", "invalid", "invalid", "score"]
+
+
+def test_streams_need_a_checkpoint(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    with pytest.raises(ValueError):
+        streams.publish_events(streams.read_messages(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+
+
+def test_unreadable_ids_are_rejected_before_a_migration_writes(warehouse, tmp_path):
+    spark = warehouse.spark
+    rows = [company("1", "lead", S1), company("2", "lead", S1), company("3", "lead", S2)]
+    old = table(spark, "companies", rows).withColumn(
+        "snapshot_id", F.when(F.col("company_id") == "3", "no date").otherwise("2025-06-01")
+    )
+    deals = table(spark, "deals", [deal("a", "1", "x", S1)]).withColumn("snapshot_id", F.lit("2025-06-01"))
+    path = str(tmp_path / "rejected")
+    checked = migrate.migrate_snapshots({"companies": old, "deals": deals}, warehouse, as_of=AS_OF, rejected_path=path)
+    found = {(r["table"], r["snapshot_id"] is None): (r["source_rows"], r["target_rows"], r["verified"]) for r in checked.collect()}
+    assert found == {("companies", False): (2, 2, True), ("companies", True): (1, 0, False), ("deals", False): (1, 1, True)}
+    assert [r["company_id"] for r in spark.read.json(f"{path}/companies").collect()] == ["3"]
+    assert warehouse.read("snapshot_registry").count() == 1
+    migrate.migrate_snapshots({"companies": old, "deals": deals}, warehouse, as_of=AS_OF)
+    assert warehouse.read("companies").count() == 2

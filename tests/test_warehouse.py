@@ -91,10 +91,10 @@ def test_registry_writes(warehouse):
     assert found == [(1, "scoring_start"), (8, "scoring_start")]
     registry_log.update_status(warehouse, S2, "failed", "why")
     row = warehouse.read_table_for_snapshot("snapshot_registry", S2).collect()[0]
-    assert (row["status"], row["notes"]) == ("failed", "Scoring process initiated | why")
+    assert (row["status"], row["notes"]) == ("failed", "scoring began | why")
     registry_log.register_rescore_request(warehouse, 2, AS_OF, "m1")
     asked = warehouse.read("snapshot_registry").filter("triggered_by = 'rescore_step4'").first()
-    assert (asked["status"], asked["notes"]) == ("started", "Triggered rescore-all for 2 snapshots | Message ID: m1")
+    assert (asked["status"], asked["notes"]) == ("started", "all 2 completed snapshots are to be scored anew (message m1)")
     empty = registry_log.with_status(table(spark, "snapshot_registry", [logged(S1, "t", "s", S1)]), "x", "n")
     assert empty.first()["notes"] == " | n"
 
@@ -150,4 +150,24 @@ def test_counts_and_schemas_agree(spark, warehouse):
     counts = table_counts({"companies": warehouse.read("companies")}, S1).collect()
     assert [tuple(r) for r in counts] == [("companies", 1)]
     for name in TABLES:
-        assert warehouse.read(name).schema.names == TABLES[name].names
+        assert warehouse.read_or_empty(name).schema.names == TABLES[name].names
+    with pytest.raises(FileNotFoundError):
+        warehouse.read("deals")
+
+
+def test_a_failed_replacement_keeps_the_old_table(warehouse):
+    from pyspark.sql import functions as F
+
+    spark = warehouse.spark
+    warehouse.append_table(owners(spark, "1", "2"), "owners")
+    broken = warehouse.read("owners").withColumn(
+        "email", F.when(F.col("owner_id") == "2", F.raise_error(F.lit("midway"))).otherwise(F.col("email"))
+    )
+    with pytest.raises(Exception, match="midway"):
+        warehouse.replace_table(broken, "owners")
+    assert sorted(r["owner_id"] for r in warehouse.read("owners").collect()) == ["1", "2"]
+    assert warehouse.replace_table(warehouse.read("owners").filter("false"), "owners") is False
+    assert warehouse.replace_table(warehouse.read("owners").filter("owner_id = '2'"), "owners") is True
+    assert [r["owner_id"] for r in warehouse.read("owners").collect()] == ["2"]
+    fs, root = warehouse._fs(warehouse.root)
+    assert [s.getPath().getName() for s in fs.listStatus(root)] == ["owners"]
