@@ -150,7 +150,7 @@ def ingest_snapshot(bed: Bed) -> DataFrame:
         "owners": landed_owners(bed),
         "deal_stage_reference": landed_stages(bed),
     }
-    counts = ingest.ingest_snapshot(wh, paths, SNAPSHOT, limit=None, dry_run=False, as_of=_NOW)
+    counts = ingest.ingest_snapshot(wh, paths, ingest.object_configs("owner_id"), SNAPSHOT, dry_run=False, as_of=_NOW)
     rows = wh.read_table_for_snapshot("deals", SNAPSHOT)
     fields = ["deal_id", "deal_name", "deal_stage", "amount", "associated_company_id", "snapshot_id"]
     reported = {

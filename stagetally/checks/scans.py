@@ -19,7 +19,7 @@ def _stamp():
 PAGE_SIZE = 100
 
 # What a landed company looks like: source property -> derived column.
-_LANDED = {source: target for source, target in COMPANY_PROPERTIES.items()}
+_LANDED = COMPANY_PROPERTIES | {"owner_id": "owner_id"}
 
 
 def landed_companies(bed: Bed) -> str:
@@ -134,7 +134,7 @@ FROM ({_COMPANY_2000})""")
 def project_properties(bed: Bed) -> DataFrame:
     pages = landing.read_object_pages(bed.spark, landed_companies(bed))
     return landing.project_properties(
-        pages, "companies", "company_id", COMPANY_PROPERTIES, F.lit(SNAPSHOT).cast("timestamp"), _stamp()
+        pages, "companies", "company_id", _LANDED, F.lit(SNAPSHOT).cast("timestamp"), _stamp()
     )
 
 

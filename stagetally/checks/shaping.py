@@ -12,6 +12,7 @@ from stagetally.operators import alignment, exports, history, integrity, profile
 from stagetally.plans.report import enriched_units
 from stagetally.schemas import DEALS
 from stagetally.sources.exports import pair_export_files
+from stagetally.sources.warehouse import table_counts
 
 _UNIT_ROWS = f"""company_id, deal_id, owner_id, lifecycle_stage, lead_status, deal_stage, combined_stage, stage_level,
   adjusted_score, stage_source, {ts("snapshot_id")}, {ts("record_timestamp")}"""
@@ -191,6 +192,19 @@ def required_data_exists(bed: Bed) -> DataFrame:
     return profiles.required_data_exists(bed.companies.filter(at), bed.deals.filter(at), bed.owners, bed.stages)
 
 
+_REQUIRED = ["companies", "deals", "contacts"]
+
+
+@check("F14", """SELECT t AS "table", t <> 'contacts' AS present, CASE t WHEN 'companies' THEN (SELECT count(*) FROM companies)
+WHEN 'deals' THEN (SELECT count(*) FROM deals) END AS records FROM (VALUES ('companies'), ('deals'), ('contacts')) v(t)""")
+def required_tables_present(bed: Bed) -> DataFrame:
+    """Which required tables a stored warehouse has, and their rows."""
+    wh = bed.warehouse("companies", "deals")
+    found = alignment.required_tables_present(bed.spark, wh.tables(), _REQUIRED)
+    counts = table_counts({t: wh.read(t) for t in wh.tables()}).withColumnRenamed("rows", "records")
+    return found.join(counts, "table", "left")
+
+
 # -- joins ---------------------------------------------------------------------------------------
 
 

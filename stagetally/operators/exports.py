@@ -90,6 +90,7 @@ def _map_export(
     snapshot_id: Column,
     as_of: Column,
     owner_names: DataFrame | None,
+    finish: bool,
 ) -> DataFrame:
     chosen = resolve_columns(columns, aliases, allow_similar)
     system = {"snapshot_id": snapshot_id, "record_timestamp": as_of}
@@ -101,9 +102,14 @@ def _map_export(
             for f in schema
         ]
     )
+    return with_owner_ids(out, owner_names) if finish else out
+
+
+def with_owner_ids(rows: DataFrame, owner_names: DataFrame | None = None) -> DataFrame:
+    """Mapped rows with owner names resolved, if names are given, and blank owners as NULL."""
     if owner_names is not None:
-        out = resolve_owner_names(out, "owner_id", owner_names)
-    return out.withColumn("owner_id", text.null_if_blank(F.col("owner_id"))).select(*schema.names)
+        rows = resolve_owner_names(rows, "owner_id", owner_names)
+    return rows.withColumn("owner_id", text.null_if_blank(F.col("owner_id")))
 
 
 def map_export_company(
@@ -112,11 +118,15 @@ def map_export_company(
     as_of: Column,
     columns: list[str] | None = None,
     owner_names: DataFrame | None = None,
+    finish: bool = True,
 ) -> DataFrame:
-    """Company export rows (of one header) in the companies schema."""
+    """Company export rows (of one header) in the companies schema.
+
+    Without ``finish`` owners stay as written, for :func:`with_owner_ids` after a union.
+    """
     return _map_export(
         df, columns or df.columns, COMPANY_EXPORT_COLUMNS, "companies", COMPANIES,
-        False, snapshot_id, as_of, owner_names,
+        False, snapshot_id, as_of, owner_names, finish,
     )
 
 
@@ -126,6 +136,7 @@ def map_export_deal(
     as_of: Column,
     columns: list[str] | None = None,
     owner_names: DataFrame | None = None,
+    finish: bool = True,
 ) -> DataFrame:
     """Deal export rows (of one header) in the deals schema.
 
@@ -133,7 +144,7 @@ def map_export_deal(
     """
     return _map_export(
         df, columns or df.columns, DEAL_EXPORT_COLUMNS, "deals", DEALS,
-        True, snapshot_id, as_of, owner_names,
+        True, snapshot_id, as_of, owner_names, finish,
     )
 
 
@@ -146,7 +157,7 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     searched name no longer than the longest lookup name - so there is no
     pairwise comparison, and only distinct names without an exact match take
     part.  A blank name is contained in every lookup name: the first one wins.
-    Calling this reads one number, the longest lookup name.
+    The longest lookup name is a scalar of the plan, so building it runs no job.
     """
     lookup = owner_names.select(
         F.col("name").alias("_name"), F.struct("rank", "owner_id").alias("_hit")
@@ -156,7 +167,7 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     exact = names.join(lookup, names["_key"] == lookup["_name"]).select("_key", "_hit")
     open_names = names.join(exact, "_key", "left_anti")
 
-    longest = owner_names.agg(F.max(F.length("name"))).first()[0] or 0
+    longest = owner_names.agg(F.coalesce(F.max(F.length("name")), F.lit(0)).alias("longest")).scalar()
     inside_lookup = _with_substrings(lookup, "_name", longest).select("_part", "_hit")
     inside_name = _with_substrings(open_names, "_key", longest).select("_key", "_part")
     partial = (
@@ -174,15 +185,16 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     )
 
 
-def _with_substrings(df: DataFrame, name: str, longest: int) -> DataFrame:
+def _with_substrings(df: DataFrame, name: str, longest: Column) -> DataFrame:
     """Every substring up to a length as ``_part``, the empty one included.
 
     Two generators in a row stream the substrings instead of building an array
     of them; repeated ones do no harm, the best hit is a minimum.
     """
+    df = df.withColumn("_longest", longest)
     size = F.length(name)
     start = F.explode(F.sequence(F.lit(1), F.greatest(size, F.lit(1))))
-    room = F.greatest(F.least(F.lit(longest), size - F.col("_start") + 1), F.lit(0))
+    room = F.greatest(F.least(F.col("_longest"), size - F.col("_start") + 1), F.lit(0))
     first = F.when(F.col("_start") == 1, 0).otherwise(F.least(F.lit(1), room))
     return (
         df.withColumn("_start", start)

@@ -16,11 +16,13 @@ from stagetally.operators.exports import (
     map_export_company,
     map_export_deal,
     with_file_pairs,
+    with_owner_ids,
 )
 from stagetally.plans import registry_log
 from stagetally.schemas import TABLES
 from stagetally.session import literal_table
 from stagetally.sources.exports import (
+    MALFORMED,
     ExportGroup,
     list_exports,
     pair_export_files,
@@ -38,16 +40,26 @@ def mapped_exports(
     mapped = []
     for group in groups:
         if group.kind == kind:
-            rows = with_file_pairs(drop_empty_rows(group.frame, group.columns), pairs)
-            mapped.append(
-                _MAPPERS[kind](
-                    rows, parse_snapshot_id(F.col("snapshot_id")), as_of, group.columns, owner_names
-                )
-            )
+            whole = group.frame.filter(F.col(MALFORMED).isNull())
+            rows = with_file_pairs(drop_empty_rows(whole, group.columns), pairs)
+            snapshot = parse_snapshot_id(F.col("snapshot_id"))
+            mapped.append(_MAPPERS[kind](rows, snapshot, as_of, group.columns, finish=False))
     if not mapped:
         table = "companies" if kind == "company" else "deals"
         return literal_table(pairs.sparkSession, [], TABLES[table])
-    return reduce(DataFrame.unionByName, mapped)
+    return with_owner_ids(reduce(DataFrame.unionByName, mapped), owner_names)
+
+
+def malformed_records(groups: list[ExportGroup]) -> DataFrame | None:
+    """Records with a wrong number of fields: export, kind, first field and text; None without exports."""
+    found = [
+        g.frame.filter(F.col(MALFORMED).isNotNull()).select(
+            "export_file", F.lit(g.kind).alias("kind"), F.col(f"`{g.columns[0]}`").alias("first_field"), MALFORMED
+        )
+        for g in groups
+        if g.columns
+    ]
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def import_exports(
@@ -57,15 +69,20 @@ def import_exports(
     dry_run: bool = False,
     as_of: datetime | None = None,
     pairs: DataFrame | None = None,
+    multi_line: bool = True,
+    malformed_path: str | None = None,
 ) -> DataFrame:
     """Import every complete pair of export files; returns the summary per snapshot.
 
+    Records with a wrong number of fields are not loaded; they are written as
+    JSON lines to ``malformed_path`` if it is given.
+
     ``pairs`` replaces the pairing by modification time, for files whose times
     were lost in a copy.
     """
     spark = warehouse.spark
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
-    groups = read_export_groups(spark, path)
+    groups = read_export_groups(spark, path, multi_line)
     if pairs is None:
         pairs = pair_export_files(list_exports(spark, path))
     tables = {
@@ -74,6 +91,8 @@ def import_exports(
     }
     if dry_run:
         return export_summary(tables["companies"], tables["deals"])
+    if malformed_path and (malformed := malformed_records(groups)) is not None:
+        malformed.write.mode("overwrite").json(malformed_path)
     ids = [r[0] for r in pairs.select("snapshot_id").collect()]
     if not ids:
         return export_summary(tables["companies"], tables["deals"])

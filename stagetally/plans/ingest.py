@@ -30,8 +30,13 @@ class ObjectConfig:
     associations: Mapping[str, tuple[str, str]]
 
 
-COMPANY = ObjectConfig("companies", "company_id", COMPANY_PROPERTIES, {})
-DEAL = ObjectConfig("deals", "deal_id", DEAL_PROPERTIES, DEAL_ASSOCIATIONS)
+def object_configs(owner_property: str) -> tuple[ObjectConfig, ...]:
+    """Companies and deals, with the property that names the owner of a record."""
+    owner = {owner_property: "owner_id"}
+    return (
+        ObjectConfig("companies", "company_id", COMPANY_PROPERTIES | owner, {}),
+        ObjectConfig("deals", "deal_id", DEAL_PROPERTIES | owner, DEAL_ASSOCIATIONS),
+    )
 
 
 def object_rows(pages: DataFrame, config: ObjectConfig, snapshot_id, as_of) -> DataFrame:
@@ -52,16 +57,16 @@ def limited_pages(pages: DataFrame, limit: int | None) -> DataFrame:
 def ingest_snapshot(
     warehouse: Warehouse,
     paths: Mapping[str, str],
+    configs: tuple[ObjectConfig, ...],
     snapshot_id=None,
     limit: int | None = None,
     dry_run: bool = True,
     as_of: datetime | None = None,
     environment: str = "dev",
     trigger: str = "manual",
-    configs: tuple[ObjectConfig, ...] = (COMPANY, DEAL),
     event_path: str | None = None,
 ) -> DataFrame:
-    """Load one snapshot and return rows per table.
+    """Load one snapshot and return rows per table; see :func:`object_configs`.
 
     ``paths`` names the landed folders of each object table and of ``owners``
     and ``deal_stage_reference``.  A dry run only counts.  A limit on the

@@ -46,6 +46,7 @@ def score_snapshots(
         return literal_table(spark, [], _RESULTS)
     registry_log.register_scoring_start(warehouse, ids, as_of)
     try:
+        warehouse.require("companies", "deals", "deal_stage_reference")
         mapping = stage_mapping(spark, as_of)
         warehouse.replace_table(mapping, "stage_mapping")
         stamps = literal_table(

@@ -17,24 +17,6 @@ _STRING, _LONG, _DOUBLE, _BOOL, _TS = (
     T.TimestampType(),
 )
 
-# Declared type names of the source system -> Spark types; anything else is text.
-TYPE_NAMES = {
-    "STRING": _STRING,
-    "INTEGER": _LONG,
-    "INT64": _LONG,
-    "FLOAT": _DOUBLE,
-    "FLOAT64": _DOUBLE,
-    "BOOLEAN": _BOOL,
-    "BOOL": _BOOL,
-    "TIMESTAMP": _TS,
-}
-
-
-def spark_type(name: str) -> T.DataType:
-    """Spark type of a declared type name; unknown names fall back to string."""
-    return TYPE_NAMES.get(name.upper(), _STRING)
-
-
 def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(c, t, True) for c, t in columns.items()])
 
@@ -58,19 +40,6 @@ COMPANIES = _table(
     record_timestamp=_TS,
 )
 
-CONTACTS = _table(
-    contact_id=_STRING,
-    email=_STRING,
-    first_name=_STRING,
-    last_name=_STRING,
-    owner_id=_STRING,
-    phone=_STRING,
-    job_title=_STRING,
-    lifecycle_stage=_STRING,
-    snapshot_id=_TS,
-    record_timestamp=_TS,
-)
-
 OWNERS = _table(
     owner_id=_STRING,
     email=_STRING,
@@ -148,7 +117,6 @@ SCORE_HISTORY = _table(
 
 TABLES: dict[str, T.StructType] = {
     "companies": COMPANIES,
-    "contacts": CONTACTS,
     "owners": OWNERS,
     "deals": DEALS,
     "deal_stage_reference": DEAL_STAGE_REFERENCE,
@@ -195,12 +163,11 @@ STAGE_MAPPING_ROWS = [
 ]
 
 # --- fixed values: source property -> column ------------------------------------------
-# The owner property is named differently per CRM; pass your own map to override it.
+# The owner property is named differently per CRM and has to be named by the user.
 COMPANY_PROPERTIES = {
     "name": "company_name",
     "lifecyclestage": "lifecycle_stage",
     "hs_lead_status": "lead_status",
-    "owner_id": "owner_id",
     "type": "company_type",
     "development_category": "development_category",
     "hiring_developers": "hiring_developers",
@@ -215,7 +182,6 @@ DEAL_PROPERTIES = {
     "dealstage": "deal_stage",
     "dealtype": "deal_type",
     "amount": "amount",
-    "owner_id": "owner_id",
 }
 # association type -> (target column, "single" or "multiple")
 DEAL_ASSOCIATIONS = {"companies": ("associated_company_id", "single")}
@@ -304,8 +270,6 @@ UNIQUE_KEYS = {
 }
 EMAIL_FIELDS = {"owners": ["email"]}
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
-SNAPSHOT_ID_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
-PHONE_PATTERN = r"^[\+]?[1-9][\d\s\-\(\)\.]{7,15}$"
 FACT_TABLES = ["companies", "deals"]
 COUNTED_TABLES = [
     "companies",

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,9 @@ from pyspark.sql import types as T
 from stagetally.functions.snapshots import file_date, format_snapshot_id
 from stagetally.schemas import COMPANY_EXPORT_EVIDENCE, DEAL_EXPORT_EVIDENCE
 
-FILE_COLUMNS = ["export_file", "export_date", "exported_at"]
+MALFORMED = "malformed"
+FILE_COLUMNS = ["export_file", "export_date", "exported_at", MALFORMED]
+HEADER_CHARS = 1_000_000
 _BOM = "\ufeff"
 
 
@@ -53,49 +54,71 @@ def _below(spark: SparkSession, root: str, file_path: str) -> Column:
     return F.substring_index(inside, "/", 1)
 
 
-def export_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct header lines of every export.
+def export_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header record of every export; exports have one header in all their files.
 
-    An export is one CSV file or a folder of part files.  Only rows of a file's
-    first block can hold its header; row ids grow in read order, so the header
-    is the row with the smallest one.  The scan aggregates before its shuffle,
-    which moves one line per file.
+    An export is one CSV file or a folder of part files.  Files are opened on
+    the driver and read up to the end of their first record only; a record
+    that is not closed within ``HEADER_CHARS`` is an error.
     """
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(path)
-    return (
-        lines.select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("row_id"),
-            "value",
-        )
-        .filter("block_start = 0")
-        .groupBy("file_path")
-        .agg(F.min_by("value", "row_id").alias("header"))
-        .select(_below(spark, path, "file_path").alias("export_file"), "header")
-        .distinct()
-    )
-
-
-def read_export_groups(spark: SparkSession, path: str) -> list[ExportGroup]:
-    """One group per (kind, header), every column read as text."""
-    headers: dict[str, tuple[str, ...]] = {}
-    for row in export_headers(spark, path).collect():
-        name, columns = row["export_file"], tuple(next(csv.reader([row["header"].lstrip(_BOM)])))
-        if headers.setdefault(name, columns) != columns:
-            raise ValueError(f"the files of export {name} have different headers")
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    depth = fs.makeQualified(root).depth()
+    headers: dict[str, list[str]] = {}
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        top = file
+        while top.depth() > depth + 1:
+            top = top.getParent()
+        if not file.getName().endswith(".csv") or file.getName().startswith(("_", ".")):
+            continue
+        columns = next(csv.reader([_first_record(jvm, fs, file).lstrip(_BOM)]), [])
+        if headers.setdefault(top.getName(), columns) != columns:
+            raise ValueError(f"the files of export {top.getName()} have different headers")
+    return headers
+
+
+def _first_record(jvm, fs, file) -> str:
+    """A file's first CSV record; quoted line breaks belong to it."""
+    stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(file), "UTF-8"))
+    try:
+        record = stream.readLine() or ""
+        while record.count('"') % 2:
+            line = stream.readLine()
+            if line is None or len(record) > HEADER_CHARS:
+                raise ValueError(f"no complete header in {file.toString()}")
+            record += "\n" + line
+        return record
+    finally:
+        stream.close()
+
+
+def read_export_groups(spark: SparkSession, path: str, multi_line: bool = True) -> list[ExportGroup]:
+    """One group per (kind, header), every column read as text.
+
+    Quoted fields may hold line breaks; a file is then read by one task.
+    ``multi_line=False`` splits files, for exports known to have none.  A
+    record with too few or too many fields is kept as it stands in
+    ``malformed``, which is NULL for all others.
+    """
+    headers = {name: tuple(columns) for name, columns in export_headers(spark, path).items()}
     grouped: dict[tuple, list[str]] = {}
     for name, columns in sorted(headers.items()):
         grouped.setdefault((classify_export(name, list(columns)), columns), []).append(name)
     groups = []
     for (kind, columns), names in grouped.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED)])
         frame = (
             spark.read.schema(schema)
             .option("header", True)
             .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("columnPruning", False)  # else fields that no one reads would not be counted
             .option("recursiveFileLookup", True)
-            .csv([f"{path.rstrip('/')}/{unquote(n)}" for n in names])
+            .csv([f"{path.rstrip('/')}/{n}" for n in names])
             .withColumn("_path", F.col("_metadata.file_path"))
             .withColumn("exported_at", F.col("_metadata.file_modification_time"))
         )
@@ -105,9 +128,9 @@ def read_export_groups(spark: SparkSession, path: str) -> list[ExportGroup]:
     return groups
 
 
-def read_exports(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """All rows of one kind; columns a file lacks are NULL."""
-    frames = [g.frame for g in read_export_groups(spark, path) if g.kind == kind]
+def read_exports(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
+    """All rows of one kind, malformed ones too; columns a file lacks are NULL."""
+    frames = [g.frame for g in read_export_groups(spark, path, multi_line) if g.kind == kind]
     if not frames:
         raise FileNotFoundError(f"no {kind} export below {path}")
     out = frames[0]

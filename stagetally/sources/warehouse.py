@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagetally.functions.records import stringify_complex
+from stagetally.operators.alignment import required_tables_present
 from stagetally.operators.profiles import table_row_counts
 from stagetally.schemas import FACT_TABLES, PARTITIONED, TABLES
 from stagetally.session import configure, cut_lineage, literal_table
@@ -60,6 +61,13 @@ class Warehouse:
         """Names of the known tables that are present."""
         return [t for t in TABLES if self.exists(t)]
 
+    def require(self, *names: str) -> None:
+        """Raise unless all the tables are present."""
+        rows = required_tables_present(self.spark, [n for n in names if self.exists(n)], list(names))
+        missing = [r["table"] for r in rows.filter("NOT present").collect()]
+        if missing:
+            raise FileNotFoundError(f"missing at {self.root}: {', '.join(missing)}")
+
     # -- reading -----------------------------------------------------------------
 
     def read_or_empty(self, name: str) -> DataFrame:

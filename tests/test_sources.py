@@ -36,10 +36,10 @@ def landed(tmp_path):
 
 def test_ingest(warehouse, tmp_path):
     paths = landed(tmp_path)
-    dry = {r["table"]: r["rows"] for r in ingest.ingest_snapshot(warehouse, paths, S1, limit=2).collect()}
+    dry = {r["table"]: r["rows"] for r in ingest.ingest_snapshot(warehouse, paths, ingest.object_configs("owner_id"), S1, limit=2).collect()}
     assert dry == {"companies": 2, "deals": 2} and warehouse.tables() == []
     events = str(tmp_path / "events")
-    ingest.ingest_snapshot(warehouse, paths, S1, limit=None, dry_run=False, as_of=AS_OF, event_path=events)
+    ingest.ingest_snapshot(warehouse, paths, ingest.object_configs("owner_id"), S1, limit=None, dry_run=False, as_of=AS_OF, event_path=events)
     found = warehouse.read("companies").select("company_id", "lifecycle_stage", "proff_link").orderBy("company_id").first()
     assert tuple(found) == ("1", "lead", "http://a.b/C")
     rows = [tuple(r) for r in warehouse.read("deals").select("deal_id", "amount", "associated_company_id").orderBy("deal_id").collect()]
@@ -57,7 +57,7 @@ def test_ingest(warehouse, tmp_path):
 def test_ingest_failure_is_logged(warehouse, tmp_path):
     paths = landed(tmp_path) | {"owners": str(tmp_path / "absent")}
     with pytest.raises(Exception):
-        ingest.ingest_snapshot(warehouse, paths, S1, limit=None, dry_run=False, as_of=AS_OF, event_path=str(tmp_path / "e"))
+        ingest.ingest_snapshot(warehouse, paths, ingest.object_configs("owner_id"), S1, limit=None, dry_run=False, as_of=AS_OF, event_path=str(tmp_path / "e"))
     assert "ingest_failure" in [r["triggered_by"] for r in warehouse.read("snapshot_registry").collect()]
     assert streams.route_events(warehouse.spark.read.text(str(tmp_path / "e"))).first()["event_type"] == "crm.snapshot.failed"
 
@@ -166,3 +166,15 @@ def test_unreadable_ids_are_rejected_before_a_migration_writes(warehouse, tmp_pa
     assert warehouse.read("snapshot_registry").count() == 1
     migrate.migrate_snapshots({"companies": old, "deals": deals}, warehouse, as_of=AS_OF)
     assert warehouse.read("companies").count() == 2
+
+
+def test_quoted_line_breaks_and_wrong_field_counts(spark, tmp_path):
+    folder = tmp_path / "quoted"
+    folder.mkdir()
+    write(folder / "deals 2025-01-01.csv", 'Record ID,"Deal', 'Name",Amount', '1,"line one', 'line two",5', "2,short", "3,x,7,8,9", "4,y,6")
+    groups = exports.read_export_groups(spark, str(folder))
+    assert [(g.kind, g.columns) for g in groups] == [("deal", ["Record ID", "Deal\nName", "Amount"])]
+    rows = {r["Record ID"]: r for r in groups[0].frame.collect()}
+    assert rows["1"]["Deal\nName"] == "line one\nline two" and rows["1"]["malformed"] is None
+    bad = imports.malformed_records(groups).collect()
+    assert sorted(r["malformed"].strip() for r in bad) == ["2,short", "3,x,7,8,9"] and {r["kind"] for r in bad} == {"deal"}
