@@ -78,7 +78,7 @@ def jobs(bed: Bed) -> dict:
         "score_all_snapshots_job": lambda: score.score_snapshots(wh, years, as_timestamp(AS_OF)),
         "score_history": lambda: drain(score_history(read("pipeline_units_snapshot"), F.col("snapshot_id"))),
         "owner_history_report": lambda: drain(owner_history_report(wh)),
-        "integrity_audit": lambda: drain(audit.audit_issues(audited())),
+        "integrity_audit": lambda: audit.integrity_audit(wh, bed.scratch("report"), as_timestamp(AS_OF)),
         "orphan_references": lambda: drain(integrity.orphan_references(audited())),
         "snapshot_distribution": lambda: drain(integrity.snapshot_distribution(read("companies"), read("deals"))),
         "duplicate_records": lambda: drain(

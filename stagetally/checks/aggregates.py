@@ -420,10 +420,21 @@ def integrity_score(bed: Bed) -> DataFrame:
     return integrity.integrity_score(_some_issues(bed), counts)
 
 
-@check("A23", f"""SELECT DISTINCT issue_type FROM ({CASE_SQL}) a UNION SELECT DISTINCT issue_type FROM ({BLANK_SQL}) b""")
+@check("A23", f"""SELECT 'found' AS audit, 6 AS position, issue_type, 'Lower-case these values when records are loaded' AS recommendation
+FROM ({CASE_SQL}) a GROUP BY issue_type
+UNION ALL SELECT 'found', 1, issue_type, 'Store missing references as NULL instead of an empty string' FROM ({BLANK_SQL}) b GROUP BY issue_type
+UNION ALL SELECT 'clean', 0, NULL, 'No action needed; keep running the checks'
+WHERE (SELECT count(*) FROM companies WHERE lifecycle_stage = 'no such stage') = 0""")
 def recommendations(bed: Bed) -> DataFrame:
+    """Advice for issues found, and the row that stands for none."""
     found = integrity.case_violation_count(bed.audited).unionByName(integrity.blank_reference_count(bed.audited))
-    return integrity.recommendations(found).select("issue_type")
+    stage = bed.companies.filter("lifecycle_stage = 'no such stage'").select("company_id")
+    none = found.join(stage, found["table"] == stage["company_id"], "left_semi")
+    return (
+        integrity.recommendations(found)
+        .withColumn("audit", F.lit("found"))
+        .unionByName(integrity.recommendations(none).withColumn("audit", F.lit("clean")))
+    )
 
 
 @check("A25", f"""SELECT {ts("snapshot_id")}, CAST(sum(c) AS BIGINT) AS companies, CAST(sum(d) AS BIGINT) AS deals,

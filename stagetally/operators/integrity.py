@@ -41,6 +41,7 @@ ADVICE = {
     "invalid_format": "Validate value formats when records are loaded",
     "case_normalization": "Lower-case these values when records are loaded",
     "anomalous_distribution": "Check the snapshots whose size is far from the average",
+    "missing_table": "Create the table or correct the folder that was audited",
 }
 NO_ADVICE = "No action needed; keep running the checks"
 
@@ -117,6 +118,16 @@ def _offending(tables: Tables, rules: Mapping[str, tuple], numbered: list[tuple]
     return counted.groupBy("number", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def missing_tables(spark: SparkSession, names: list[str]) -> DataFrame:
+    """An issue for every table that should have been there."""
+    rows = literal_table(
+        spark,
+        [(n, "*", 1, [n]) for n in names],
+        "table string, field string, count bigint, sample_values array<string>",
+    )
+    return _issue_rows(rows, "missing_table", "critical", F.concat(F.lit("There is no table "), F.col("table")))
+
+
 def _with_samples(counted: DataFrame, keys: list[str]) -> DataFrame:
     """Total rows per key plus the first five distinct values."""
     totals = counted.groupBy(*keys).agg(F.sum("n").alias("count"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -26,8 +26,8 @@ class AuditReport:
     recommendations: DataFrame
 
 
-def audit_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The issues of all eight checks; tables that are absent are skipped."""
+def audit_issues(tables: Mapping[str, DataFrame], expected: Iterable[str] = ()) -> DataFrame:
+    """The issues of all eight checks over the given tables; an expected one that is absent is an issue itself."""
     checks = [
         integrity.counter_issues(tables),
         integrity.value_issues(tables),
@@ -37,6 +37,9 @@ def audit_issues(tables: Mapping[str, DataFrame]) -> DataFrame:
     if "companies" in tables and "deals" in tables:
         distribution = integrity.snapshot_distribution(tables["companies"], tables["deals"])
         checks.append(integrity.distribution_anomalies(distribution))
+    missing = [t for t in expected if t not in tables]
+    if missing:
+        checks.append(integrity.missing_tables(next(iter(tables.values())).sparkSession, missing))
     return reduce(DataFrame.unionByName, checks)
 
 
@@ -61,7 +64,7 @@ def integrity_audit(
     """
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     tables = {t: warehouse.read(t) for t in warehouse.tables()}
-    report = audit_report(tables, cut_lineage(audit_issues(tables)))
+    report = audit_report(tables, cut_lineage(audit_issues(tables, COUNTED_TABLES)))
     if report_path:
         for part in ("issues", "counts", "rollup", "score", "recommendations"):
             write_report(getattr(report, part), f"{report_path}/{part}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
@@ -56,13 +58,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its
-    own; on a cluster a machine-local folder would be wrong, so that is refused.
+    own, removed when Python ends; on a cluster a machine-local folder would be
+    wrong, so that is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="stagetally-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

@@ -88,3 +88,15 @@ def test_audit_is_stored_and_logged(spark, warehouse, tmp_path):
     assert spark.read.json(f"{path}/issues").count() == report.issues.count()
     row = warehouse.read("snapshot_registry").filter("triggered_by = 'integrity_verification_step5'").first()
     assert row["status"] == "completed" and "score" in row["notes"]
+
+
+def test_an_expected_table_that_is_absent_is_an_issue(spark, warehouse):
+    tables = bed(spark)
+    deals = tables.pop("deals")
+    found = issues(audit.audit_issues(tables, [*tables, "deals"]))
+    assert found[("deals", "*", "missing_table")] == (1, ["deals"])
+    assert ("deals", "*", "missing_table") not in issues(audit.audit_issues(tables | {"deals": deals}, ["deals"]))
+    for name, df in tables.items():
+        warehouse.append_table(df, name)
+    report = audit.integrity_audit(warehouse, None, AS_OF)
+    assert report.issues.filter("issue_type = 'missing_table' AND table = 'deals'").count() == 1
