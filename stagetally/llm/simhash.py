@@ -172,5 +172,6 @@ def near_components(prints: DataFrame, names: list[str], radius: int, count: int
     top = labelled.join(
         joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left"
     ).withColumn("top", F.coalesce("top", "root"))
-    first = top.groupBy("top").agg(F.min("first").alias("component"))
+    # Stored, so that the join below has a plain shuffle on both sides and can split a large component.
+    first = stored(top.groupBy("top").agg(F.min("first").alias("component")))
     return prints.join(top.join(first, "top").select(*names, "component"), names).select("key", *names, "component")

@@ -35,7 +35,11 @@ KINDS = (
     ),
     ("person", rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_OTHER})\x20{_NAME}(?:\x20{_NAME})?"),
 )
-ANY = "|".join(f"(?:{r})" for _, r in KINDS)
+_BY_KIND = {k: f"(?:{r})" for k, r in KINDS}
+# What a number or a title can begin with is tested first; that alone rules out most places of a text.
+_NUMBER = rf"(?=[0-9A-Z+(])(?:{'|'.join(_BY_KIND[k] for k in ('iban', 'ssn', 'ip', 'card', 'phone'))})"
+PERSON = rf"(?=[MSHDFPГгmiIjJ])(?:{_BY_KIND['person']})"
+ANY = f"{_BY_KIND['email']}|{_NUMBER}|{PERSON}"
 _SEP = "\x1f"
 ENTITIES = "__entities"
 
@@ -269,9 +273,14 @@ def written_like(hit: Column, names: Column) -> Column:
     )
 
 
+def holds(text: Column) -> Column:
+    """Whether a text has a hit; only a title can be one where there is neither a digit nor an at sign."""
+    return F.when(text.contains("@") | text.rlike("[0-9]"), text.rlike(ANY)).otherwise(text.rlike(PERSON))
+
+
 def found_in(text: Column) -> Column:
     """All hits of a text, in order."""
-    return F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(holds(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def settled(named: DataFrame, key: str, rounds: int = 64) -> DataFrame:
@@ -316,12 +325,12 @@ def with_surrogates(docs: DataFrame, text: str, key: str) -> DataFrame:
     take a later attempt, those names' surrogates are joined to the documents
     that hold them; otherwise no document is shuffled.
     """
-    plain = docs.where(F.col(text).rlike(ANY)).select(F.explode(found_in(F.col(text))).alias("hit"))
+    plain = docs.where(holds(F.col(text))).select(F.explode(found_in(F.col(text))).alias("hit"))
     named = plain.distinct().select(F.explode(parts_of(F.col("hit"))).alias("p")).select("p.kind", "p.name")
     later = settled(named, key).where("attempt > 0")
     if later.limit(1).count():
         numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
-        held = numbered.where(F.col(text).rlike(ANY)).select("__uid", F.explode(found_in(F.col(text))).alias("hit"))
+        held = numbered.where(holds(F.col(text))).select("__uid", F.explode(found_in(F.col(text))).alias("hit"))
         held = held.select("__uid", F.explode(parts_of(F.col("hit"))).alias("p")).select("__uid", "p.kind", "p.name").distinct()
         maps = (
             held.join(later, ["kind", "name"])
