@@ -26,8 +26,6 @@ def shingle_hashes(text: str | None, words: int, seed: int, distinct: bool = Fal
     found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not found:
         return np.zeros(0, "<u8")
-    if distinct and words == 1:
-        found = list(set(found))
     words = min(words, len(found))
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
@@ -47,22 +45,33 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def mixed(hashes: np.ndarray, block: int) -> np.ndarray:
+    """Other hashes of the same things for each block; those of block 0 are the hashes as they are."""
+    if not block:
+        return hashes
+    h = hashes ^ np.uint64(0x9E3779B97F4A7C15 * block & (1 << 64) - 1)
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
+
+
 def fingerprints(
-    docs: DataFrame, key: str, text: str, words: int = 4, seeds: tuple[int, ...] = (42,), distinct: bool = False
+    docs: DataFrame, key: str, text: str, words: int = 4, seed: int = 42, distinct: bool = False, blocks: int = 1
 ) -> DataFrame:
-    """``(key, f0, f1, ...)``: one 64-bit fingerprint per seed for every row.
+    """``(key, f0, f1, ...)``: a fingerprint of ``blocks`` times 64 bits for every row.
 
     A null or blank text has fingerprint zero.  Other columns are ignored; the
     key may be null or repeated, every row gives one row.
     """
-    names = [f"f{i}" for i in range(len(seeds))]
+    names = [f"f{i}" for i in range(blocks)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            found = [
-                [fingerprint(shingle_hashes(t.as_py(), words, seed, distinct)) for t in texts] for seed in seeds
-            ]
+            found: list[list[int]] = [[] for _ in names]
+            for text_ in batch.column(1):
+                hashes = shingle_hashes(text_.as_py(), words, seed, distinct)
+                for block, out in enumerate(found):
+                    out.append(fingerprint(mixed(hashes, block)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(f, pa.int64()) for f in found)], ["key", *names]
             )
