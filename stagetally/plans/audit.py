@@ -43,9 +43,15 @@ def audit_issues(tables: Mapping[str, DataFrame], expected: Iterable[str] = ())
     return reduce(DataFrame.unionByName, checks)
 
 
-def audit_report(tables: Mapping[str, DataFrame], issues: DataFrame | None = None) -> AuditReport:
+def audit_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return table_counts({t: tables[t] for t in COUNTED_TABLES if t in tables})
+
+
+def audit_report(
+    tables: Mapping[str, DataFrame], issues: DataFrame | None = None, counts: DataFrame | None = None
+) -> AuditReport:
     issues = audit_issues(tables) if issues is None else issues
-    counts = table_counts({t: tables[t] for t in COUNTED_TABLES if t in tables})
+    counts = audit_counts(tables) if counts is None else counts
     return AuditReport(
         issues,
         counts,
@@ -60,11 +66,12 @@ def integrity_audit(
 ) -> AuditReport:
     """Audit a warehouse, store the report and log the audit.
 
-    The issue rows are checkpointed: they are few, and all summaries use them.
+    Issue and count rows are checkpointed: they are few, and all summaries use them.
     """
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     tables = {t: warehouse.read(t) for t in warehouse.tables()}
-    report = audit_report(tables, cut_lineage(audit_issues(tables, COUNTED_TABLES)))
+    issues = cut_lineage(audit_issues(tables, COUNTED_TABLES))
+    report = audit_report(tables, issues, cut_lineage(audit_counts(tables)))
     if report_path:
         for part in ("issues", "counts", "rollup", "score", "recommendations"):
             write_report(getattr(report, part), f"{report_path}/{part}")
