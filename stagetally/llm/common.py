@@ -65,7 +65,8 @@ def connected(links: DataFrame) -> DataFrame:
 def _hang(edges: DataFrame, keep_center: bool) -> DataFrame:
     """Hang the neighbours of every ``u`` (and ``u`` itself, if kept) on the smallest of them."""
     low = edges.groupBy("u").agg(F.min("v").alias("low"))
-    low = low.select("u", F.least("u", "low").alias("low"))
+    # Stored, so that the join has a plain shuffle on both sides and can split a node with very many neighbours.
+    low = stored(low.select("u", F.least("u", "low").alias("low")))
     hung = (
         edges.join(low, "u")
         .where(F.lit(True) if keep_center else F.col("v") > F.col("u"))
