@@ -108,3 +108,13 @@ def test_packing_takes_every_token(stages):
 def test_run_is_the_stages(spark, stages):
     got = sorted(map(str, pipeline.run(spark, stages["folder"]).drop("sequence_id", "offset").collect()))
     assert got == sorted(map(str, stages["packing"].drop("sequence_id", "offset").collect()))
+
+
+def test_documents_below_the_least_similarity_stay(spark):
+    """One word in 30 changed: five-word shingles are about 0.73 similar, word pairs 0.87."""
+    rng = random.Random(11)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(300)] for _ in range(20)]
+    other = [[w if i % 30 != 15 else f"v{rng.randrange(10**6)}" for i, w in enumerate(t)] for t in texts]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts + other)]
+    kept = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert ids(kept) == list(range(40))
