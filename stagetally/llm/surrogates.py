@@ -15,6 +15,9 @@ _MALE = r"(?:Mr\.?|Mister|Sir|Herrn?|Monsieur|Señor|Sr\.|Don|Господин|
 _FEMALE = r"(?:Mrs\.?|Ms\.?|Miss|Madam|Frau|Mme\.?|Madame|Mlle\.?|Señora|Señorita|Sra\.|Doña|Госпожа|г-жа)"
 _OTHER = r"(?:Dr\.?|Prof\.?|[Mm]y name is|[Ii]ch heiße|[Jj]e m['’]appelle|[Mm]e llamo)"
 
+#: A digit of a phone number with what may stand before it; written out as Java wants to see the length of what it looks back at.
+_DIGIT = r"[\x20.()-]{0,2}[0-9]"
+
 #: Kind and regex, in the order in which they claim a place.  No two parts of one regex can trade characters.
 KINDS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"),
@@ -31,7 +34,9 @@ KINDS = (
     (
         "phone",
         r"(?<![\p{L}\p{N}_.+-])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)[\x20.-]?)?[0-9]{2,12}(?:[\x20.-][0-9]{2,8}){0,4}"
-        r"|\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _STOP,
+        # A number in this form has 7 to 15 digits; "+100" and "+1.25" are none.
+        + rf"(?<=\+{_DIGIT * 7}{f'(?:{_DIGIT})?' * 8})"
+        + r"|\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _STOP,
     ),
     ("person", rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_OTHER})\x20{_NAME}(?:\x20{_NAME})?"),
 )
@@ -42,6 +47,8 @@ PERSON = rf"(?=[MSHDFPГгmiIjJ])(?:{_BY_KIND['person']})"
 ANY = f"{_BY_KIND['email']}|{_NUMBER}|{PERSON}"
 _SEP = "\x1f"
 ENTITIES = "__entities"
+#: After so many attempts a surrogate grows, and again after as many more: the names of its format may have taken all others.
+GROWS = 6
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -220,12 +227,16 @@ def surrogate(kind: Column, name: Column, key: str, attempt: Column) -> Column:
 
     def of(stream: Column) -> Column:
         octets = F.array_join(F.transform(F.split(name, r"\."), lambda o, i: (_byte(stream, i) % 254 + 1).cast("string")), ".")
+        more = F.array_join(
+            F.transform(F.sequence(F.lit(1), (F.floor(attempt / GROWS) * 4).cast("int")), lambda i: _drawn(stream, i + 40, "0123456789")), ""
+        )
+        longer = F.when((attempt >= GROWS) & kind.isin("phone", "ssn", "card"), more).otherwise("")
         return (
             F.when(kind == "email", _email(name, stream, key, attempt))
             .when(kind == "iban", _iban(name, stream))
             .when(kind == "ip", octets)
-            .when(kind == "card", _card(name, stream))
-            .when(kind.isin("phone", "ssn"), _digits(name, stream))
+            .when(kind == "card", F.concat(_card(name, stream), longer))
+            .when(kind.isin("phone", "ssn"), F.concat(_digits(name, stream), longer))
             .otherwise(_name(kind, stream))
         )
 
@@ -237,6 +248,9 @@ def written_like(hit: Column, names: Column) -> Column:
 
     def digits_in(number: Column) -> Column:
         plain = digits_of(number)
+        return F.concat(within(plain), F.substr(plain, F.length(digits_of(hit)) + 1))
+
+    def within(plain: Column) -> Column:
         return F.array_join(
             F.transform(
                 F.split(hit, ""),

@@ -113,3 +113,23 @@ def test_query_on_odd_rows_without_python(spark, docs, folder):
         assert got[key]["text"] == text and got[key]["n_entities"] == 0 and got[key]["entities"] == ""
     assert got[30]["n_entities"] == 4
     assert queries.op8_surrogates(spark, folder(documents=docs([]))).count() == 0
+
+
+def test_scores_and_changes_are_no_phones(spark):
+    values = [f"+1{i:02d}" for i in range(100)] + [f"+0.{i:02d}" for i in range(100)] + ["+1.25", "+100", "+12 3456"]
+    rows = [(i, f"up {v} % now") for i, v in enumerate(values)] + [(1000, "call +1 555 0123 now"), (1001, "call +49 (0) 30 123456 now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in surrogates.with_surrogates(df, "text", "k").collect()}
+    for i, text in rows:
+        phone = i >= 1000
+        assert [e["kind"] for e in got[i][surrogates.ENTITIES]] == ["phone"] * phone
+        assert (got[i]["text"] != text) == phone
+
+
+def test_exhausted_format_takes_longer_surrogates(spark):
+    named = spark.createDataFrame([("phone", f"+1{i:02d}") for i in range(100)], "kind string, name string")
+    got = surrogates.settled(named, "k").collect()
+    assert len({r["surrogate"] for r in got}) == 100 and not {r["surrogate"] for r in got} & {r["name"] for r in got}
+    assert all(re.fullmatch(r"\+1\d{2}(\d{4})*", r["surrogate"]) for r in got)
+    hit = spark.range(1).select(surrogates.written_like(F.lit("+1 555-0123"), F.array(F.lit("+198765432109"))).alias("t"))
+    assert hit.first()["t"] == "+1 987-65432109"
