@@ -55,6 +55,13 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All places that repeat an earlier paragraph, line or longer sentence, merged."""
+    return repeats.repeated_passages(table(spark, sf_dir, "documents"), "doc_id", "text").select(
+        F.col("rank").alias("doc_id"), "start", "end"
+    )
+
+
 def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -127,6 +134,7 @@ QUERIES = {
     "op3_pages": op3_pages,
     "op4_packing": op4_packing,
     "op5_repeats": op5_repeats,
+    "op5_passages": op5_passages,
     "op6_contamination": op6_contamination,
     "op7_resharding": op7_resharding,
     "op8_surrogates": op8_surrogates,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -31,8 +31,8 @@ def normalised(unit: str) -> str:
     return " ".join(unit.lower().split())
 
 
-def units(docs: DataFrame, rank: str, text: str, unit: str, min_words: int) -> DataFrame:
-    """``(rank, uid, start, end, d1, d2)``: every unit of at least ``min_words`` words with its 128-bit digest.
+def units_by_level(docs: DataFrame, rank: str, text: str, levels: dict[str, int]) -> DataFrame:
+    """``(level, rank, uid, start, end, d1, d2)``: the units of every level that have its least number of words, with 128-bit digests.
 
     ``uid`` tells rows of one rank apart; it is the same whenever the stored
     table is read in the same way.
@@ -40,19 +40,22 @@ def units(docs: DataFrame, rank: str, text: str, unit: str, min_words: int) -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, starts, ends, digests = [], [], [], []
+            of, at, starts, ends, digests = [], [], [], [], []
             for i, t in enumerate(t or "" for t in batch.column(2).to_pylist()):
-                for start, end in units_of(t, unit):
-                    words = t[start:end].lower().split()
-                    if len(words) >= min_words:
-                        at.append(i)
-                        starts.append(start)
-                        ends.append(end)
-                        digests.append(blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                for level, min_words in levels.items():
+                    for start, end in units_of(t, level):
+                        words = t[start:end].lower().split()
+                        if len(words) >= min_words:
+                            of.append(level)
+                            at.append(i)
+                            starts.append(start)
+                            ends.append(end)
+                            digests.append(blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             rows = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(of, pa.string()),
                     batch.column(0).take(rows),
                     batch.column(1).take(rows),
                     pa.array(starts, pa.int32()),
@@ -60,13 +63,18 @@ def units(docs: DataFrame, rank: str, text: str, unit: str, min_words: int) -> D
                     pa.array(halves[:, 0]),
                     pa.array(halves[:, 1]),
                 ],
-                ["rank", "uid", "start", "end", "d1", "d2"],
+                ["level", "rank", "uid", "start", "end", "d1", "d2"],
             )
 
     rows = docs.select(
         F.col(rank).cast("long").alias("rank"), F.monotonically_increasing_id().alias("uid"), F.col(text).cast("string")
     )
-    return by_batches(rows, work, "rank long, uid long, start int, end int, d1 long, d2 long")
+    return by_batches(rows, work, "level string, rank long, uid long, start int, end int, d1 long, d2 long")
+
+
+def units(docs: DataFrame, rank: str, text: str, unit: str, min_words: int) -> DataFrame:
+    """``(rank, uid, start, end, d1, d2)``: every unit of at least ``min_words`` words with its 128-bit digest."""
+    return units_by_level(docs, rank, text, {unit: min_words}).drop("level")
 
 
 def repeated_units(docs: DataFrame, rank: str, text: str, unit: str = "sentence", min_words: int = 8) -> DataFrame:
@@ -147,3 +155,53 @@ def deduplicated(docs: DataFrame, rank: str, text: str, unit: str = "sentence",
         work,
         "rank long, uid long, text string, kept array<struct<start:int,end:int>>",
     )
+
+
+def repeated_passages(docs: DataFrame, rank: str, text: str, levels: dict[str, int] | None = None) -> DataFrame:
+    """``(rank, uid, start, end)``: the places to remove if paragraphs, lines and sentences are deduplicated together.
+
+    Units are compared within their level, as in :func:`repeated_units`, and
+    the places found are merged where they overlap.  ``levels`` gives the
+    least number of words of each; by default lines and paragraphs of any
+    length count, and sentences of eight words or more, which find passages
+    that begin within a line.
+    """
+    found = written(units_by_level(docs, rank, text, levels or {"paragraph": 1, "line": 1, "sentence": 8}), "units")
+    first = (
+        found.groupBy("level", "d1", "d2")
+        .agg(F.min(F.struct("rank", "uid", "start")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    cuts = (
+        found.join(first.drop("n"), ["level", "d1", "d2"])
+        .where(~F.struct("rank", "uid", "start").eqNullSafe(F.col("first")))
+        .groupBy("rank", "uid")
+        .agg(F.collect_set(F.struct("start", "end")).alias("cuts"))
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, starts, ends = [], [], []
+            for i, places in enumerate(batch.column(2).to_pylist()):
+                for start, end in merged((c["start"], c["end"]) for c in places):
+                    at.append(i)
+                    starts.append(start)
+                    ends.append(end)
+            rows = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
+                ["rank", "uid", "start", "end"],
+            )
+
+    return by_batches(cuts, work, "rank long, uid long, start int, end int")
+
+
+def merged(places: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The places in order, those that overlap made one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(places):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out

@@ -70,3 +70,28 @@ def test_long_passage_within_lines_is_found(spark, docs, folder):
 
 def test_empty_table(spark, docs, folder):
     assert queries.op5_repeats(spark, folder(documents=docs([]))).count() == 0
+
+
+def test_passages_against_brute_force(spark, docs, folder):
+    rows = sorted(world(1) + [(r + 500, t) for r, t in world(1)] + ODD, key=str)
+    got = queries.op5_passages(spark, folder(documents=docs(rows).coalesce(1))).collect()
+    seen, want = set(), {}
+    for n, (rank, text) in sorted(enumerate(rows), key=lambda x: (x[1][0] is not None, x[1][0] or 0, x[0])):
+        for unit, least in (("paragraph", 1), ("line", 1), ("sentence", 8)):
+            for a, b in repeats.units_of(text or "", unit):
+                norm = repeats.normalised((text or "")[a:b])
+                if len(norm.split()) >= least:
+                    if (unit, norm) in seen:
+                        want.setdefault((n, rank), set()).update(range(a, b))
+                    seen.add((unit, norm))
+    count = lambda keys: sorted(keys, key=str)
+    places = [(r["doc_id"], i) for r in got for i in range(r["start"], r["end"])]
+    assert count(places) == count([(rank, i) for (_, rank), own in want.items() for i in own])
+
+
+def test_short_lines_and_lines_of_short_sentences_are_found(spark, docs, folder):
+    line = "the and attion of it all was anea. eriner thanea."
+    rows = [(1, f"first text\n{line}\nShare this"), (2, f"other text\n{line}\nShare this\nand more")]
+    got = queries.op5_passages(spark, folder(documents=docs(rows))).collect()
+    text = rows[1][1]
+    assert sorted(text[r["start"] : r["end"]] for r in got if r["doc_id"] == 2) == ["Share this", line] and len(got) == 2
