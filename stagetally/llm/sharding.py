@@ -155,14 +155,21 @@ def rewrite(rows: DataFrame, old: str, folder: str) -> list[int]:
     """Write the shards whose rows changed below ``folder`` (``shard=N``); their numbers.
 
     ``rows`` comes from :func:`resharded`.  A shard is affected if a row came
-    into it or left it; the files of others are left as they are.
+    into it or left it; the files of others are left as they are.  A shard
+    that lost all its rows loses its folder, after the others are written.
     """
     spark: SparkSession = rows.sparkSession
     moved = rows.where(F.col("shard") != F.col(old)).select(F.explode(F.array("shard", F.col(old).cast("int"))).alias("s"))
     touched = sorted(r[0] for r in moved.distinct().collect())
     if touched:
+        kept = rows.where(F.col("shard").isin(touched))
+        emptied = set(touched) - {r[0] for r in kept.select("shard").distinct().collect()}
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        rows.where(F.col("shard").isin(touched)).write.mode("overwrite").partitionBy("shard").parquet(folder)
+        kept.write.mode("overwrite").partitionBy("shard").parquet(folder)
+        # Dynamic overwrite replaces only partitions that have a row.
+        for shard in sorted(emptied):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder, f"shard={shard}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return touched
 
 

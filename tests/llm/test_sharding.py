@@ -70,3 +70,13 @@ def test_only_affected_shards_are_written(spark, tmp_path):
 
 def test_empty_table(spark, docs, folder):
     assert queries.op7_resharding(spark, folder(documents=docs([]))).count() == 0
+
+
+def test_emptied_shards_leave_no_files(spark, tmp_path):
+    out = str(tmp_path / "out")
+    ids = [(i, i % 4) for i in range(40)]
+    spark.createDataFrame(ids, "id long, shard int").write.partitionBy("shard").parquet(out)
+    moved = spark.createDataFrame([(i, s, s if s < 2 else i % 2) for i, s in ids], "id long, old int, shard int")
+    assert sharding.rewrite(moved, "old", out) == [0, 1, 2, 3]
+    got = sorted((r["id"], r["shard"]) for r in spark.read.parquet(out).select("id", "shard").collect())
+    assert got == sorted((i, s if s < 2 else i % 2) for i, s in ids)
