@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, neighbours, packing, pages, repeats, secrets, sharding, simhash, surrogates
+from . import contamination, langid, neighbours, oracles, packing, pages, ranking, repeats, retrieval, secrets, sharding
+from . import simhash, sources, surrogates
 from .common import stored, table
 
 #: The key of the registered query; users bring their own, and keep it.
@@ -128,6 +129,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return ranking.ranked(docs, "doc_id", "text", items, "item_id", "text", k=10).withColumnRenamed("key", "doc_id")
+
+
+def op12_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in windows of at most 1024, next to their lexical neighbours."""
+    return retrieval.packed_with_neighbours(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed(
+        "key", "doc_id"
+    )
+
+
+def op13_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source of a language differs from the other sources and from the language."""
+    return sources.divergence(table(spark, sf_dir, "documents"), "lang", "source", "text")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_neighbours": op2_neighbours,
@@ -140,5 +159,8 @@ QUERIES = {
     "op8_surrogates": op8_surrogates,
     "op9_secrets": op9_secrets,
     "op10_language": op10_language,
+    "op11_ranking": op11_ranking,
+    "op12_retrieval": op12_retrieval,
+    "op13_sources": op13_sources,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_ranking": oracles.RANKING, "op13_sources": oracles.SOURCES}
