@@ -73,6 +73,18 @@ def scoring_state(registry: DataFrame) -> DataFrame:
     )
 
 
+def unfinished_loads(registry: DataFrame) -> DataFrame:
+    """``(snapshot_id, load)`` of loads that were logged as started, and not as completed."""
+    named = registry.withColumn("load", F.nullif(F.regexp_extract("notes", r"\((load-[0-9a-f]{32})\)", 1), F.lit("")))
+    return (
+        named.filter(F.col("load").isNotNull())
+        .groupBy("snapshot_id", "load")
+        .agg(F.max(F.col("status") == COMPLETED).alias("done"))
+        .filter("NOT done")
+        .select("snapshot_id", "load")
+    )
+
+
 def latest_snapshot_rows(fact: DataFrame, registry: DataFrame) -> DataFrame:
     """Rows of the newest completed snapshot, picked by a scalar subquery."""
     newest = registry.filter(F.col("status").like("%completed%")).agg(

@@ -17,6 +17,7 @@ from stagetally.plans import registry_log
 from stagetally.schemas import COMPANY_PROPERTIES, DEAL_ASSOCIATIONS, DEAL_PROPERTIES
 from stagetally.session import cut_lineage, literal_table
 from stagetally.sources import landing
+from stagetally.sources.staging import Load
 from stagetally.sources.warehouse import Warehouse, as_timestamp, table_counts
 
 
@@ -65,6 +66,7 @@ def ingest_snapshot(
     environment: str = "dev",
     trigger: str = "manual",
     event_path: str | None = None,
+    replace: bool = False,
 ) -> DataFrame:
     """Load one snapshot and return rows per table; see :func:`object_configs`.
 
@@ -72,6 +74,11 @@ def ingest_snapshot(
     and ``deal_stage_reference``.  A dry run only counts.  A limit on the
     objects of each table is noted in the registry.  Owners and stages
     are replaced; an empty list leaves the old ones.
+
+    Companies and deals are written beside their tables and moved in together
+    once all is computed.  What an earlier load of the snapshot left that never
+    completed is taken back first, so a failed load can be repeated.  Rows of
+    completed loads of the same snapshot stay, unless ``replace`` is set.
     """
     spark = warehouse.spark
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
@@ -83,29 +90,32 @@ def ingest_snapshot(
         facts[config.table] = object_rows(pages, config, stamp, now)
     if dry_run:
         return table_counts(facts)
-    registry_log.register_ingest_start(warehouse, snapshot, as_of, trigger)
-    try:
-        for name, rows in facts.items():
-            warehouse.append_table(rows, name)
-        references = {
-            "owners": landing.read_owners(spark, paths["owners"]),
-            "deal_stage_reference": landing.flatten_deal_stages(
-                spark, paths["deal_stage_reference"], now
-            ),
-        }
-        for name, rows in references.items():
-            warehouse.replace_table(rows, name)
-    except Exception as error:
-        registry_log.register_ingest_failure(warehouse, snapshot, str(error), as_of)
-        if event_path:
-            event = build_failed_event(format_snapshot_id(stamp), F.lit(str(error)), now, environment)
-            spark.range(1).select(event.alias("value")).write.mode("append").text(event_path)
-        raise
+    with Load(warehouse) as load:
+        registry_log.register_ingest_start(warehouse, snapshot, as_of, trigger, load.name)
+        try:
+            for name, rows in facts.items():
+                load.stage(rows, name)
+            references = {
+                "owners": landing.read_owners(spark, paths["owners"]),
+                "deal_stage_reference": landing.flatten_deal_stages(
+                    spark, paths["deal_stage_reference"], now
+                ),
+            }
+            for name, rows in references.items():
+                warehouse.replace_table(rows, name)
+            registry_log.withdraw_unfinished(warehouse, facts, [snapshot], {load.name})
+            load.publish([snapshot] if replace else ())
+        except Exception as error:
+            registry_log.register_ingest_failure(warehouse, snapshot, str(error), as_of)
+            if event_path:
+                event = build_failed_event(format_snapshot_id(stamp), F.lit(str(error)), now, environment)
+                spark.range(1).select(event.alias("value")).write.mode("append").text(event_path)
+            raise
     stored = {n: warehouse.read_table_for_snapshot(n, snapshot) for n in facts}
     counts = cut_lineage(table_counts(stored | {n: warehouse.read_or_empty(n) for n in references}))
     by_table = {r["table"]: r["rows"] for r in counts.collect()}
     registry_log.register_ingest_completion(
-        warehouse, snapshot, {n: by_table[n] for n in facts}, {n: by_table[n] for n in references}, as_of, limit
+        warehouse, snapshot, {n: by_table[n] for n in facts}, {n: by_table[n] for n in references}, as_of, limit, load.name
     )
     if event_path:
         event = completed_event(spark, snapshot, by_table, list(facts), list(references), as_of, environment)

@@ -16,6 +16,7 @@ from stagetally.functions.text import append_note
 from stagetally.operators import registry as log
 from stagetally.schemas import REGISTRY
 from stagetally.session import literal_table
+from stagetally.sources.staging import withdraw
 from stagetally.sources.warehouse import Warehouse, as_timestamp
 
 
@@ -38,8 +39,28 @@ def register_event(
     register_events(warehouse, [(trigger, status, notes, snapshot_id)], as_of)
 
 
-def register_ingest_start(warehouse: Warehouse, snapshot_id, as_of: datetime, trigger: str = "manual") -> None:
-    register_event(warehouse, snapshot_id, trigger, log.STARTED, "snapshot load began", as_of)
+def load_note(message: str, load: str | None) -> str:
+    """A note that names the load, so that its files can be found."""
+    return f"{message} ({load})" if load else message
+
+
+def withdraw_unfinished(warehouse: Warehouse, names: Iterable[str], snapshot_ids: Iterable, running: set[str]) -> list[str]:
+    """Take back what loads have moved into the snapshots that began but are not logged as completed.
+
+    Loads in ``running`` are left alone.  Returns the loads taken back.
+    """
+    ids = {as_timestamp(s) for s in snapshot_ids}
+    found = log.unfinished_loads(warehouse.read_or_empty("snapshot_registry").filter(F.col("snapshot_id").isin(list(ids))))
+    loads = sorted({r["load"] for r in found.select("load").collect()} - running)
+    for load in loads:
+        withdraw(warehouse, load, names, ids)
+    return loads
+
+
+def register_ingest_start(
+    warehouse: Warehouse, snapshot_id, as_of: datetime, trigger: str = "manual", load: str | None = None
+) -> None:
+    register_event(warehouse, snapshot_id, trigger, log.STARTED, load_note("snapshot load began", load), as_of)
 
 
 def register_ingest_completion(
@@ -49,12 +70,13 @@ def register_ingest_completion(
     reference_counts: dict[str, int],
     as_of: datetime,
     limit: int | None = None,
+    load: str | None = None,
 ) -> None:
     rows = {**data_counts, **reference_counts}
     notes = "loaded " + ", ".join(f"{name}={n}" for name, n in rows.items())
     if limit:
         notes += f"; at most {limit} objects of a table"
-    register_event(warehouse, snapshot_id, log.INGEST_COMPLETION, log.COMPLETED, notes, as_of)
+    register_event(warehouse, snapshot_id, log.INGEST_COMPLETION, log.COMPLETED, load_note(notes, load), as_of)
 
 
 def register_ingest_failure(warehouse: Warehouse, snapshot_id, message: str, as_of: datetime) -> None:

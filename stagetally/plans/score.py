@@ -13,8 +13,11 @@ from stagetally.operators.scoring import score_history, score_units, stage_mappi
 from stagetally.plans import registry_log
 from stagetally.schemas import STAGE_MAPPING_ROWS
 from stagetally.session import literal_table
+from stagetally.sources.staging import Load
 from stagetally.sources.warehouse import Warehouse, as_timestamp
 
+UNITS_TABLE, HISTORY_TABLE = "pipeline_units_snapshot", "pipeline_score_history"
+
 _STAMPS = "snapshot_id timestamp, record_timestamp timestamp"
 _RESULTS = "snapshot_id timestamp, status string, unit_records bigint, history_records bigint, error string"
 
@@ -32,8 +35,9 @@ def score_snapshots(
 ) -> DataFrame:
     """Score the given snapshots, store units and history, log the outcome.
 
-    Both tables are replaced per snapshot, so a rerun gives the same rows.
-    History is read back from the stored units.  Load times grow by one
+    Both tables are replaced per snapshot, so a rerun gives the same rows, and
+    both are complete before either changes.  History is computed from the
+    units as written.  Load times grow by one
     microsecond per snapshot in the given order, because the report compares
     snapshots by load time.  ``processed`` holds the record counts that
     completion messages announced, kept in the log.  Returns one result row per snapshot.
@@ -59,12 +63,12 @@ def score_snapshots(
             mapping,
             F.lit(None).cast("timestamp"),
         )
-        unit_rows = warehouse.replace_snapshots(_stamped(units, stamps), "pipeline_units_snapshot", ids)
-        stored = warehouse.read_snapshots("pipeline_units_snapshot", ids)
-        history = score_history(stored, F.lit(None).cast("timestamp"))
-        history_rows = warehouse.replace_snapshots(
-            _stamped(history, stamps), "pipeline_score_history", ids
-        )
+        with Load(warehouse) as load:
+            load.stage(_stamped(units, stamps), UNITS_TABLE)
+            history = score_history(load.rows(UNITS_TABLE), F.lit(None).cast("timestamp"))
+            load.stage(_stamped(history, stamps), HISTORY_TABLE)
+            unit_rows, history_rows = load.counts(UNITS_TABLE, ids), load.counts(HISTORY_TABLE, ids)
+            load.publish(ids)
     except Exception as error:
         registry_log.register_scoring_failure(warehouse, ids, str(error), datetime.now(timezone.utc))
         raise

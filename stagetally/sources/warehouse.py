@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from pyspark.sql import types as T
 
 from stagetally.functions.records import stringify_complex
 from stagetally.operators.alignment import required_tables_present
+from stagetally.operators.digest import DIGEST, digest_of, digests
 from stagetally.operators.profiles import table_row_counts
 from stagetally.schemas import FACT_TABLES, PARTITIONED, TABLES
-from stagetally.session import configure, cut_lineage, literal_table
+from stagetally.session import configure, literal_table
+from stagetally.sources.staging import Load
 
 _KEY = "snapshot_id"
 REPEATED_KEY = "a source key is repeated"
@@ -42,6 +45,8 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.prefix = prefix
         self.column_names = {t: dict(m) for t, m in (column_names or {}).items()}
+        #: Digests of the rows that were copied elsewhere, by target path.
+        self._copied: dict[str, tuple] = {}
 
     # -- locations ---------------------------------------------------------------
 
@@ -76,14 +81,17 @@ class Warehouse:
 
     def read(self, name: str) -> DataFrame:
         """The table under its declared schema; an absent one is an error."""
-        schema = TABLES[name]
         if not self.exists(name):
             raise FileNotFoundError(f"no table {name} at {self.path(name)}")
+        return self._read_at(self.path(name), name)
+
+    def _read_at(self, path: str, name: str) -> DataFrame:
+        schema = TABLES[name]
         stored = self.column_names.get(name, {})
         disk = T.StructType(
             [T.StructField(stored.get(f.name, f.name), f.dataType) for f in schema]
         )
-        df = self.spark.read.schema(disk).parquet(self.path(name))
+        df = self.spark.read.schema(disk).parquet(path)
         return df.withColumnsRenamed({s: c for c, s in stored.items()}).select(*schema.names)
 
     def read_table_for_snapshot(self, name: str, snapshot_id) -> DataFrame:
@@ -141,8 +149,9 @@ class Warehouse:
         beside = f"{self.root}/_new-{self.prefix}{name}-{uuid.uuid4().hex}"
         new, old = self._fs(beside)[1], self._fs(beside.replace("/_new-", "/_old-"))[1]
         try:
-            self._store(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, "errorifexists", path=beside)
-            if not seen.get.get("rows") and keep_if_empty:
+            self._store(df.observe(seen, *digest_of(df.columns)), name, "errorifexists", path=beside)
+            self._last_digest = tuple(seen.get.get(c, 0) for c in DIGEST)
+            if not self._last_digest[0] and keep_if_empty:
                 return False
             there = fs.exists(table)
             if there and not fs.rename(table, old):
@@ -159,28 +168,16 @@ class Warehouse:
     def replace_snapshots(self, df: DataFrame, name: str, snapshot_ids: Iterable) -> dict[datetime, int]:
         """Make the given snapshots hold exactly the rows of ``df``.
 
-        Returns rows written per snapshot.  Only those directories are touched.
-        A snapshot that produced no row is cleared, which a dynamic overwrite
-        alone would not do; the set of snapshots written is observed during the
-        write, so the input is computed once.
+        Returns rows written per snapshot.  Only those directories are touched,
+        after all rows are written; a snapshot that produced no row is removed
+        in the same step.  The input is computed once and may be derived from
+        the table.
         """
         wanted = {as_timestamp(s) for s in snapshot_ids}
-        seen = Observation()
-        out = self._conform(df.filter(F.col(_KEY).isin(list(wanted))), name)
-        out = out.hint("rebalance", F.col(_KEY))
-        out = out.observe(seen, F.collect_set(F.col(_KEY).cast("string")).alias("written"))
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(_KEY)
-            .parquet(self.path(name))
-        )
-        written = {as_timestamp(s) for s in seen.get.get("written", [])}
-        self._drop_snapshots(name, wanted - written)
-        counts = dict.fromkeys(wanted, 0)
-        if written:
-            stored = self.read_snapshots(name, written).groupBy(F.col(_KEY).cast("string")).count()
-            counts |= {as_timestamp(r[0]): r[1] for r in stored.collect()}
+        with Load(self) as load:
+            load.stage(df.filter(F.col(_KEY).isin(list(wanted))), name)
+            counts = load.counts(name, wanted)
+            load.publish(wanted)
         return counts
 
     def replace_snapshot(self, df: DataFrame, name: str, snapshot_id) -> int:
@@ -192,13 +189,21 @@ class Warehouse:
         if not doomed or not self.exists(name):
             return
         fs, root = self._fs(self.path(name))
+        for snapshot, folder in self._folders(self.path(name)):
+            if snapshot in doomed:
+                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(root, folder), True)
+
+    def _folders(self, path: str) -> list[tuple[datetime | None, str]]:
+        """Snapshot (None for rows without one) and name of every partition folder at a path."""
+        fs, root = self._fs(path)
         unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        for status in fs.listStatus(root):
+        found = []
+        for status in fs.listStatus(root) if fs.exists(root) else []:
             folder = status.getPath().getName()
             if folder.startswith(f"{_KEY}="):
                 value = unescape(folder.split("=", 1)[1])
-                if value != "__HIVE_DEFAULT_PARTITION__" and as_timestamp(value) in doomed:
-                    fs.delete(status.getPath(), True)
+                found.append((None if value == "__HIVE_DEFAULT_PARTITION__" else as_timestamp(value), folder))
+        return found
 
     def upsert_table(self, source: DataFrame, name: str, key: str) -> None:
         """Merge by key: matched rows updated, new rows added, the rest kept.
@@ -242,8 +247,7 @@ class Warehouse:
         """Apply ``change`` to the log rows of some snapshots and store the result."""
         ids = [as_timestamp(s) for s in snapshot_ids]
         rows = self.read_or_empty("snapshot_registry").filter(F.col(_KEY).isin(ids))
-        kept = cut_lineage(change(rows))
-        self.replace_snapshots(kept, "snapshot_registry", ids)
+        self.replace_snapshots(change(rows), "snapshot_registry", ids)
 
     # -- whole datasets ------------------------------------------------------------
 
@@ -252,31 +256,51 @@ class Warehouse:
         copied = list(names) if names is not None else self.tables()
         for name in copied:
             target._swap_in(target._conform(self.read(name), name), name, keep_if_empty=False)
+            self._copied[target.path(name)] = target._last_digest
         return copied
 
     def verify_mirror(self, target: "Warehouse", names: Iterable[str] | None = None) -> DataFrame:
-        """Per table: rows on both sides, whether schemas agree, and the verdict."""
+        """Per table: rows on both sides, whether schemas agree, and the verdict.
+
+        Contents are compared by digests that don't depend on the order of
+        rows.  That of a table this object has mirrored was taken while it was
+        copied; other sources are scanned.
+        """
         names = list(names) if names is not None else self.tables()
+        known = [(n, *self._copied[target.path(n)]) for n in names if target.path(n) in self._copied]
+        scanned = [n for n in names if target.path(n) not in self._copied]
+        schema = "table string, rows bigint, hash_sum decimal(38), hash_xor bigint"
+        empty = self.spark.createDataFrame(known, schema)
+        source = reduce(DataFrame.unionByName, [_digest_row(self.read(n), n) for n in scanned], empty)
+        stored = reduce(DataFrame.unionByName, [_digest_row(target.read_or_empty(n), n) for n in names])
+        stored = stored.select("table", *[F.col(c).alias(f"_{c}") for c in DIGEST])
         same = literal_table(
             self.spark,
             [(n, _stored_schema(self, n) == _stored_schema(target, n)) for n in names],
             T.StructType([T.StructField("table", T.StringType()), T.StructField("schema_equal", T.BooleanType())]),
         )
-        counts = table_counts({n: self.read(n) for n in names}).withColumnRenamed("rows", "source_rows")
-        copies = table_counts({n: target.read_or_empty(n) for n in names}).withColumnRenamed("rows", "target_rows")
-        equal = F.col("source_rows") == F.col("target_rows")
+        equal = (F.col("hash_sum") == F.col("_hash_sum")) & (F.col("hash_xor") == F.col("_hash_xor"))
         return (
-            counts.join(copies, "table")
+            source.join(stored, "table")
             .join(same, "table")
-            .withColumn(
-                "verdict",
-                F.when(~equal, "row count mismatch")
+            .select(
+                "table",
+                F.col("rows").alias("source_rows"),
+                F.col("_rows").alias("target_rows"),
+                "schema_equal",
+                F.when(F.col("rows") != F.col("_rows"), "row count mismatch")
+                .when(~equal, "content mismatch")
                 .when(~F.col("schema_equal"), "schema mismatch")
-                .otherwise("valid"),
+                .otherwise("valid")
+                .alias("verdict"),
             )
         )
 
 
+def _digest_row(df: DataFrame, name: str) -> DataFrame:
+    return digests(df).select(F.lit(name).alias("table"), *DIGEST)
+
+
 def _stored_schema(warehouse: Warehouse, name: str) -> list[tuple[str, str]] | None:
     """Column names and types as found on disk."""
     if not warehouse.exists(name):
