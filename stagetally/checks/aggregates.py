@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagetally.checks.base import Bed, check, ts
+from stagetally.checks.base import AS_OF, FIRST_YEAR, LAST_YEAR, Bed, check, ts
 from stagetally.checks.shaping import _ENRICHED
 from stagetally.operators import exports, history, integrity, profiles, registry
 from stagetally.operators.sampling import limit_per_object, sample_values
-from stagetally.plans.report import enriched_units, owner_history
-from stagetally.sources.warehouse import table_counts
+from stagetally.plans.report import enriched_units, owner_history, register_report_view
+from stagetally.plans.score import score_snapshots
+from stagetally.sources.warehouse import as_timestamp, table_counts
 
 
 def _at_2000(df: DataFrame) -> DataFrame:
@@ -167,6 +168,19 @@ def owner_history_report(bed: Bed) -> DataFrame:
     return history.report_order(_rounded(report))
 
 
+@check("W05", REPORT_CTES + f"""SELECT * EXCLUDE (snapshot_id, record_timestamp, previous_record_timestamp, total_deal_value,
+avg_score_per_unit, avg_score_per_owner), {ts('snapshot_id')}, {_ROUNDED_SQL},
+round(avg_score_per_owner, 6) AS avg_score_per_owner FROM report""")
+def owner_history_view(bed: Bed) -> DataFrame:
+    """The report as a view, made from the owner rows that scoring keeps; the last snapshot is scored twice."""
+    wh = bed.warehouse("companies", "deals", "deal_stage_reference", "owners")
+    years = [f"{y}-01-01T00:00:00Z" for y in range(FIRST_YEAR, LAST_YEAR + 1)]
+    score_snapshots(wh, years, as_timestamp(AS_OF))
+    score_snapshots(wh, years[-1:], as_timestamp("2024-02-01T00:00:00Z"))
+    register_report_view(wh, "vw_owner_history_check")
+    return _rounded(bed.spark.table("vw_owner_history_check")).drop("record_timestamp", "previous_record_timestamp")
+
+
 # -- profiles ------------------------------------------------------------------------------------
 
 

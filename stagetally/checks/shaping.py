@@ -216,8 +216,9 @@ def deals_with_stage_reference(bed: Bed) -> DataFrame:
 
 @check("J02", f"SELECT company_id, deal_id, {ts('snapshot_id')} FROM staged")
 def companies_with_open_deals(bed: Bed) -> DataFrame:
+    deals = scoring.prepared_deals(bed.deals, bed.stages)
     joined = scoring.companies_with_deals(
-        scoring.prepared_companies(bed.companies), scoring.prepared_deals(bed.deals, bed.stages)
+        scoring.prepared_companies(bed.companies), deals, scoring.heavy_companies(deals, least_rows=50_000)
     )
     return joined.select("company_id", "deal_id", "snapshot_id")
 

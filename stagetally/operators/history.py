@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stagetally.functions.text import owner_display_name
 from stagetally.operators.distinct import distinct_aggregate
+from stagetally.operators.ranking import numbered_in_groups
+from stagetally.schemas import OWNER_ROWS
 
 OWNER_KEYS = ["snapshot_id", "record_timestamp", "owner_id", "owner_email", "owner_name"]
 
@@ -69,8 +71,22 @@ def _one_if(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def owner_aggregates(units: DataFrame) -> DataFrame:
-    """Everything the report shows per owner and snapshot."""
+LISTS = {
+    "company_types": "company_type",
+    "deal_types": "deal_type",
+    "development_categories": "development_category",
+    "hiring_status": "hiring_developers",
+}
+DISTINCT = {"total_companies": "company_id", "total_deals": "deal_id"}
+SUMS = [
+    f.name
+    for f in OWNER_ROWS
+    if f.name not in ("owner_id", "snapshot_id", "record_timestamp", *LISTS, *DISTINCT)
+]
+
+
+def _measures() -> dict[str, Column]:
+    """What is summed per owner and snapshot."""
     level, score = F.col("stage_level"), F.col("adjusted_score")
     bands = {
         "nurturing": level == 0,
@@ -80,9 +96,9 @@ def owner_aggregates(units: DataFrame) -> DataFrame:
     }
     company_types = ["Prospect", "Customer", "Partner", "Vendor"]
     deal_types = {"new_business": "New Business", "existing_business": "Existing Business"}
-    sums = {
+    return {
         "total_score": score,
-        "_scored": _one_if(score.isNotNull()),
+        "scored_units": _one_if(score.isNotNull()),
         "total_deal_value": F.coalesce("deal_amount", F.lit(0.0)),
         **{f"{band}_count": _one_if(test) for band, test in bands.items()},
         **{f"{band}_score": F.when(test, score).otherwise(0.0) for band, test in bands.items()},
@@ -90,25 +106,53 @@ def owner_aggregates(units: DataFrame) -> DataFrame:
         "companies_with_deals": _one_if(F.col("deal_type").isNotNull()),
         **{f"{n}_count": _one_if(F.col("deal_type") == t) for n, t in deal_types.items()},
     }
-    lists = {
-        "company_types": "company_type",
-        "deal_types": "deal_type",
-        "development_categories": "development_category",
-        "hiring_status": "hiring_developers",
-    }
-    distinct = {"total_companies": "company_id", "total_deals": "deal_id"}
-    rows = distinct_aggregate(units, OWNER_KEYS, distinct, lists, sums)
-    average = F.when(F.col("_scored") > 0, F.col("total_score") / F.col("_scored"))
+
+
+def _finished(rows: DataFrame) -> DataFrame:
+    """Report columns of owner rows that have names and all sums."""
+    average = F.when(F.col("scored_units") > 0, F.col("total_score") / F.col("scored_units"))
     return rows.withColumn("avg_score_per_unit", average).select(
         *OWNER_KEYS,
-        *lists,
-        *distinct,
+        *LISTS,
+        *DISTINCT,
         "total_score",
         "avg_score_per_unit",
-        *[name for name in sums if name not in ("total_score", "_scored")],
+        *[name for name in SUMS if name not in ("total_score", "scored_units")],
     )
 
 
+def owner_aggregates(units: DataFrame) -> DataFrame:
+    """Everything the report shows per owner and snapshot, of units with company, deal and owner columns."""
+    return _finished(distinct_aggregate(units, OWNER_KEYS, DISTINCT, LISTS, _measures()))
+
+
+def owner_rows(units: DataFrame) -> DataFrame:
+    """The same measures of units without owner columns, in the shape that is stored per snapshot.
+
+    Names are left out, because they may change without a snapshot being scored anew.
+    """
+    keys = ["snapshot_id", "record_timestamp", "owner_id"]
+    return distinct_aggregate(units, keys, DISTINCT, LISTS, _measures()).select(*OWNER_ROWS.names)
+
+
+def named_owner_rows(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """``owner_aggregates`` from stored owner rows and the current owners.
+
+    An owner listed twice under one name has every unit twice in the plain
+    join, so its sums are multiplied; under two names it has two rows.
+    """
+    named = with_owners(owners.select("owner_id").distinct(), owners).select("owner_id", "owner_email", "owner_name")
+    named = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_times"))
+    side = named.select(F.col("owner_id").alias("_id"), "owner_email", F.col("owner_name").alias("_name"), "_times")
+    joined = rows.join(side, rows["owner_id"] == side["_id"], "left")
+    unknown = owner_display_name(F.lit(None).cast("string"), F.lit(None).cast("string"))
+    times = F.coalesce("_times", F.lit(1).cast("bigint"))
+    joined = joined.withColumns(
+        {"owner_name": F.when(F.col("_id").isNull(), unknown).otherwise(F.col("_name")), **{c: F.col(c) * times for c in SUMS}}
+    )
+    return _finished(joined)
+
+
 def snapshot_totals(owner_rows: DataFrame) -> DataFrame:
     return owner_rows.groupBy("snapshot_id", "record_timestamp").agg(
         F.count_distinct("owner_id").alias("active_owners"),
@@ -128,45 +172,24 @@ def with_snapshot_totals(owner_rows: DataFrame, totals: DataFrame) -> DataFrame:
     return owner_rows.join(totals, "snapshot_id", "inner")
 
 
-def with_window_totals(owner_rows: DataFrame) -> DataFrame:
-    """The same rows as ``with_snapshot_totals`` over ``snapshot_totals``.
-
-    The totals come from windows over the owner rows, so the joins and
-    aggregates below are computed once instead of once per side of a join.
-    Owner rows are few (owners times load times), whatever the number of units.
-    """
-    load = Window.partitionBy("snapshot_id", "record_timestamp")
-    no_owner = F.max(F.when(F.col("owner_id").isNull(), 1).otherwise(0)).over(load)
-    totals = F.struct(
-        "record_timestamp",
-        (F.max("_owner_no").over(load) - no_owner).cast("bigint").alias("active_owners"),
-        F.sum("total_companies").over(load).alias("total_companies_all_owners"),
-        F.sum("total_score").over(load).alias("total_score_all_owners"),
-        F.avg("total_score").over(load).alias("avg_score_per_owner"),
-    )
-    snapshot = Window.partitionBy("snapshot_id")
-    rows = (
-        owner_rows.filter("snapshot_id IS NOT NULL")
-        .repartition("snapshot_id")  # serves every window here and the rank after it
-        .withColumn("_owner_no", F.dense_rank().over(load.orderBy("owner_id")))
-        .withColumn("_totals", totals)
-        .withColumn("_loads", F.collect_set("_totals").over(snapshot))
-    )
-    loads = F.inline(F.transform("_loads", lambda t: t.dropFields("record_timestamp")))
-    return rows.select(*owner_rows.columns, loads)
+def _last_resort(df: DataFrame, *first: str) -> list[str]:
+    """Columns that tell rows of one owner apart, as far as they are there."""
+    return [c for c in (*first, "owner_email", "owner_name") if c in df.columns]
 
 
 def owner_rank(df: DataFrame) -> DataFrame:
-    """Rank inside the snapshot by score; ties go to the smaller owner id."""
-    w = Window.partitionBy("snapshot_id").orderBy(
-        F.col("total_score").desc(), F.col("owner_id").asc_nulls_first()
-    )
-    return df.withColumn("owner_rank_in_snapshot", F.row_number().over(w))
+    """Rank inside the snapshot by score; ties go to the smaller owner id, then to the earlier load and smaller name.
+
+    The rows are computed here and dealt by snapshot and score, so a snapshot
+    with most of the owners is not sorted in one task.
+    """
+    order = [F.col("total_score").desc(), F.col("owner_id").asc_nulls_first(), *_last_resort(df, "record_timestamp")]
+    return numbered_in_groups(df, ["snapshot_id"], order, "owner_rank_in_snapshot")
 
 
 def previous_period(df: DataFrame) -> DataFrame:
     """Score, companies and load time of the owner's previous row."""
-    w = Window.partitionBy("owner_id").orderBy("record_timestamp", "snapshot_id")
+    w = Window.partitionBy("owner_id").orderBy("record_timestamp", "snapshot_id", *_last_resort(df))
     return df.withColumns(
         {
             f"previous_{c}": F.lag(c).over(w)

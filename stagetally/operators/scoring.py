@@ -80,32 +80,72 @@ def open_deals(staged: DataFrame) -> DataFrame:
     return staged.filter(~F.coalesce(F.col("is_closed"), F.lit(False)))
 
 
-def companies_with_deals(companies: DataFrame, deals: DataFrame) -> DataFrame:
+def heavy_companies(deals: DataFrame, least_rows: int = 500_000, most: int = 10_000) -> DataFrame:
+    """Companies of a snapshot with ``least_rows`` deals or more, and how many parts their deals are dealt into.
+
+    ``(company_key, salts)``, from one count of the deals; the ``most`` heaviest
+    of them, so the result, a local table, has a bounded size.  ``salts`` are
+    powers of two, about one for every ``least_rows`` deals.
+    """
+    counts = deals.filter("associated_company_id IS NOT NULL").groupBy(
+        _company_key(F.col("associated_company_id"), F.col("snapshot_id")).alias("company_key")
+    )
+    heavy = counts.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_rows)
+    rows = heavy.orderBy(F.col("n").desc(), "company_key").limit(most).collect()
+    salted = [(r["company_key"], max(2, 1 << (-(-r["n"] // least_rows) - 1).bit_length())) for r in rows]
+    return literal_table(deals.sparkSession, salted, "company_key string, salts int")
+
+
+def _company_key(company: Column, snapshot: Column) -> Column:
+    return F.concat_ws("/", F.unix_micros(snapshot).cast("string"), company)
+
+
+def _salts(company: Column, snapshot: Column, heavy: DataFrame | None) -> Column:
+    """Parts a company's deals are dealt into; 1 for all that are not heavy."""
+    by_salts: dict[int, list[str]] = {}
+    for row in heavy.collect() if heavy is not None else []:
+        by_salts.setdefault(row["salts"], []).append(row["company_key"])
+    key, one = _company_key(company, snapshot), F.lit(1)
+    for salts, keys in sorted(by_salts.items()):
+        one = F.when(key.isin(keys), salts).otherwise(one)
+    return one
+
+
+def companies_with_deals(companies: DataFrame, deals: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Every company of a snapshot with each of its open deals, or alone.
 
-    Written as an inner join plus the companies without a deal rather than as
-    one outer join: a company may hold a large share of all deals, and AQE can
-    split the deal side of an inner join but not the right side of a left join.
-    The anti join only sees distinct keys, so a hot company is one row there.
-    The price is a second shuffle of the narrow company rows.
+    One left join.  A company may hold a large share of all deals, and neither
+    a hash partition nor AQE can split the right side of a left join by
+    itself.  So the deals of a company in ``heavy`` (see
+    :func:`heavy_companies`, of these very deals) are dealt into parts by their
+    hash, and the company's row is repeated for each part; parts that got no
+    deal leave no row.  All other rows have one part.
     """
+    salts = _salts(F.col("_company"), F.col("_snapshot"), heavy)
     deals = deals.select(
         "deal_id",
         "deal_stage",
         "deal_flag",
         F.col("associated_company_id").alias("_company"),
         F.col("snapshot_id").alias("_snapshot"),
+        F.lit(True).alias("_dealt"),
     )
-
-    def same(right):
-        return (right["_company"] == companies["company_id"]) & (
-            right["_snapshot"] == companies["snapshot_id"]
+    if heavy is None:
+        joined = companies.join(
+            deals, (companies["company_id"] == deals["_company"]) & (companies["snapshot_id"] == deals["_snapshot"]), "left"
         )
-
-    matched = deals.join(companies, same(deals), "inner").drop("_company", "_snapshot")
-    keys = deals.select("_company", "_snapshot").distinct()
-    alone = companies.join(keys, same(keys), "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+        return joined.drop("_company", "_snapshot", "_dealt")
+    deals = deals.withColumn("_part", F.pmod(F.xxhash64("deal_id", "deal_stage"), salts).cast("int"))
+    parts = _salts(F.col("company_id"), F.col("snapshot_id"), heavy)
+    sides = companies.withColumn("_side", F.explode(F.sequence(F.lit(0), parts - 1)))
+    sides = sides.withColumn("_heavy", parts > 1)
+    same = (
+        (sides["company_id"] == deals["_company"])
+        & (sides["snapshot_id"] == deals["_snapshot"])
+        & (sides["_side"] == deals["_part"])
+    )
+    joined = sides.join(deals, same, "left").filter("_dealt OR NOT coalesce(_heavy, false)")
+    return joined.drop("_company", "_snapshot", "_dealt", "_part", "_side", "_heavy")
 
 
 def with_scores(units: DataFrame, mapping: DataFrame, dedupe_mapping: bool = False) -> DataFrame:
@@ -157,9 +197,11 @@ def prepared_deals(deals: DataFrame, stages: DataFrame) -> DataFrame:
     )
 
 
-def staged_units(companies: DataFrame, deals: DataFrame, stages: DataFrame) -> DataFrame:
+def staged_units(
+    companies: DataFrame, deals: DataFrame, stages: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
     """Units before scoring, with the normalisation flag as a column."""
-    joined = companies_with_deals(prepared_companies(companies), prepared_deals(deals, stages))
+    joined = companies_with_deals(prepared_companies(companies), prepared_deals(deals, stages), heavy)
     return joined.withColumns(
         {
             "combined_stage": combined_stage(
@@ -178,9 +220,10 @@ def score_units(
     mapping: DataFrame,
     as_of: Column,
     dedupe_mapping: bool = False,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Scored units of every snapshot in the inputs, in one plan."""
-    units = with_scores(staged_units(companies, deals, stages), mapping, dedupe_mapping)
+    units = with_scores(staged_units(companies, deals, stages, heavy), mapping, dedupe_mapping)
     return units.withColumn("record_timestamp", as_of).select(*UNITS.names)
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagetally.operators import registry as log
-from stagetally.operators.scoring import score_history, score_units, stage_mapping
+from stagetally.operators.history import owner_rows
+from stagetally.operators.scoring import heavy_companies, prepared_deals, score_history, score_units, stage_mapping
 from stagetally.plans import registry_log
+from stagetally.plans.report import OWNER_ROWS_TABLE, attributed_units
 from stagetally.schemas import STAGE_MAPPING_ROWS
 from stagetally.session import literal_table
 from stagetally.sources.staging import Load
@@ -36,8 +38,8 @@ def score_snapshots(
     """Score the given snapshots, store units and history, log the outcome.
 
     Both tables are replaced per snapshot, so a rerun gives the same rows, and
-    both are complete before either changes.  History is computed from the
-    units as written.  Load times grow by one
+    both are complete before either changes; so are the owner rows the report
+    is made from.  History is computed from the units as written.  Load times grow by one
     microsecond per snapshot in the given order, because the report compares
     snapshots by load time.  ``processed`` holds the record counts that
     completion messages announced, kept in the log.  Returns one result row per snapshot.
@@ -56,17 +58,21 @@ def score_snapshots(
         stamps = literal_table(
             spark, [(s, as_of + timedelta(microseconds=i)) for i, s in enumerate(ids)], _STAMPS
         )
+        deals, stages = warehouse.read_snapshots("deals", ids), warehouse.read("deal_stage_reference")
         units = score_units(
             warehouse.read_snapshots("companies", ids),
-            warehouse.read_snapshots("deals", ids),
-            warehouse.read("deal_stage_reference"),
+            deals,
+            stages,
             mapping,
             F.lit(None).cast("timestamp"),
+            heavy=heavy_companies(prepared_deals(deals, stages)),
         )
         with Load(warehouse) as load:
             load.stage(_stamped(units, stamps), UNITS_TABLE)
             history = score_history(load.rows(UNITS_TABLE), F.lit(None).cast("timestamp"))
             load.stage(_stamped(history, stamps), HISTORY_TABLE)
+            attributed = attributed_units(load.rows(UNITS_TABLE), warehouse.read_snapshots("companies", ids), deals)
+            load.stage(owner_rows(attributed), OWNER_ROWS_TABLE)
             unit_rows, history_rows = load.counts(UNITS_TABLE, ids), load.counts(HISTORY_TABLE, ids)
             load.publish(ids)
     except Exception as error:

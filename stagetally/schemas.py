@@ -115,6 +115,37 @@ SCORE_HISTORY = _table(
     record_timestamp=_TS,
 )
 
+# Owners' measures per snapshot, kept by scoring so that the report need not read all units again.
+OWNER_ROWS = _table(
+    owner_id=_STRING,
+    company_types=_STRING,
+    deal_types=_STRING,
+    development_categories=_STRING,
+    hiring_status=_STRING,
+    total_companies=_LONG,
+    total_deals=_LONG,
+    total_score=_DOUBLE,
+    scored_units=_LONG,
+    total_deal_value=_DOUBLE,
+    nurturing_count=_LONG,
+    lead_count=_LONG,
+    sql_count=_LONG,
+    opportunity_count=_LONG,
+    nurturing_score=_DOUBLE,
+    lead_score=_DOUBLE,
+    sql_score=_DOUBLE,
+    opportunity_score=_DOUBLE,
+    prospect_count=_LONG,
+    customer_count=_LONG,
+    partner_count=_LONG,
+    vendor_count=_LONG,
+    companies_with_deals=_LONG,
+    new_business_count=_LONG,
+    existing_business_count=_LONG,
+    snapshot_id=_TS,
+    record_timestamp=_TS,
+)
+
 TABLES: dict[str, T.StructType] = {
     "companies": COMPANIES,
     "owners": OWNERS,
@@ -124,6 +155,7 @@ TABLES: dict[str, T.StructType] = {
     "pipeline_units_snapshot": UNITS,
     "snapshot_registry": REGISTRY,
     "pipeline_score_history": SCORE_HISTORY,
+    "pipeline_owner_rows": OWNER_ROWS,
 }
 
 # Tables stored as one directory per snapshot.
