@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,11 @@ from stagetally.operators.alignment import required_tables_present
 from stagetally.operators.digest import DIGEST, digest_of, digests
 from stagetally.operators.profiles import table_row_counts
 from stagetally.schemas import FACT_TABLES, PARTITIONED, TABLES
-from stagetally.session import configure, literal_table
+from stagetally.session import configure, cut_lineage, literal_table
+from stagetally.sources.merging import files_with, finish_swaps, swap_files
 from stagetally.sources.staging import Load
 
 _KEY = "snapshot_id"
-REPEATED_KEY = "a source key is repeated"
 
 
 class Warehouse:
@@ -85,14 +85,20 @@ class Warehouse:
             raise FileNotFoundError(f"no table {name} at {self.path(name)}")
         return self._read_at(self.path(name), name)
 
-    def _read_at(self, path: str, name: str) -> DataFrame:
+    def read_with_files(self, name: str) -> DataFrame:
+        """The table with ``_file``, the URI of each row's file."""
+        return self._read_at(self.path(name), name, F.col("_metadata.file_path").alias("_file"))
+
+    def _read_at(self, path: str | list[str], name: str, *more) -> DataFrame:
+        """Rows at a path, or in some of the table's files, with columns added."""
         schema = TABLES[name]
         stored = self.column_names.get(name, {})
         disk = T.StructType(
             [T.StructField(stored.get(f.name, f.name), f.dataType) for f in schema]
         )
-        df = self.spark.read.schema(disk).parquet(path)
-        return df.withColumnsRenamed({s: c for c, s in stored.items()}).select(*schema.names)
+        reader = self.spark.read.schema(disk)
+        df = reader.parquet(path) if isinstance(path, str) else reader.option("basePath", self.path(name)).parquet(*path)
+        return df.select(*[F.col(stored.get(c, c)).alias(c) for c in schema.names], *more)
 
     def read_table_for_snapshot(self, name: str, snapshot_id) -> DataFrame:
         """One snapshot of a fact table; the filter prunes directories."""
@@ -210,14 +216,31 @@ class Warehouse:
 
         Keys compare as text; NULL keys never match, so they are always added.
         A matched row keeps the target's value in columns the source lacks.
+        Repeated keys in the source are an error.
+
+        Only files that hold a matched row are rewritten; new rows go to files
+        of their own.  The source is computed once, of the target's other files
+        only the keys are read.
         """
-        source = stringify_complex(source).withColumn(key, F.col(key).cast("string"))
+        source = cut_lineage(stringify_complex(source).withColumn(key, F.col(key).cast("string")))
+        keys = source.filter(F.col(key).isNotNull()).select(F.col(key).alias("_wanted"))
+        if not keys.groupBy("_wanted").count().filter("count > 1").isEmpty():
+            raise ValueError(f"upsert into {name}: {key} is not unique in the source")
+        if not self.exists(name):
+            self.append_table(source, name)
+            return
+        finish_swaps(self, name)
+        files = files_with(self, name, keys, key)
+        touched = self._read_at(files, name) if files else literal_table(self.spark, [], TABLES[name])
+        merged = self._conform(merge_rows(touched, source, key), name)
+        beside = f"{self.root}/_new-{self.prefix}{name}-{uuid.uuid4().hex}"
         try:
-            self.replace_table(merge_rows(self.read_or_empty(name), source, key), name)
-        except Exception as error:
-            if REPEATED_KEY in str(error):
-                raise ValueError(f"upsert into {name}: {key} is not unique in the source") from error
+            self._store(merged, name, "errorifexists", path=beside)
+        except Exception:
+            fs, path = self._fs(beside)
+            fs.delete(path, True)
             raise
+        swap_files(self, name, beside, files)
 
     def snapshots_of(self, trigger: str) -> list[datetime]:
         """Snapshots a trigger has registered."""
@@ -310,25 +333,19 @@ def _stored_schema(warehouse: Warehouse, name: str) -> list[tuple[str, str]] | N
 
 
 def merge_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Result of an upsert: one full outer join on the text key, and the rows without a key.
-
-    Computing it fails if a key is repeated in the source; the test counts
-    within the join's own partitioning, so it costs no shuffle.
-    """
+    """Result of an upsert: one full outer join on the text key, which the source has once, and the rows without a key."""
     target = target.withColumn(key, F.col(key).cast("string"))
     shared = [c for c in target.columns if c in source.columns and c != key]
     source = source.select(key, *shared)
-    times = F.count(F.lit(1)).over(Window.partitionBy(key))
-    checked = F.when(times > 1, F.raise_error(F.lit(REPEATED_KEY)).cast("int")).otherwise(1)
     new = source.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in shared], checked.alias("_given")
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in shared]
     )
     joined = target.filter(F.col(key).isNotNull()).join(new, F.col(key) == F.col("_key"), "full_outer")
     merged = joined.select(
         *[
             F.coalesce(key, "_key").alias(c)
             if c == key
-            else F.when(F.col("_given") == 1, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            else F.when(F.col("_key").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in shared
             else F.col(c)
             for c in target.columns
