@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagetally.functions.text import append_note
+
 # --- fixed values: triggers and states ----------------------------------------------------
 INGEST_COMPLETION = "ingest_completion"
 INGEST_FAILURE = "ingest_failure"
@@ -18,6 +20,41 @@ RESCORE_REQUEST = "rescore_step4"
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
 
 
+#: Control columns of the log: number of the change, triggers whose earlier rows of the
+#: snapshot it removes, and the status and note it gives to the snapshot's earlier rows.
+CONTROL = {"_entry": "bigint", "_removes": "array<string>", "_status": "string", "_note": "string"}
+
+
+def current_rows(log: DataFrame, keep_entry: bool = False) -> DataFrame:
+    """The registry rows in force: a log folded by its control rows.
+
+    A row goes if a later change removes its trigger from its snapshot; every
+    later change of the snapshot's status sets its status, and adds its note.
+    Rows of one change don't affect each other.  One shuffle by snapshot.
+    """
+    plain = [c for c in log.columns if c not in CONTROL]
+    entry = F.coalesce("_entry", F.lit(0).cast("bigint"))
+    control = F.col("_removes").isNotNull() | F.col("_status").isNotNull()
+    change = F.struct(entry.alias("at"), F.col("_status").alias("status"), F.col("_note").alias("note"))
+    snapshot = Window.partitionBy("snapshot_id")
+    rows = log.withColumn("_at", entry).withColumns(
+        {
+            "_is_control": control,
+            "_gone": F.collect_list(F.when(F.col("_removes").isNotNull(), F.struct("_at", "_removes"))).over(snapshot),
+            "_changes": F.array_sort(F.collect_list(F.when(F.col("_status").isNotNull(), change)).over(snapshot)),
+        }
+    )
+    removed = F.exists("_gone", lambda g: (g["_at"] > F.col("_at")) & F.array_contains(g["_removes"], F.col("triggered_by")))
+    rows = rows.filter(~F.col("_is_control")).filter(~F.coalesce(removed, F.lit(False)))
+    later = F.filter("_changes", lambda c: c["at"] > F.col("_at"))
+    noted = F.aggregate(
+        later, F.col("notes"), lambda done, c: F.when(c["note"].isNull(), done).otherwise(append_note(done, c["note"]))
+    )
+    status = F.when(F.size(later) > 0, F.element_at(later, -1)["status"]).otherwise(F.col("status"))
+    rows = rows.withColumns({"status": status, "notes": noted})
+    return rows.select(*plain, *([F.col("_at").alias("_entry")] if keep_entry else []))
+
+
 def _newest_first(registry: DataFrame) -> DataFrame:
     """Newest first; rows of the same instant are ordered by snapshot and trigger."""
     return registry.orderBy(

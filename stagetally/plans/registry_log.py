@@ -1,7 +1,6 @@
 """Writing the snapshot registry.
 
-The log is partitioned by snapshot, so changing the rows of one snapshot
-rewrites that directory only.
+Every change, of any number of snapshots, appends one file to the log.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from stagetally.functions.text import append_note
 from stagetally.operators import registry as log
 from stagetally.schemas import REGISTRY
 from stagetally.session import literal_table
+from stagetally.sources.log import append, superseding
 from stagetally.sources.staging import withdraw
 from stagetally.sources.warehouse import Warehouse, as_timestamp
 
@@ -30,7 +30,7 @@ def _rows(warehouse: Warehouse, events: Iterable[tuple], as_of: datetime) -> Dat
 
 def register_events(warehouse: Warehouse, events: Iterable[tuple], as_of: datetime) -> None:
     """Append (trigger, status, notes, snapshot) rows to the log."""
-    warehouse.append_table(_rows(warehouse, events, as_of), "snapshot_registry")
+    append(warehouse, _rows(warehouse, events, as_of), one_file=True)
 
 
 def register_event(
@@ -99,10 +99,9 @@ def register_rescore_request(
 def _replace_events(
     warehouse: Warehouse, snapshot_ids: Iterable, removed: list[str], events: list[tuple], as_of: datetime
 ) -> None:
-    new = _rows(warehouse, events, as_of)
-    warehouse.rewrite_registry(
-        snapshot_ids, lambda rows: rows.filter(~F.col("triggered_by").isin(removed)).unionByName(new)
-    )
+    ids = [as_timestamp(s) for s in snapshot_ids]
+    rows = superseding(warehouse, ids, removed).unionByName(_rows(warehouse, events, as_of), allowMissingColumns=True)
+    append(warehouse, rows, one_file=True)
 
 
 def register_scoring_start(warehouse: Warehouse, snapshot_ids: Iterable, as_of: datetime) -> None:
@@ -143,4 +142,4 @@ def with_status(rows: DataFrame, status: str, note: str | None = None) -> DataFr
 
 def update_status(warehouse: Warehouse, snapshot_id, status: str, note: str | None = None) -> None:
     """Change every log row of a snapshot."""
-    warehouse.rewrite_registry([snapshot_id], lambda rows: with_status(rows, status, note))
+    append(warehouse, superseding(warehouse, [as_timestamp(snapshot_id)], status=status, note=note or None), one_file=True)

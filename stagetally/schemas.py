@@ -158,8 +158,8 @@ TABLES: dict[str, T.StructType] = {
     "pipeline_owner_rows": OWNER_ROWS,
 }
 
-# Tables stored as one directory per snapshot.
-PARTITIONED = frozenset(t for t, s in TABLES.items() if "snapshot_id" in s.names)
+# Tables stored as one directory per snapshot; the registry is a log.
+PARTITIONED = frozenset(t for t, s in TABLES.items() if "snapshot_id" in s.names and t != "snapshot_registry")
 
 ISSUES = T.StructType(
     [

@@ -21,6 +21,7 @@ from stagetally.operators.digest import DIGEST, digest_of, digests
 from stagetally.operators.profiles import table_row_counts
 from stagetally.schemas import FACT_TABLES, PARTITIONED, TABLES
 from stagetally.session import configure, cut_lineage, literal_table
+from stagetally.sources import log
 from stagetally.sources.merging import files_with, finish_swaps, swap_files
 from stagetally.sources.staging import Load
 
@@ -83,22 +84,23 @@ class Warehouse:
         """The table under its declared schema; an absent one is an error."""
         if not self.exists(name):
             raise FileNotFoundError(f"no table {name} at {self.path(name)}")
-        return self._read_at(self.path(name), name)
+        return log.read(self) if name == log.LOG else self._read_at(self.path(name), name)
 
     def read_with_files(self, name: str) -> DataFrame:
         """The table with ``_file``, the URI of each row's file."""
         return self._read_at(self.path(name), name, F.col("_metadata.file_path").alias("_file"))
 
-    def _read_at(self, path: str | list[str], name: str, *more) -> DataFrame:
-        """Rows at a path, or in some of the table's files, with columns added."""
+    def _read_at(self, path: str | list[str], name: str, *more, control: Mapping[str, str] = {}) -> DataFrame:
+        """Rows at a path, or in some of the table's files, with further columns and stored control columns."""
         schema = TABLES[name]
         stored = self.column_names.get(name, {})
         disk = T.StructType(
             [T.StructField(stored.get(f.name, f.name), f.dataType) for f in schema]
+            + [T.StructField(c, _type(kind)) for c, kind in control.items()]
         )
         reader = self.spark.read.schema(disk)
         df = reader.parquet(path) if isinstance(path, str) else reader.option("basePath", self.path(name)).parquet(*path)
-        return df.select(*[F.col(stored.get(c, c)).alias(c) for c in schema.names], *more)
+        return df.select(*[F.col(stored.get(c, c)).alias(c) for c in schema.names], *control, *more)
 
     def read_table_for_snapshot(self, name: str, snapshot_id) -> DataFrame:
         """One snapshot of a fact table; the filter prunes directories."""
@@ -112,9 +114,10 @@ class Warehouse:
 
     # -- writing -----------------------------------------------------------------
 
-    def _conform(self, df: DataFrame, name: str) -> DataFrame:
-        """Declared columns in order, cast by name; absent ones become NULL."""
-        df = stringify_complex(df)
+    def _conform(self, df: DataFrame, name: str, control: Mapping[str, str] = {}) -> DataFrame:
+        """Declared columns in order, cast by name, then control columns; absent ones become NULL."""
+        extra = [F.col(c).cast(kind).alias(c) for c, kind in control.items()]
+        df = df if control else stringify_complex(df)
         stored = self.column_names.get(name, {})
         return df.select(
             *[
@@ -122,7 +125,8 @@ class Warehouse:
                 .cast(f.dataType)
                 .alias(stored.get(f.name, f.name))
                 for f in TABLES[name]
-            ]
+            ],
+            *extra,
         )
 
     def _store(self, df: DataFrame, name: str, mode: str, dynamic: bool = False, path: str | None = None) -> None:
@@ -137,6 +141,9 @@ class Warehouse:
         writer.mode(mode).option("partitionOverwriteMode", kind).parquet(path or self.path(name))
 
     def append_table(self, df: DataFrame, name: str) -> None:
+        if name == log.LOG:
+            log.append(self, df)
+            return
         self._store(self._conform(df, name), name, "append")
 
     def replace_table(self, df: DataFrame, name: str) -> bool:
@@ -255,10 +262,10 @@ class Warehouse:
         return doomed
 
     def forget_trigger(self, trigger: str) -> None:
-        """Delete a trigger's rows from the registry."""
+        """Remove a trigger's rows from the registry."""
         ids = self.snapshots_of(trigger)
         if ids:
-            self.rewrite_registry(ids, lambda rows: rows.filter(F.col("triggered_by") != trigger))
+            log.append(self, log.superseding(self, ids, [trigger]), one_file=True)
 
     def delete_snapshots_by_source(self, name: str, trigger: str) -> list[datetime]:
         """Delete the snapshots a trigger registered, then its registry rows."""
@@ -266,12 +273,6 @@ class Warehouse:
         self.forget_trigger(trigger)
         return doomed
 
-    def rewrite_registry(self, snapshot_ids: Iterable, change) -> None:
-        """Apply ``change`` to the log rows of some snapshots and store the result."""
-        ids = [as_timestamp(s) for s in snapshot_ids]
-        rows = self.read_or_empty("snapshot_registry").filter(F.col(_KEY).isin(ids))
-        self.replace_snapshots(change(rows), "snapshot_registry", ids)
-
     # -- whole datasets ------------------------------------------------------------
 
     def mirror_dataset(self, target: "Warehouse", names: Iterable[str] | None = None) -> list[str]:
@@ -329,7 +330,11 @@ def _stored_schema(warehouse: Warehouse, name: str) -> list[tuple[str, str]] | N
     if not warehouse.exists(name):
         return None
     disk = warehouse.spark.read.parquet(warehouse.path(name)).schema
-    return sorted((f.name, f.dataType.simpleString()) for f in disk)
+    return sorted((f.name, f.dataType.simpleString()) for f in disk if not f.name.startswith("_"))
+
+
+def _type(ddl: str) -> T.DataType:
+    return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
 
 
 def merge_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
