@@ -144,7 +144,7 @@ def _pair_values(vectors: DataFrame, groups: DataFrame, blocks: int) -> DataFram
 
 
 def divergence(
-    docs: DataFrame, lang: str, source: str, text: str, least_documents: int = 30, top: int = 50, cells: int = 4_000_000
+    docs: DataFrame, lang: str, source: str, text: str, least_documents: int = 30, top: int = 50, cells: int = 100_000
 ) -> DataFrame:
     """``(lang, source, part, item, value, rank)``: the audit of every (lang, source) that occurs.
 
