@@ -169,10 +169,11 @@ def placed(tails: DataFrame, tokens: int, shard_rows: int) -> DataFrame:
 
     Tails are sorted by route and dealt into shards of ``shard_rows`` neighbours
     in that order; a group of equal routes, of any size, fills several shards.
-    Each shard has its own index.
+    Each shard has its own index.  A partition holds 4 to 64 shards.
     """
     count = tails.count()
-    parts = max(1, math.ceil(count / (4 * shard_rows)))
+    wide = int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, math.ceil(count / (64 * shard_rows)), min(wide, math.ceil(count / (4 * shard_rows))))
     order = ["r1", "r2", "key", "start", "uid"]
     dealt = (
         tails.withColumn("uid", F.monotonically_increasing_id())
