@@ -169,7 +169,12 @@ _SEVERITY = {
 
 def counter_issues(tables: Tables, rules: Iterable[str] = tuple(COUNTER_RULES)) -> DataFrame:
     """Issues of the counting rules, one scan per table for all of them."""
-    found = _counters(tables, {r: COUNTER_RULES[r] for r in rules}).filter("count > 0")
+    return counter_issue_rows(_counters(tables, {r: COUNTER_RULES[r] for r in rules}))
+
+
+def counter_issue_rows(found: DataFrame) -> DataFrame:
+    """Issues from counts (rule, table, field, count)."""
+    found = found.filter("count > 0")
     blank = F.col("rule") == "blank_reference_field"
     samples = (
         F.when(blank, F.array(F.lit("''")))
@@ -190,21 +195,24 @@ def value_issues(tables: Tables, rules: Iterable[str] = tuple(VALUE_RULES)) -> D
     """
     usable = {r: _present(VALUE_RULES[r], tables) for r in rules}
     numbered = _rule_table(tables, usable)
+    targets = {r[4] for r in numbered if r[4]}
+    return value_issue_rows(_offending(tables, usable, numbered), numbered, _target_keys(tables, targets))
+
+
+def value_issue_rows(counted: DataFrame, numbered: list[tuple], keys: DataFrame) -> DataFrame:
+    """Issues from counts of offending values (number, value, n) of numbered rules, and the keys of referenced tables."""
     names = literal_table(
         SparkSession.getActiveSession(),
         numbered,
         "number string, rule string, table string, field string, target string",
     )
-    counted = _offending(tables, usable, numbered)
     targets = {r[0]: r[4] for r in numbered if r[4]}
     if targets:
         # Values of the other rules have an empty target, so they pass the anti join.
         target = F.lit("")
         for number, name in targets.items():
             target = F.when(F.col("number") == number, name).otherwise(target)
-        counted = counted.withColumn("target", target).join(
-            _target_keys(tables, set(targets.values())), ["target", "value"], "left_anti"
-        )
+        counted = counted.withColumn("target", target).join(keys, ["target", "value"], "left_anti")
     orphan = F.col("rule") == "orphaned_reference"
     text = (
         F.when(orphan, F.concat("field", F.lit(" values without a row in "), "target"))
@@ -302,10 +310,13 @@ def duplicate_records(tables: Tables, unique_keys: Mapping[str, list[str]] = UNI
         for t, keys in unique_keys.items()
         if t in tables
     ]
-    if not parts:
-        return _union([])
+    return duplicate_issue_rows(_union(parts)) if parts else _union([])
+
+
+def duplicate_issue_rows(found: DataFrame) -> DataFrame:
+    """Issues from surplus rows and duplicated keys (table, field, count, duplicate_groups)."""
     groups = F.col("duplicate_groups").cast("string")
-    found = _union(parts).filter("duplicate_groups > 0")
+    found = found.filter("duplicate_groups > 0")
     found = found.withColumn("sample_values", F.array(F.concat(groups, F.lit(" duplicate groups"))))
     text = F.concat(groups, F.lit(" keys are held by more than one row"))
     return _issue_rows(found, "duplicate_records", "critical", text)
@@ -338,6 +349,11 @@ def snapshot_consistency(tables: Tables) -> DataFrame:
             for t in ("snapshot_registry", *facts)
         ]
     )
+    return consistency_issue_rows(ids, facts)
+
+
+def consistency_issue_rows(ids: DataFrame, facts: list[str]) -> DataFrame:
+    """Issues from the distinct snapshot ids (value) of each table (of)."""
     known = ids.filter("value IS NOT NULL").groupBy("value").agg(
         *[F.bool_or(F.col("of") == t).alias(t) for t in ("snapshot_registry", *facts)]
     )
@@ -349,7 +365,7 @@ def snapshot_consistency(tables: Tables) -> DataFrame:
         ))
         for t in facts
     ]
-    empty = tables["snapshot_registry"].agg(F.count("snapshot_id").alias("n"))
+    empty = ids.filter("of = 'snapshot_registry'").agg(F.count("value").alias("n"))
     issues = [
         empty.filter("n = 0").select(
             F.lit("snapshot_registry").alias("table"),

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 
 from stagetally.operators import integrity
 from stagetally.operators import registry as log
+from stagetally.operators.audit_parts import merged_counts, merged_issues
 from stagetally.plans import registry_log
+from stagetally.plans.audit_store import audit_parts
 from stagetally.schemas import COUNTED_TABLES
 from stagetally.session import cut_lineage
 from stagetally.sources.warehouse import Warehouse, as_timestamp, table_counts, write_report
@@ -62,16 +64,29 @@ def audit_report(
 
 
 def integrity_audit(
-    warehouse: Warehouse, report_path: str | None = None, as_of: datetime | None = None
+    warehouse: Warehouse, report_path: str | None = None, as_of: datetime | None = None, keep_parts: bool = True
 ) -> AuditReport:
     """Audit a warehouse, store the report and log the audit.
 
-    Issue and count rows are checkpointed: they are few, and all summaries use them.
+    Results per table and snapshot are kept beside the warehouse, and only
+    snapshots whose files changed since are read again; ``keep_parts=False``
+    reads everything.  Issue and count rows are checkpointed: they are few, and
+    all summaries use them.
     """
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
-    tables = {t: warehouse.read(t) for t in warehouse.tables()}
-    issues = cut_lineage(audit_issues(tables, COUNTED_TABLES))
-    report = audit_report(tables, issues, cut_lineage(audit_counts(tables)))
+    names = warehouse.tables()
+    if keep_parts and names:
+        parts = audit_parts(warehouse, names)
+        issues = merged_issues(parts, names)
+        missing = [t for t in COUNTED_TABLES if t not in names]
+        if missing:
+            issues = issues.unionByName(integrity.missing_tables(warehouse.spark, missing))
+        counts = merged_counts(parts, [t for t in COUNTED_TABLES if t in names])
+        report = audit_report({}, cut_lineage(issues), cut_lineage(counts))
+    else:
+        tables = {t: warehouse.read(t) for t in names}
+        issues = cut_lineage(audit_issues(tables, COUNTED_TABLES))
+        report = audit_report(tables, issues, cut_lineage(audit_counts(tables)))
     if report_path:
         for part in ("issues", "counts", "rollup", "score", "recommendations"):
             write_report(getattr(report, part), f"{report_path}/{part}")
