@@ -110,6 +110,17 @@ def scoring_state(registry: DataFrame) -> DataFrame:
     )
 
 
+def scored_in_batch(registry: DataFrame, batch_name: str) -> DataFrame:
+    """Snapshots whose last scoring was begun by a named batch of a stream, and completed."""
+    begun = (F.col("triggered_by") == SCORING_START) & F.endswith("notes", F.lit(f"({batch_name})"))
+    return (
+        registry.groupBy("snapshot_id")
+        .agg(F.max(begun).alias("_begun"), F.max(F.col("triggered_by") == SCORING_COMPLETION).alias("_done"))
+        .filter("_begun AND _done")
+        .select("snapshot_id")
+    )
+
+
 def unfinished_loads(registry: DataFrame) -> DataFrame:
     """``(snapshot_id, load)`` of loads that were logged as started, and not as completed."""
     named = registry.withColumn("load", F.nullif(F.regexp_extract("notes", r"\((load-[0-9a-f]{32})\)", 1), F.lit("")))

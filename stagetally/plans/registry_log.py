@@ -88,10 +88,16 @@ def register_ingest_failure(warehouse: Warehouse, snapshot_id, message: str, as_
 def register_rescore_request(
     warehouse: Warehouse, snapshot_count: int, as_of: datetime, message_id: str | None = None
 ) -> None:
-    """Log that scoring of all snapshots was asked for; the request time stands for a snapshot."""
+    """Log that scoring of all snapshots was asked for; the request time stands for a snapshot.
+
+    A message that is logged already is not logged again.
+    """
     notes = f"all {snapshot_count} completed snapshots are to be scored anew"
     if message_id:
         notes += f" (message {message_id})"
+        asked = warehouse.read_or_empty("snapshot_registry").filter(F.col("triggered_by") == log.RESCORE_REQUEST)
+        if not asked.filter(F.col("notes").endswith(f"(message {message_id})")).isEmpty():
+            return
     at = as_timestamp(as_of).replace(microsecond=0)
     register_event(warehouse, at, log.RESCORE_REQUEST, log.STARTED, notes, as_of)
 
@@ -104,10 +110,12 @@ def _replace_events(
     append(warehouse, rows, one_file=True)
 
 
-def register_scoring_start(warehouse: Warehouse, snapshot_ids: Iterable, as_of: datetime) -> None:
-    """Drop earlier start and completion rows of the snapshots, then log a start."""
+def register_scoring_start(
+    warehouse: Warehouse, snapshot_ids: Iterable, as_of: datetime, batch_name: str | None = None
+) -> None:
+    """Drop earlier start and completion rows of the snapshots, then log a start, with the batch of a stream that asked for it."""
     ids = list(snapshot_ids)
-    events = [(log.SCORING_START, log.STARTED, "scoring began", s) for s in ids]
+    events = [(log.SCORING_START, log.STARTED, load_note("scoring began", batch_name), s) for s in ids]
     _replace_events(warehouse, ids, [log.SCORING_START, log.SCORING_COMPLETION], events, as_of)
 
 

@@ -34,6 +34,7 @@ def score_snapshots(
     snapshot_ids: Iterable,
     as_of: datetime | None = None,
     processed: Mapping[datetime, int] | None = None,
+    batch_name: str | None = None,
 ) -> DataFrame:
     """Score the given snapshots, store units and history, log the outcome.
 
@@ -42,15 +43,21 @@ def score_snapshots(
     is made from.  History is computed from the units as written.  Load times grow by one
     microsecond per snapshot in the given order, because the report compares
     snapshots by load time.  ``processed`` holds the record counts that
-    completion messages announced, kept in the log.  Returns one result row per snapshot.
+    completion messages announced, kept in the log.  Snapshots that the log
+    says were scored by the batch ``batch_name`` already are left out.  Returns
+    one result row per snapshot.
     """
     spark = warehouse.spark
     ids = list(dict.fromkeys(as_timestamp(s) for s in snapshot_ids))
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
     announced = {as_timestamp(s): n for s, n in (processed or {}).items()}
+    if batch_name:
+        done = log.scored_in_batch(warehouse.read_or_empty("snapshot_registry"), batch_name)
+        done_ids = {as_timestamp(r[0]) for r in done.select(F.col("snapshot_id").cast("string")).collect()}
+        ids = [s for s in ids if s not in done_ids]
     if not ids:
         return literal_table(spark, [], _RESULTS)
-    registry_log.register_scoring_start(warehouse, ids, as_of)
+    registry_log.register_scoring_start(warehouse, ids, as_of, batch_name)
     try:
         warehouse.require("companies", "deals", "deal_stage_reference")
         mapping = stage_mapping(spark, as_of)
@@ -100,7 +107,10 @@ def score_snapshot(warehouse: Warehouse, snapshot_id, as_of: datetime | None = N
 
 
 def rescore_all(
-    warehouse: Warehouse, as_of: datetime | None = None, message_id: str | None = None
+    warehouse: Warehouse,
+    as_of: datetime | None = None,
+    message_id: str | None = None,
+    batch_name: str | None = None,
 ) -> DataFrame:
     """Score every completed snapshot, oldest completion first; the request is logged.
 
@@ -112,7 +122,7 @@ def rescore_all(
     ids = [r[0] for r in rows.select(F.col("snapshot_id").cast("string")).collect()]
     registry_log.register_rescore_request(warehouse, len(ids), as_of, message_id)
     try:
-        return score_snapshots(warehouse, ids, as_of)
+        return score_snapshots(warehouse, ids, as_of, batch_name=batch_name)
     except Exception:
         if len(ids) < 2:
             raise
@@ -120,7 +130,7 @@ def rescore_all(
     for i, snapshot in enumerate(ids):
         at = as_of + timedelta(microseconds=i)
         try:
-            results += [tuple(r) for r in score_snapshots(warehouse, [snapshot], at).collect()]
+            results += [tuple(r) for r in score_snapshots(warehouse, [snapshot], at, batch_name=batch_name).collect()]
         except Exception as error:
             results.append((as_timestamp(snapshot), "error", None, None, str(error)[:500]))
     return literal_table(warehouse.spark, results, _RESULTS)

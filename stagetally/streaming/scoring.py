@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,14 +54,31 @@ def route_events(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> Dat
     )
 
 
+def deduplicated(messages: DataFrame, within: str) -> DataFrame:
+    """A stream of messages without those that were delivered before, ``within`` that time.
+
+    A message is known by the digest of its bytes, and its time is that of its
+    arrival, so no message is ever late.  The digests are kept in the stream's
+    state, which a restart reads again, until they are older than ``within``.
+    """
+    return (
+        messages.withColumns({"_id": F.sha2(F.col("value"), 256), "_arrived": F.current_timestamp()})
+        .withWatermark("_arrived", within)
+        .dropDuplicatesWithinWatermark(["_id"])
+        .drop("_id", "_arrived")
+    )
+
+
 def handle_batch(
-    batch: DataFrame, warehouse: Warehouse, namespace: str = DEFAULT_NAMESPACE
+    batch: DataFrame, warehouse: Warehouse, namespace: str = DEFAULT_NAMESPACE, batch_name: str | None = None
 ) -> None:
     """Score the snapshots a micro-batch names.
 
     Delivery is at least once: ids are deduplicated here and scoring replaces
-    its snapshots, so a repeated batch changes nothing.  Only distinct snapshot
-    ids reach the driver.
+    its snapshots, so a repeated batch changes nothing.  With a ``batch_name``,
+    which is kept in the log, snapshots that were scored by the very batch
+    before it was cut off are not scored again.  Only distinct snapshot ids
+    reach the driver.
     """
     snapshot = parse_snapshot_id(readable_snapshot_id(F.col("snapshot_id")))
     routed = (
@@ -71,10 +90,10 @@ def handle_batch(
         .collect()
     )
     if any(r["route"] == "rescore_all" for r in routed):
-        rescore_all(warehouse)
+        rescore_all(warehouse, message_id=batch_name, batch_name=batch_name)
     wanted = {r["id"]: r["records"] for r in routed if r["route"] == "score" and r["id"] is not None}
     if wanted:
-        score_snapshots(warehouse, wanted, processed=wanted)
+        score_snapshots(warehouse, wanted, processed=wanted, batch_name=batch_name)
 
 
 def score_on_event(
@@ -83,10 +102,18 @@ def score_on_event(
     checkpoint: str,
     namespace: str = DEFAULT_NAMESPACE,
     available_now: bool = False,
+    redelivered_within: str | None = "1 day",
 ) -> StreamingQuery:
-    """Start the scoring stream; ``checkpoint`` keeps its place over restarts."""
+    """Start the scoring stream; ``checkpoint`` keeps its place over restarts.
+
+    A message that is delivered again within ``redelivered_within``, in the
+    same micro-batch or another, is scored once.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    if redelivered_within:
+        messages = deduplicated(messages, redelivered_within)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, _: handle_batch(batch, warehouse, namespace)
+        lambda batch, number: handle_batch(batch, warehouse, namespace, f"stream {stream}, batch {number}")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
