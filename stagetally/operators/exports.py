@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagetally.functions import text
+from stagetally.operators.containment import contained_in
 from stagetally.schemas import (
     COMPANIES,
     COMPANY_EXPORT_COLUMNS,
@@ -152,31 +153,30 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     """Owner names to ids: exact, else first partial match, else unchanged.
 
     ``owner_names`` has ``name`` (lower case), ``owner_id`` and ``rank`` (lookup
-    order).  "Partial" means one name contains the other.  Containment is found
-    by equality on substrings - those of every lookup name, and those of the
-    searched name no longer than the longest lookup name - so there is no
-    pairwise comparison, and only distinct names without an exact match take
-    part.  A blank name is contained in every lookup name: the first one wins.
-    The longest lookup name is a scalar of the plan, so building it runs no job.
+    order).  "Partial" means one name contains the other; a blank name is
+    contained in every lookup name, so the first one wins.  Only distinct names
+    without an exact match take part, and they are found by their rarest grams
+    (:func:`contained_in`), so there is no pairwise comparison.
     """
-    lookup = owner_names.select(
-        F.col("name").alias("_name"), F.struct("rank", "owner_id").alias("_hit")
+    lookup = (
+        owner_names.filter("name IS NOT NULL")
+        .groupBy(F.col("name").alias("_name"))
+        .agg(F.min(F.struct("rank", "owner_id")).alias("_hit"))
     )
     keyed = df.withColumn("_key", text.strip(F.lower(F.col(column).cast("string"))))
     names = keyed.select("_key").filter("_key IS NOT NULL").distinct()
     exact = names.join(lookup, names["_key"] == lookup["_name"]).select("_key", "_hit")
     open_names = names.join(exact, "_key", "left_anti")
-
-    longest = owner_names.agg(F.coalesce(F.max(F.length("name")), F.lit(0)).alias("longest")).scalar()
-    inside_lookup = _with_substrings(lookup, "_name", longest).select("_part", "_hit")
-    inside_name = _with_substrings(open_names, "_key", longest).select("_key", "_part")
-    partial = (
-        open_names.join(inside_lookup, F.col("_key") == F.col("_part"))
-        .select("_key", "_hit")
-        .unionByName(
-            inside_name.join(lookup, F.col("_part") == F.col("_name")).select("_key", "_hit")
+    known = lookup.select("_name")
+    pairs = contained_in(open_names.select(F.col("_key").alias("small")), known.select(F.col("_name").alias("big"))).select(
+        F.col("small").alias("_key"), F.col("big").alias("_name")
+    )
+    pairs = pairs.unionByName(
+        contained_in(known.select(F.col("_name").alias("small")), open_names.select(F.col("_key").alias("big"))).select(
+            F.col("big").alias("_key"), F.col("small").alias("_name")
         )
     )
+    partial = pairs.join(lookup, "_name").select("_key", "_hit")
     best = exact.unionByName(partial).groupBy("_key").agg(F.min("_hit").alias("_hit"))
     return (
         keyed.join(best, "_key", "left")
@@ -185,24 +185,6 @@ def resolve_owner_names(df: DataFrame, column: str, owner_names: DataFrame) -> D
     )
 
 
-def _with_substrings(df: DataFrame, name: str, longest: Column) -> DataFrame:
-    """Every substring up to a length as ``_part``, the empty one included.
-
-    Two generators in a row stream the substrings instead of building an array
-    of them; repeated ones do no harm, the best hit is a minimum.
-    """
-    df = df.withColumn("_longest", longest)
-    size = F.length(name)
-    start = F.explode(F.sequence(F.lit(1), F.greatest(size, F.lit(1))))
-    room = F.greatest(F.least(F.col("_longest"), size - F.col("_start") + 1), F.lit(0))
-    first = F.when(F.col("_start") == 1, 0).otherwise(F.least(F.lit(1), room))
-    return (
-        df.withColumn("_start", start)
-        .withColumn("_size", F.explode(F.sequence(first, room)))
-        .withColumn("_part", F.substr(F.col(name), F.col("_start"), F.col("_size")))
-    )
-
-
 def with_file_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Export rows of dates that have a complete file pair, with its snapshot id."""
     return rows.join(pairs.select("export_date", "snapshot_id"), "export_date", "inner")
