@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from stagetally.functions.snapshots import file_date, format_snapshot_id
 from stagetally.schemas import COMPANY_EXPORT_EVIDENCE, DEAL_EXPORT_EVIDENCE
+from stagetally.sources.records import csv_records
 
 MALFORMED = "malformed"
 FILE_COLUMNS = ["export_file", "export_date", "exported_at", MALFORMED]
@@ -98,10 +99,10 @@ def _first_record(jvm, fs, file) -> str:
 def read_export_groups(spark: SparkSession, path: str, multi_line: bool = True) -> list[ExportGroup]:
     """One group per (kind, header), every column read as text.
 
-    Quoted fields may hold line breaks; a file is then read by one task.
-    ``multi_line=False`` splits files, for exports known to have none.  A
-    record with too few or too many fields is kept as it stands in
-    ``malformed``, which is NULL for all others.
+    Quoted fields may hold line breaks, and a large file is read by many tasks
+    all the same; ``multi_line=False`` saves the shuffle that takes, for
+    exports known to have none.  A record with too few or too many fields is
+    kept as it stands in ``malformed``, which is NULL for all others.
     """
     headers = {name: tuple(columns) for name, columns in export_headers(spark, path).items()}
     grouped: dict[tuple, list[str]] = {}
@@ -110,24 +111,43 @@ def read_export_groups(spark: SparkSession, path: str, multi_line: bool = True)
     groups = []
     for (kind, columns), names in grouped.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED)])
-        frame = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("columnNameOfCorruptRecord", MALFORMED)
-            .option("columnPruning", False)  # else fields that no one reads would not be counted
-            .option("recursiveFileLookup", True)
-            .csv([f"{path.rstrip('/')}/{n}" for n in names])
-            .withColumn("_path", F.col("_metadata.file_path"))
-            .withColumn("exported_at", F.col("_metadata.file_modification_time"))
-        )
+        paths = [f"{path.rstrip('/')}/{n}" for n in names]
+        frame = _by_records(spark, paths, schema) if multi_line else _by_lines(spark, paths, schema)
         frame = frame.withColumn("export_file", _below(spark, path, "_path")).drop("_path")
         frame = frame.withColumn("export_date", file_date(F.col("export_file")))
         groups.append(ExportGroup(kind, list(columns), frame))
     return groups
 
 
+def _by_lines(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Every line a record."""
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("escape", '"')
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)  # else fields that no one reads would not be counted
+        .option("recursiveFileLookup", True)
+        .csv(paths)
+        .withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("exported_at", F.col("_metadata.file_modification_time"))
+    )
+
+
+def _by_records(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Records that may go over several lines; the first of each file is its header."""
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    ddl = ", ".join(f"{quoted(f.name)} STRING" for f in schema)
+    options = {"escape": '"', "columnNameOfCorruptRecord": MALFORMED, "mode": "PERMISSIVE"}
+    rows = csv_records(spark, paths).filter("number > 1")
+    parsed = rows.select(F.from_csv("record", ddl, options).alias("r"), "path", "modified_at")
+    return parsed.select(
+        *[F.col("r").getField(f.name).alias(f.name) for f in schema],
+        F.col("path").alias("_path"),
+        F.col("modified_at").alias("exported_at"),
+    )
+
+
 def read_exports(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
     """All rows of one kind, malformed ones too; columns a file lacks are NULL."""
     frames = [g.frame for g in read_export_groups(spark, path, multi_line) if g.kind == kind]
