@@ -303,24 +303,48 @@ def format_sql(source: str) -> str:
 CASE_SQL = _issue_sql([(*r, "{f} IS NOT NULL AND {f} <> '' AND {f} <> lower({f})") for r in _LOWER], "case_normalization", "warning", _FIRST_FIVE)
 
 
-@check("A11", BLANK_SQL)
+DESCRIPTION_SQL = """CASE issue_type
+  WHEN 'blank_reference_field' THEN concat('Empty string in ', field, ' should be NULL')
+  WHEN 'missing_required_field' THEN concat('Required field ', field, ' is NULL or blank')
+  WHEN 'orphaned_reference' THEN concat(field, ' values without a row in ',
+    CASE field WHEN 'owner_id' THEN 'owners.owner_id' WHEN 'deal_id' THEN 'deals.deal_id' ELSE 'companies.company_id' END)
+  WHEN 'invalid_format' THEN concat('Not an e-mail address in ', field)
+  WHEN 'case_normalization' THEN concat(field, ' should be lower case')
+  WHEN 'duplicate_records' THEN concat(split_part(sample_values, ' ', 1), ' keys are held by more than one row')
+  WHEN 'missing_snapshot_data' THEN 'Registered snapshots without a row in the table'
+  WHEN 'unregistered_snapshot' THEN 'Snapshots in the table that are not registered'
+  WHEN 'missing_snapshots' THEN 'The registry holds no snapshot'
+  WHEN 'anomalous_distribution' THEN concat('Snapshot ', sample_values, ' has ', "count", ' rows, the mean is ', printf('%.0f', (
+    SELECT avg(n) FROM (
+      SELECT 'companies' AS t, count(DISTINCT company_id) AS n FROM companies GROUP BY snapshot_id
+      UNION ALL SELECT 'deals', count(DISTINCT deal_id) FROM deals GROUP BY snapshot_id) sizes
+    WHERE t = "table")))
+  END AS description"""
+
+
+def described(sql: str) -> str:
+    """Issues with their text."""
+    return f'SELECT "table", field, issue_type, severity, "count", sample_values, {DESCRIPTION_SQL} FROM ({sql}) issues'
+
+
+@check("A11", described(BLANK_SQL))
 def blank_reference_count(bed: Bed) -> DataFrame:
-    return integrity.blank_reference_count(bed.audited).drop("description")
+    return integrity.blank_reference_count(bed.audited)
 
 
-@check("A12", REQUIRED_SQL)
+@check("A12", described(REQUIRED_SQL))
 def missing_required_count(bed: Bed) -> DataFrame:
-    return integrity.missing_required_count(bed.audited).drop("description")
+    return integrity.missing_required_count(bed.audited)
 
 
-@check("A13", format_sql("reps"))
+@check("A13", described(format_sql("reps")))
 def invalid_format_count(bed: Bed) -> DataFrame:
-    return integrity.invalid_format_count({"owners": bed.reps}).drop("description")
+    return integrity.invalid_format_count({"owners": bed.reps})
 
 
-@check("A14", CASE_SQL)
+@check("A14", described(CASE_SQL))
 def case_violation_count(bed: Bed) -> DataFrame:
-    return integrity.case_violation_count(bed.audited).drop("description")
+    return integrity.case_violation_count(bed.audited)
 
 
 @check("A15", """SELECT count(*) AS duplicate_groups, CAST(sum(n - 1) AS BIGINT) AS duplicate_records
@@ -541,6 +565,6 @@ def _consistency(table: str) -> str:
 CONSISTENCY_SQL = f"SELECT * FROM ({_consistency('companies')} UNION ALL {_consistency('deals')}) c WHERE \"count\" > 0"
 
 
-@check("U04", CONSISTENCY_SQL)
+@check("U04", described(CONSISTENCY_SQL))
 def snapshot_consistency(bed: Bed) -> DataFrame:
-    return integrity.snapshot_consistency(bed.audited).drop("description")
+    return integrity.snapshot_consistency(bed.audited)

@@ -9,7 +9,7 @@ from stagetally.checks.base import AS_OF, SNAPSHOT, Bed, check, ts
 from stagetally.operators import registry as log
 from stagetally.schemas import COMPANY_PROPERTIES, DEAL_ASSOCIATIONS
 from stagetally.sources import exports, landing
-from stagetally.sources.warehouse import table_counts, write_report
+from stagetally.sources.warehouse import as_timestamp, table_counts, write_report
 
 
 def _stamp():
@@ -219,6 +219,18 @@ def written_exports(bed: Bed) -> str:
     return path
 
 
+def set_modified(bed: Bed, path: str, part: str, at: str) -> None:
+    """Give the files of the exports whose name holds a text a modification time."""
+    jvm = bed.spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(bed.spark._jsparkSession.sessionState().newHadoopConf())
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if part in file.toString():
+            fs.setTimes(file, int(as_timestamp(at).timestamp() * 1000), -1)
+
+
 _EXPORT_DAY = (
     "CASE o_orderkey % 3 WHEN 0 THEN '2025-03-12' WHEN 1 THEN '2025-06-01' ELSE '2025-06-08' END"
 )

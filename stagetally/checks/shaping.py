@@ -192,6 +192,17 @@ def required_data_exists(bed: Bed) -> DataFrame:
     return profiles.required_data_exists(bed.companies.filter(at), bed.deals.filter(at), bed.owners, bed.stages)
 
 
+@check("F14", f"""SELECT {ts("snapshot_id")}, count(*) FILTER (WHERE kind = 'c') AS snapshot_companies, count(*) FILTER (WHERE kind = 'd') AS snapshot_deals,
+(SELECT count(*) FROM reps) AS owners_data, (SELECT count(*) FROM stages) AS deal_stages_data,
+count(*) FILTER (WHERE kind = 'c') > 0 AND count(*) FILTER (WHERE kind = 'd') > 0 AS all_present
+FROM (SELECT snapshot_id, 'r' AS kind FROM year_registry UNION ALL
+  SELECT snapshot_id, 'c' FROM companies WHERE snapshot_id IN (SELECT snapshot_id FROM year_registry) UNION ALL
+  SELECT snapshot_id, 'd' FROM deals WHERE snapshot_id IN (SELECT snapshot_id FROM year_registry)) x GROUP BY snapshot_id""")
+def required_data_per_snapshot(bed: Bed) -> DataFrame:
+    """The verdict that gates scoring, for every registered snapshot."""
+    return profiles.required_data_per_snapshot(bed.year_registry, bed.companies, bed.deals, bed.reps, bed.stages)
+
+
 _REQUIRED = ["companies", "deals", "contacts"]
 
 

@@ -208,3 +208,21 @@ def required_data_exists(
         F.bool_and(F.col("rows") > 0).alias("all_present"),
     )
     return wide
+
+
+def required_data_per_snapshot(
+    snapshots: DataFrame, companies: DataFrame, deals: DataFrame, owners: DataFrame, stages: DataFrame
+) -> DataFrame:
+    """The same verdict for each of ``snapshots(snapshot_id)``, in one pass over each input."""
+
+    def sized(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias(name))
+
+    facts = {"snapshot_companies": companies, "snapshot_deals": deals}
+    wide = snapshots.select("snapshot_id").distinct()
+    for name, df in facts.items():
+        wide = wide.join(sized(df, name), "snapshot_id", "left").na.fill(0, [name])
+    count = lambda df: df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    wide = wide.withColumns({"owners_data": count(owners), "deal_stages_data": count(stages)})
+    parts = [*facts, "owners_data", "deal_stages_data"]
+    return wide.withColumn("all_present", F.least(*[F.col(c) for c in parts]) > 0)

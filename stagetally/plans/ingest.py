@@ -67,6 +67,7 @@ def ingest_snapshot(
     trigger: str = "manual",
     event_path: str | None = None,
     replace: bool = False,
+    gate: bool = False,
 ) -> DataFrame:
     """Load one snapshot and return rows per table; see :func:`object_configs`.
 
@@ -79,6 +80,9 @@ def ingest_snapshot(
     once all is computed.  What an earlier load of the snapshot left that never
     completed is taken back first, so a failed load can be repeated.  Rows of
     completed loads of the same snapshot stay, unless ``replace`` is set.
+
+    With ``gate``, nothing is logged or written unless every landed folder is
+    there and holds a row.
     """
     spark = warehouse.spark
     as_of = as_timestamp(as_of) if as_of else datetime.now(timezone.utc)
@@ -90,6 +94,11 @@ def ingest_snapshot(
         facts[config.table] = object_rows(pages, config, stamp, now)
     if dry_run:
         return table_counts(facts)
+    if gate:
+        references = (landing.read_owners(spark, paths["owners"]), landing.flatten_deal_stages(spark, paths["deal_stage_reference"], now))
+        empty = [n for n, rows in (facts | dict(zip(("owners", "deal_stage_reference"), references))).items() if rows.isEmpty()]
+        if empty:
+            raise ValueError(f"nothing landed for {', '.join(empty)}")
     with Load(warehouse) as load:
         registry_log.register_ingest_start(warehouse, snapshot, as_of, trigger, load.name)
         try:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stagetally.operators import registry as log
 from stagetally.operators.history import owner_rows
+from stagetally.operators.profiles import required_data_per_snapshot
 from stagetally.operators.scoring import heavy_companies, prepared_deals, score_history, score_units, stage_mapping
 from stagetally.plans import registry_log
 from stagetally.plans.report import OWNER_ROWS_TABLE, attributed_units
@@ -35,6 +36,7 @@ def score_snapshots(
     as_of: datetime | None = None,
     processed: Mapping[datetime, int] | None = None,
     batch_name: str | None = None,
+    gate: bool = False,
 ) -> DataFrame:
     """Score the given snapshots, store units and history, log the outcome.
 
@@ -44,8 +46,11 @@ def score_snapshots(
     microsecond per snapshot in the given order, because the report compares
     snapshots by load time.  ``processed`` holds the record counts that
     completion messages announced, kept in the log.  Snapshots that the log
-    says were scored by the batch ``batch_name`` already are left out.  Returns
-    one result row per snapshot.
+    says were scored by the batch ``batch_name`` already are left out.
+
+    With ``gate``, snapshots that lack companies, deals, owners or stages are
+    not scored, logged as failed before anything is written, and returned as
+    errors.  Returns one result row per snapshot.
     """
     spark = warehouse.spark
     ids = list(dict.fromkeys(as_timestamp(s) for s in snapshot_ids))
@@ -55,8 +60,15 @@ def score_snapshots(
         done = log.scored_in_batch(warehouse.read_or_empty("snapshot_registry"), batch_name)
         done_ids = {as_timestamp(r[0]) for r in done.select(F.col("snapshot_id").cast("string")).collect()}
         ids = [s for s in ids if s not in done_ids]
+    refused: list[tuple] = []
+    if gate and ids:
+        lacking = lacking_data(warehouse, ids)
+        for reason, found in _by_reason(lacking).items():
+            registry_log.register_scoring_failure(warehouse, found, reason, as_of)
+        refused = [(s, "error", None, None, lacking[s]) for s in ids if s in lacking]
+        ids = [s for s in ids if s not in lacking]
     if not ids:
-        return literal_table(spark, [], _RESULTS)
+        return literal_table(spark, refused, _RESULTS)
     registry_log.register_scoring_start(warehouse, ids, as_of, batch_name)
     try:
         warehouse.require("companies", "deals", "deal_stage_reference")
@@ -98,8 +110,31 @@ def score_snapshots(
         as_of + timedelta(microseconds=len(ids)),
     )
     return literal_table(
-        spark, [(s, "success", unit_rows[s], history_rows[s], None) for s in ids], _RESULTS
+        spark, [(s, "success", unit_rows[s], history_rows[s], None) for s in ids] + refused, _RESULTS
+    )
+
+
+def lacking_data(warehouse: Warehouse, snapshot_ids: Iterable) -> dict[datetime, str]:
+    """Snapshots that cannot be scored for want of data, and what they lack; an absent table is an empty one."""
+    ids = [as_timestamp(s) for s in snapshot_ids]
+    some = {n: warehouse.read_or_empty(n).filter(F.col("snapshot_id").isin(ids)) for n in ("companies", "deals")}
+    verdicts = required_data_per_snapshot(
+        literal_table(warehouse.spark, [(s,) for s in ids], "snapshot_id timestamp"),
+        some["companies"],
+        some["deals"],
+        warehouse.read_or_empty("owners"),
+        warehouse.read_or_empty("deal_stage_reference"),
     )
+    rows = verdicts.filter("NOT all_present").withColumn("id", F.col("snapshot_id").cast("string")).collect()
+    named = ["snapshot_companies", "snapshot_deals", "owners_data", "deal_stages_data"]
+    return {as_timestamp(r["id"]): "no rows in " + ", ".join(n for n in named if not r[n]) for r in rows}
+
+
+def _by_reason(lacking: Mapping[datetime, str]) -> dict[str, list[datetime]]:
+    out: dict[str, list[datetime]] = {}
+    for snapshot, reason in lacking.items():
+        out.setdefault(reason, []).append(snapshot)
+    return out
 
 
 def score_snapshot(warehouse: Warehouse, snapshot_id, as_of: datetime | None = None) -> DataFrame:

@@ -175,3 +175,22 @@ def test_unfinished_loads(spark):
         {"snapshot_id": S2, "triggered_by": "x", "status": "completed", "notes": note, "record_timestamp": S1},
         {"snapshot_id": S2, "triggered_by": "x", "status": "started", "notes": None, "record_timestamp": S1}])
     assert [r["snapshot_id"].day for r in registry.unfinished_loads(rows).collect()] == [1]
+
+
+def test_gate_refuses_snapshots_without_data_before_anything_is_written(spark, warehouse):
+    warehouse.append_table(table(spark, "companies", [company("1", "lead", s) for s in (S1, S2)]), "companies")
+    warehouse.append_table(table(spark, "deals", [deal("a", "1", "qualifiedtobuy", S1)]), "deals")
+    warehouse.append_table(stages(spark), "deal_stage_reference")
+    refused = score.score_snapshots(warehouse, [S1, S2], AS_OF, gate=True).collect()
+    assert {r["error"] for r in refused} == {"no rows in owners_data", "no rows in snapshot_deals, owners_data"}
+    assert not warehouse.exists(score.UNITS_TABLE) and warehouse.read("snapshot_registry").filter("status = 'failed'").count() == 2
+    warehouse.append_table(table(spark, "owners", [{"owner_id": "o1"}]), "owners")
+    found = {r["snapshot_id"].day: (r["status"], r["error"]) for r in score.score_snapshots(warehouse, [S1, S2], AS_OF, gate=True).collect()}
+    assert found == {1: ("success", None), 8: ("error", "no rows in snapshot_deals")}
+    assert [r["snapshot_id"].day for r in warehouse.read(score.UNITS_TABLE).collect()] == [1]
+
+
+def test_gated_ingest(spark, warehouse, tmp_path):
+    with pytest.raises(ValueError, match="nothing landed for owners, deal_stage_reference"):
+        run_ingest(warehouse, landed(spark, tmp_path), "2025-07-01T00:00:00Z", gate=True)
+    assert warehouse.tables() == []
