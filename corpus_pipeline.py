@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagetally.llm import contamination, langid, neardup, packing, surrogates
-from stagetally.llm.common import table, written
+from stagetally.llm import contamination, langid, packing, simhash, surrogates
+from stagetally.llm.common import stored, table, written
 
 #: Documents whose best language has less of the decoding weight are ambiguous.
 LEAST_SCORE = 0.5
+#: Near duplicates are what the registered fingerprint query links.
+SHINGLE_WORDS, MOST_BITS = 4, 4
 SURROGATE_KEY = "corpus pipeline"
 TOKENS = 2048
 
@@ -26,9 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles 0.8 similar): the first in the table."""
+    """One document of each group whose fingerprints of four-word shingles link at 4 or fewer bits: the first in the table."""
     numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
-    groups = neardup.near_components(numbered, "__uid", "text")
+    prints = stored(simhash.fingerprints(numbered, "__uid", "text", words=SHINGLE_WORDS))
+    groups = simhash.near_components(prints, ["f0"], radius=MOST_BITS, count=3)
     later = groups.where("key <> component").select(F.col("key").alias("__uid"))
     return numbered.join(later, "__uid", "left_anti").select(docs.columns)
 
