@@ -126,6 +126,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         langid.held_out(F.col("doc_id")).alias("held_out"),
         F.col("__lang").alias("lang_pred"),
         F.col("__score").alias("score"),
+        F.col("__lead").alias("lead"),
+        (F.col("__lead") < langid.LEAST_LEAD).alias("ambiguous"),
     )
 
 

@@ -65,3 +65,20 @@ def test_odd_rows_and_no_teacher(spark, docs, folder):
     nobody = [(i, "some text", None) for i in range(3)]
     assert {r["lang_pred"] for r in queries.op10_language(spark, folder(documents=docs(nobody))).collect()} == {"und"}
     assert queries.op10_language(spark, folder(documents=docs([]))).count() == 0
+
+
+def test_numerals_are_no_letters(spark, docs, folder):
+    rng = random.Random(4)
+    rows = [(i, sample("aa", rng), "aa") for i in range(40)] + [(100, "½ ② Ⅷ", None), (101, "٣٤ ¼²", None), (102, "½ a", None), (103, "一二 字", None)]
+    got = {r["doc_id"]: r for r in queries.op10_language(spark, folder(documents=docs(rows))).collect()}
+    assert [got[i]["lang_pred"] for i in (100, 101, 102, 103)] == ["und", "und", "aa", "aa"]
+    assert got[100]["score"] == got[101]["score"] == 0
+
+
+def test_ambiguity_is_flagged(spark, docs, folder):
+    rng = random.Random(5)
+    rows = [(i, sample(lang, rng), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    rows += [(1000 + i, sample("aa", rng, 40) + " " + sample("bb", rng, 40), None) for i in range(40)]
+    got = {r["doc_id"]: r for r in queries.op10_language(spark, folder(documents=docs(rows))).collect()}
+    assert all(r["ambiguous"] == (r["lead"] < langid.LEAST_LEAD) and 0 <= r["lead"] <= r["score"] for r in got.values())
+    assert not any(got[i]["ambiguous"] for i, *_ in rows[:180]) and any(got[i]["ambiguous"] for i in range(1000, 1040))
