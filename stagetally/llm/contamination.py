@@ -63,11 +63,16 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], shingle: int, permutations: int):
         self.shingle, self.factors = shingle, multipliers(permutations)
         self.ids, self.sets = [], []
+        # Items of fewer words than a shingle: by length, hash of the whole and words.
+        self.short: dict[int, dict[int, list[tuple[int, str]]]] = {}
         values: dict[int, list[tuple[np.ndarray, int]]] = {}
         hashes = _WordHashes()
         for item_id, text in items:
             words = words_of(text)
             runs = run_hashes(np.array([hashes[w] for w in words], np.uint64), shingle)
+            if words and not len(runs):
+                whole = int(run_hashes(np.array([hashes[w] for w in words], np.uint64), len(words))[0])
+                self.short.setdefault(len(words), {}).setdefault(whole, []).append((item_id, " ".join(words)))
             if len(runs):
                 size = 1 << max(0, len(runs) - 1).bit_length()
                 values.setdefault(size, []).append(((runs[None, :] * self.factors[:, None]).min(1), len(self.ids)))
@@ -109,6 +114,17 @@ class Index:
         return found
 
 
+    def short_items(self, words: list[str], hashed: np.ndarray) -> list[int]:
+        """Items of fewer words than a shingle that the words hold as a run, looked up by the runs of their length."""
+        out = []
+        for length, own in self.short.items():
+            runs = run_hashes(hashed, length)
+            for value in set(runs.tolist()) & own.keys():
+                held = {" ".join(words[i : i + length]) for i in np.flatnonzero(runs == np.uint64(value)).tolist()}
+                out += [item_id for item_id, text in own[value] if text in held]
+        return out
+
+
 def runs_of(words: list[str], shingle: int) -> Iterator[str]:
     return (" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1))
 
@@ -128,9 +144,10 @@ def with_hits(
     """``docs`` with a column ``__benchmark_hits``: ``array<struct<item_id, containment>>``, sorted by item.
 
     A hit is an item of whose distinct word shingles at least ``threshold``
-    occur in the document.  Items and documents of fewer words than a shingle
-    hit nothing, null texts and null item keys neither; repeated items count
-    once.  Rows, columns and order of ``docs`` stay.
+    occur in the document.  An item of fewer words than a shingle has its whole
+    word sequence as its only one, and hits where that occurs as it is.  Items
+    without words hit nothing, null texts and null item keys neither; repeated
+    items count once.  Rows, columns and order of ``docs`` stay.
 
     Items go to the executors in blocks of bounded size, each with a pass of
     its own over the documents; no row of ``docs`` is shuffled.
@@ -156,7 +173,8 @@ def _searched(docs: DataFrame, text: str, items, threshold: float, shingle: int,
         for batch in batches:
             hashes = _WordHashes()
             words = [words_of(t.as_py()) for t in batch.column(at)]
-            runs = [run_hashes(np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w)), shingle) for w in words]
+            hashed = [np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w)) for w in words]
+            runs = [run_hashes(h, shingle) for h in hashed]
             lengths = np.array([len(r) for r in runs], np.int64)
             pairs: dict[int, list[int]] = {}
             if runs and index.ids:
@@ -169,6 +187,8 @@ def _searched(docs: DataFrame, text: str, items, threshold: float, shingle: int,
                     share = len(index.sets[item] & own) / len(index.sets[item])
                     if share >= threshold:
                         hits[doc] = hits[doc] + [{"item_id": index.ids[item], "containment": share}]
+            for doc, own in enumerate(words if index.short else ()):
+                hits[doc] = hits[doc] + [{"item_id": i, "containment": 1.0} for i in index.short_items(own, hashed[doc])]
             columns = list(batch.columns)
             columns[hits_at] = pa.array(
                 [sorted(h, key=lambda x: (x["item_id"], x["containment"])) for h in hits], batch.schema.field(hits_at).type

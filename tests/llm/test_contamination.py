@@ -13,7 +13,11 @@ def shingles(text):
 def slow(docs, items):
     found = set()
     for (d, text), (i, item) in ((a, b) for a in docs for b in items):
-        own, wanted = shingles(text), shingles(item)
+        own, wanted, few = shingles(text), shingles(item), contamination.words_of(item)
+        if i is not None and few and not wanted:
+            words = contamination.words_of(text)
+            if any(words[k : k + len(few)] == few for k in range(len(words))):
+                found.add((d, i, 1.0))
         if i is not None and wanted and len(own & wanted) / len(wanted) >= 0.8:
             found.add((d, i, len(own & wanted) / len(wanted)))
     return found
@@ -55,6 +59,18 @@ def test_blocks_of_items_give_the_same(spark, docs):
     assert found == slow(rows, items)
 
 
+def test_items_of_few_words(spark, docs, folder):
+    rows, items = world(10)
+    rng = random.Random(1)
+    few = [(500 + i, " ".join(rng.choice(rows)[1].split()[k : k + 1 + i % 4]).upper() + "!") for i, k in enumerate(range(0, 60, 2))]
+    few += [(600, "beta gamma delta"), (601, "never there"), (602, "?!"), (603, "x")]
+    rows = rows + ODD + [(900, "alpha Beta, gamma delta"), (901, "beta gamma"), (902, "beta x gamma delta")]
+    bench = spark.createDataFrame(items + few, "item_id long, text string")
+    got = {tuple(r) for r in queries.op6_contamination(spark, folder(documents=docs(rows), benchmark=bench)).collect()}
+    assert got == slow([r for r in rows if r[1]], items + few)
+    assert (900, 600, 1.0) in got and not {(901, 600, 1.0), (902, 600, 1.0)} & got and any(i >= 500 for _, i, _ in got)
+
+
 def test_empty_tables(spark, docs, folder):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
