@@ -57,9 +57,9 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All places that repeat an earlier paragraph, line or longer sentence, merged."""
+    """All places that repeat an earlier paragraph, line or longer sentence, merged, and where the first copy begins."""
     return repeats.repeated_passages(table(spark, sf_dir, "documents"), "doc_id", "text").select(
-        F.col("rank").alias("doc_id"), "start", "end"
+        F.col("rank").alias("doc_id"), "start", "end", F.col("first_rank").alias("first_doc_id"), "first_start"
     )
 
 
@@ -118,7 +118,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of every document, learned from those not held out."""
+    """The language of every document, learned from those not held out, and whether another one is near."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(F.col("doc_id").isNotNull() & ~langid.held_out(F.col("doc_id"))), "text", "lang")
     return langid.identified(docs, "text", model).select(
@@ -154,8 +154,8 @@ QUERIES = {
     "op2_neighbours": op2_neighbours,
     "op3_pages": op3_pages,
     "op4_packing": op4_packing,
-    "op5_repeats": op5_repeats,
     "op5_passages": op5_passages,
+    "op5_repeats": op5_repeats,
     "op6_contamination": op6_contamination,
     "op7_resharding": op7_resharding,
     "op8_surrogates": op8_surrogates,

@@ -128,11 +128,16 @@ def deduplicated(docs: DataFrame, rank: str, text: str, unit: str = "sentence",
     ``kept`` is an array of ``struct<start, end>`` in code points of the
     original.  A null text stays null.
     """
-    cuts = (
-        repeated_units(docs, rank, text, unit, min_words)
-        .groupBy("uid")
-        .agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
-    )
+    return _cut(docs, rank, text, repeated_units(docs, rank, text, unit, min_words))
+
+
+def without_passages(docs: DataFrame, rank: str, text: str, levels: dict[str, int] | None = None) -> DataFrame:
+    """The same for the places of :func:`repeated_passages`: paragraphs, lines and sentences together."""
+    return _cut(docs, rank, text, repeated_passages(docs, rank, text, levels))
+
+
+def _cut(docs: DataFrame, rank: str, text: str, places: DataFrame) -> DataFrame:
+    cuts = places.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
     rows = docs.select(
         F.col(rank).cast("long").alias("rank"), F.monotonically_increasing_id().alias("uid"), F.col(text).cast("string").alias("text")
     ).join(cuts, "uid", "left")
@@ -158,13 +163,14 @@ def deduplicated(docs: DataFrame, rank: str, text: str, unit: str = "sentence",
 
 
 def repeated_passages(docs: DataFrame, rank: str, text: str, levels: dict[str, int] | None = None) -> DataFrame:
-    """``(rank, uid, start, end)``: the places to remove if paragraphs, lines and sentences are deduplicated together.
+    """``(rank, uid, start, end, first_rank, first_uid, first_start)``: the places to remove if paragraphs, lines and sentences are deduplicated together.
 
     Units are compared within their level, as in :func:`repeated_units`, and
-    the places found are merged where they overlap.  ``levels`` gives the
-    least number of words of each; by default lines and paragraphs of any
-    length count, and sentences of eight words or more, which find passages
-    that begin within a line.
+    the places found are merged where they overlap; a merged place names the
+    first copy of the longest unit that begins it.  ``levels`` gives the least
+    number of words of each; by default lines and paragraphs of any length
+    count, and sentences of eight words or more, which find passages that begin
+    within a line.
     """
     found = written(units_by_level(docs, rank, text, levels or {"paragraph": 1, "line": 1, "sentence": 8}), "units")
     first = (
@@ -176,24 +182,28 @@ def repeated_passages(docs: DataFrame, rank: str, text: str, levels: dict[str, i
         found.join(first.drop("n"), ["level", "d1", "d2"])
         .where(~F.struct("rank", "uid", "start").eqNullSafe(F.col("first")))
         .groupBy("rank", "uid")
-        .agg(F.collect_set(F.struct("start", "end")).alias("cuts"))
+        .agg(F.collect_set(F.struct("start", "end", "first")).alias("cuts"))
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, starts, ends = [], [], []
+            at, out = [], []
             for i, places in enumerate(batch.column(2).to_pylist()):
+                firsts: dict[int, tuple] = {}
+                for c in sorted(places, key=lambda c: (c["start"], -c["end"], c["first"]["uid"], c["first"]["start"])):
+                    firsts.setdefault(c["start"], (c["first"]["rank"], c["first"]["uid"], c["first"]["start"]))
                 for start, end in merged((c["start"], c["end"]) for c in places):
                     at.append(i)
-                    starts.append(start)
-                    ends.append(end)
+                    out.append((start, end, *firsts[start]))
             rows = pa.array(at, pa.int32())
+            columns = zip(*out) if out else ([],) * 5
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())],
-                ["rank", "uid", "start", "end"],
+                [batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                ["rank", "uid", "start", "end", "first_rank", "first_uid", "first_start"],
             )
 
-    return by_batches(cuts, work, "rank long, uid long, start int, end int")
+    return by_batches(cuts, work, "rank long, uid long, start int, end int, first_rank long, first_uid long, first_start int")
 
 
 def merged(places: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -95,3 +95,25 @@ def test_short_lines_and_lines_of_short_sentences_are_found(spark, docs, folder)
     got = queries.op5_passages(spark, folder(documents=docs(rows))).collect()
     text = rows[1][1]
     assert sorted(text[r["start"] : r["end"]] for r in got if r["doc_id"] == 2) == ["Share this", line] and len(got) == 2
+
+
+def test_merged_places_name_their_first_copy(spark, docs, folder):
+    line, sentence = "a line that both texts hold", "one two three four five six seven eight nine."
+    rows = [(1, f"x\n{line}\ny"), (2, f"{sentence} z"), (3, f"{line}\nq {sentence[:-1]}\n{sentence} w")]
+    got = sorted((r["doc_id"], r["start"], r["first_doc_id"], r["first_start"]) for r in queries.op5_passages(spark, folder(documents=docs(rows).coalesce(1))).collect())
+    text = rows[2][1]
+    assert got == [(3, 0, 1, 2), (3, text.index("\none") + 1, 2, 0)]
+
+
+def test_texts_without_passages_keep_their_places(spark, docs, folder):
+    rows = sorted(world(3) + [(r + 500, t) for r, t in world(3)] + ODD, key=str)
+    path = folder(documents=docs(rows).coalesce(1))
+    stored = spark.read.parquet(f"{path}/documents.parquet")
+    cuts = {}
+    for r in repeats.repeated_passages(stored, "doc_id", "text").collect():
+        cuts.setdefault(r["uid"], []).append((r["start"], r["end"]))
+    got = sorted(repeats.without_passages(stored, "doc_id", "text").collect(), key=lambda r: r["uid"])
+    assert len(got) == len(rows) and cuts
+    for r, (rank, text) in zip(got, rows):
+        want, kept = repeats.without(text, cuts.get(r["uid"], []))
+        assert (r["rank"], r["text"]) == (rank, want) and [(k["start"], k["end"]) for k in r["kept"]] == kept
