@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,16 @@ _MALE = r"(?:Mr\.?|Mister|Sir|Herrn?|Monsieur|Señor|Sr\.|Don|Господин|
 _FEMALE = r"(?:Mrs\.?|Ms\.?|Miss|Madam|Frau|Mme\.?|Madame|Mlle\.?|Señora|Señorita|Sra\.|Doña|Госпожа|г-жа)"
 _OTHER = r"(?:Dr\.?|Prof\.?|[Mm]y name is|[Ii]ch heiße|[Jj]e m['’]appelle|[Mm]e llamo)"
 
+_INITIAL = r"(?:\p{Lu}\.)++"
+_PARTICLE = r"(?:von|van|der|den|de|la|di|da|del|zu)"
+_TITLE = rf"(?:{_MALE}|{_FEMALE}|{_OTHER})\x20"
+#: All name words behind a title, with initials and particles between them; the last one is the family name.
+_PEOPLE = (
+    rf"(?:{_INITIAL}\x20?)*+{_NAME}"
+    rf"(?:\x20{_INITIAL}(?=\x20(?:{_PARTICLE}\x20)*+\p{{Lu}})|\x20(?:{_PARTICLE}\x20)*+{_NAME})*+"
+)
+_WORD = rf"{_INITIAL}|{_NAME}|\p{{Ll}}++"
+
 #: A digit of a phone number with what may stand before it; written out as Java wants to see the length of what it looks back at.
 _DIGIT = r"[\x20.()-]{0,2}[0-9]"
 
@@ -38,7 +49,7 @@ KINDS = (
         + rf"(?<=\+{_DIGIT * 7}{f'(?:{_DIGIT})?' * 8})"
         + r"|\([0-9]{2,4}\)[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _STOP,
     ),
-    ("person", rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_OTHER})\x20{_NAME}(?:\x20{_NAME})?"),
+    ("person", rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_PEOPLE}"),
 )
 _BY_KIND = {k: f"(?:{r})" for k, r in KINDS}
 # What a number or a title can begin with is tested first; that alone rules out most places of a text.
@@ -68,28 +79,43 @@ def digits_of(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
 
+def title_of(hit: Column) -> Column:
+    """The title with its space; empty for a name that stands alone."""
+    return F.regexp_extract(hit, rf"^({_TITLE})", 1)
+
+
+def words_of(hit: Column) -> Column:
+    """The words of a titled name: names, initials, particles."""
+    return F.regexp_extract_all(F.substr(hit, F.length(title_of(hit)) + 1), F.lit(_WORD), F.lit(0))
+
+
 def parts_of(hit: Column) -> Column:
     """``array<struct<kind, name>>``: what a hit names, in a form that does not depend on how it is written.
 
     Numbers go by their digits, mail addresses by lower case, account numbers
-    without spaces; a person's last word is the family name, one before it the
-    given name, whose kind tells the gender of the title.  Names carry their script.
+    without spaces.  A titled name has a part for each word: the last name word
+    is the family name, those before it are given names, whose kind tells the
+    gender of the title; names carry their script.  Initials and particles are
+    kinds of their own.
     """
     kind = kind_of(hit)
     gender = F.when(hit.rlike(rf"^{_MALE}\x20"), "m").when(hit.rlike(rf"^{_FEMALE}\x20"), "f").otherwise("n")
-    names = F.split(F.regexp_extract(hit, rf"({_NAME}(?:\x20{_NAME})?)$", 1), " ")
     script = lambda w: F.when(w.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(w.rlike(r"^\p{IsGreek}"), "greek").otherwise("latin")
 
     def pair(kind: Column, name: Column) -> Column:
         return F.struct(kind.alias("kind"), name.alias("name"))
 
-    words = F.transform(
-        names,
-        lambda w, i: pair(
-            F.concat_ws("_", F.when(i + 1 == F.size(names), F.lit("family")).otherwise(F.concat(F.lit("given_"), gender)), script(w)),
-            F.lower(w),
-        ),
-    )
+    def word(w: Column, i: Column, last: Column) -> Column:
+        of = F.when(i + 1 == last, F.concat(F.lit("family_"), script(w))).otherwise(
+            F.concat_ws("_", F.lit("given"), gender, script(w))
+        )
+        return (
+            F.when(w.rlike(rf"^{_INITIAL}$"), pair(F.lit("initial"), w))
+            .when(w.rlike(r"^\p{Ll}"), pair(F.lit("particle"), w))
+            .otherwise(pair(of, F.lower(w)))
+        )
+
+    words = bound(words_of(hit), lambda own: F.transform(own, lambda w, i: word(w, i, F.size(own))))
     plain = (
         F.when(kind == "email", F.lower(hit))
         .when(kind == "iban", F.replace(hit, F.lit(" "), F.lit("")))
@@ -100,6 +126,11 @@ def parts_of(hit: Column) -> Column:
     return F.when(kind == "person", words).otherwise(F.array(pair(kind, plain)))
 
 
+def named_parts(hit: Column) -> Column:
+    """The parts that have surrogates of their own to keep apart."""
+    return F.filter(parts_of(hit), lambda p: ~p["kind"].isin("initial", "particle"))
+
+
 def _byte(stream: Column, i: Column) -> Column:
     return F.conv(F.substr(stream, i * 2 % 128 + 1, F.lit(2)), 16, 10).cast("int")
 
@@ -205,8 +236,8 @@ def _email(address: Column, stream: Column, key: str, attempt: Column) -> Column
     )
 
 
-def _name(kind: Column, stream: Column) -> Column:
-    """Three or four syllables in the script, ending by gender."""
+def _name(kind: Column, stream: Column, attempt: Column) -> Column:
+    """Three or four syllables in the script, more in late attempts, ending by gender."""
 
     def of(script: str) -> Column:
         consonants, vowels, ends = _SOUNDS[script]
@@ -217,11 +248,27 @@ def _name(kind: Column, stream: Column) -> Column:
             .otherwise(F.concat(_drawn(stream, F.lit(21), consonants), _drawn(stream, F.lit(20), ends["n"])))
         )
         fourth = F.when(_byte(stream, F.lit(30)) % 2 == 0, syllables[3]).otherwise("")
-        return F.concat(*syllables[:3], fourth, gender)
+        more = F.transform(
+            F.sequence(F.lit(1), F.floor(attempt / GROWS).cast("int")),
+            lambda i: F.concat(_drawn(stream, i * 2 + 32, consonants), _drawn(stream, i * 2 + 33, vowels)),
+        )
+        longer = F.when(attempt >= GROWS, F.array_join(more, "")).otherwise("")
+        return F.concat(*syllables[:3], fourth, longer, gender)
 
     return F.when(kind.endswith("cyrillic"), of("cyrillic")).when(kind.endswith("greek"), of("greek")).otherwise(of("latin"))
 
 
+#: Capitals that may be initials, by script.
+_CAPITALS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
+
+
+def initials(word: Column, key: str) -> Column:
+    """Each letter moved on in its alphabet by a step that the key gives, so that different ones stay different."""
+    step = int.from_bytes(hashlib.sha256(f"initials{_SEP}{key}".encode()).digest()[:4], "big")
+    moved = "".join(a[1 + step % (len(a) - 1) :] + a[: 1 + step % (len(a) - 1)] for a in _CAPITALS)
+    return F.translate(word, "".join(_CAPITALS), moved)
+
+
 def surrogate(kind: Column, name: Column, key: str, attempt: Column) -> Column:
     """The keyed surrogate of a named thing; another attempt gives another one."""
 
@@ -237,7 +284,7 @@ def surrogate(kind: Column, name: Column, key: str, attempt: Column) -> Column:
             .when(kind == "ip", octets)
             .when(kind == "card", F.concat(_card(name, stream), longer))
             .when(kind.isin("phone", "ssn"), F.concat(_digits(name, stream), longer))
-            .otherwise(_name(kind, stream))
+            .otherwise(_name(kind, stream, attempt))
         )
 
     return bound(F.sha2(F.concat_ws(_SEP, F.lit(key), kind, name, attempt.cast("string")), 512), of)
@@ -273,10 +320,21 @@ def written_like(hit: Column, names: Column) -> Column:
         )
 
     kind, first = kind_of(hit), F.element_at(names, 1)
-    title = F.regexp_extract(hit, rf"^((?:{_MALE}|{_FEMALE}|{_OTHER})\x20)", 1)
-    old = F.split(F.substr(hit, F.length(title) + 1), " ")
-    people = F.array_join(
-        F.zip_with(names, old, lambda n, o: F.when((o == F.upper(o)) & (F.length(o) > 1), F.upper(n)).otherwise(F.initcap(n))), " "
+    title = title_of(hit)
+    rest = F.substr(hit, F.length(title) + 1)
+
+    def cased(new: Column, old: Column) -> Column:
+        return (
+            F.when(old.rlike(rf"^(?:{_INITIAL}|\p{{Ll}}.*)$"), new)
+            .when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new))
+            .otherwise(F.initcap(new))
+        )
+
+    people = F.concat(
+        F.array_join(
+            F.zip_with(F.split(rest, _WORD, -1), F.zip_with(names, words_of(hit), cased), lambda gap, n: F.concat(gap, F.coalesce(n, F.lit("")))),
+            "",
+        )
     )
     return (
         F.when(kind == "email", F.when(hit == F.upper(hit), F.upper(first)).otherwise(first))
@@ -325,27 +383,52 @@ def settled(named: DataFrame, key: str, rounds: int = 64) -> DataFrame:
     raise ValueError("a kind has more names than its format has surrogates")
 
 
+def _genders(named: DataFrame) -> DataFrame:
+    """``(kind, name, one)``: given names that stand behind titles of several genders, and the kind that all of them get.
+
+    A name behind titles of one gender and behind neutral ones has that
+    gender; one behind titles of both has none.
+    """
+    given = named.where(F.col("kind").startswith("given_")).select(
+        "name", F.split("kind", "_")[1].alias("gender"), F.split("kind", "_")[2].alias("script")
+    )
+    seen = given.groupBy("name", "script").agg(F.collect_set("gender").alias("genders")).where(F.size("genders") > 1)
+    has = lambda g: F.array_contains("genders", g)
+    gender = F.when(has("m") & ~has("f"), "m").when(has("f") & ~has("m"), "f").otherwise("n")
+    kind = lambda g: F.concat_ws("_", F.lit("given"), g, "script")
+    return seen.select("name", kind(gender).alias("one"), F.explode(F.transform("genders", kind)).alias("kind"))
+
+
 def with_surrogates(docs: DataFrame, text: str, key: str) -> DataFrame:
     """``docs`` with its text column rewritten and ``__entities`` (``array<struct<kind, start, end>>``) added.
 
     Mail addresses, phone, card, account and social security numbers, IP
     addresses and titled names are replaced by surrogates that depend on the
     key, the kind and the normal form alone: one thing has one surrogate in
-    all documents, two things have two.  Places are those of the original, in
+    all documents, two things have two.  All name words behind a title belong
+    to the name; where a document names a person with a title, the same name
+    words without one are replaced in it too.  A given name has one surrogate,
+    whatever titles it stands behind.  Places are those of the original, in
     code points, the end exclusive.  Other text stays as it is; a null text
     stays null and has no entity.  ``docs`` should be a stored table.
 
-    First attempts are computed in place.  Only if collisions made some name
-    take a later attempt, those names' surrogates are joined to the documents
-    that hold them; otherwise no document is shuffled.
+    First attempts are computed in place.  Only if collisions, or titles of
+    several genders, gave some name another surrogate, those are joined to the
+    documents that hold the names; otherwise no document is shuffled.
     """
     plain = docs.where(holds(F.col(text))).select(F.explode(found_in(F.col(text))).alias("hit"))
-    named = plain.distinct().select(F.explode(parts_of(F.col("hit"))).alias("p")).select("p.kind", "p.name")
-    later = settled(named, key).where("attempt > 0")
+    named = plain.distinct().select(F.explode(named_parts(F.col("hit"))).alias("p")).select("p.kind", "p.name")
+    named = stored(named.distinct())
+    genders = stored(_genders(named))
+    one = named.join(genders, ["kind", "name"], "left").select(F.coalesce("one", "kind").alias("kind"), "name")
+    final = settled(one, key)
+    later = final.where("attempt > 0").select("kind", "name", "surrogate")
+    moved = genders.where("kind <> one").join(final.withColumnRenamed("kind", "one"), ["one", "name"])
+    later = later.unionByName(moved.select("kind", "name", "surrogate"))
     if later.limit(1).count():
         numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
         held = numbered.where(holds(F.col(text))).select("__uid", F.explode(found_in(F.col(text))).alias("hit"))
-        held = held.select("__uid", F.explode(parts_of(F.col("hit"))).alias("p")).select("__uid", "p.kind", "p.name").distinct()
+        held = held.select("__uid", F.explode(named_parts(F.col("hit"))).alias("p")).select("__uid", "p.kind", "p.name").distinct()
         maps = (
             held.join(later, ["kind", "name"])
             .groupBy("__uid")
@@ -355,20 +438,48 @@ def with_surrogates(docs: DataFrame, text: str, key: str) -> DataFrame:
     else:
         docs = docs.withColumn("__later", F.lit(None).cast("map<string,string>"))
 
-    def replaced(hit: Column) -> Column:
-        names = F.transform(
-            parts_of(hit),
-            lambda p: F.coalesce(
-                F.try_element_at(F.col("__later"), F.concat_ws(_SEP, p["kind"], p["name"])),
-                surrogate(p["kind"], p["name"], key, F.lit(0)),
-            ),
+    source, people = F.col(text), F.col("__people")
+    titled = F.filter(found_in(source), lambda h: kind_of(h) == "person")
+    forms = F.filter(F.flatten(F.transform(titled, words_of)), lambda w: w.rlike(r"^\p{Lu}[^.]") & (F.length(w) > 1))
+    out = docs.withColumns(
+        {
+            "__people": F.when(source.rlike(PERSON), F.array_distinct(F.flatten(F.transform(titled, named_parts)))),
+            "__forms": F.when(source.rlike(PERSON), F.array_distinct(F.flatten(F.transform(forms, lambda w: F.array(w, F.upper(w)))))),
+        }
+    )
+    # Names hold letters, apostrophes and hyphens only, so they are patterns of themselves.
+    longest = F.array_sort("__forms", lambda a, b: F.length(b) - F.length(a))
+    own = F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    pattern = F.when(F.size("__forms") > 0, own)
+
+    def parts(hit: Column) -> Column:
+        """What a hit names; a name without a title is what the document's titled names say."""
+        alone = (kind_of(hit) == "person") & (title_of(hit) == "")
+        known = F.filter(people, lambda p: p["name"] == F.lower(hit))
+        return F.when(alone, F.slice(known, F.lit(1), F.lit(1))).otherwise(parts_of(hit))
+
+    def new_name(p: Column) -> Column:
+        return (
+            F.when(p["kind"] == "initial", initials(p["name"], key))
+            .when(p["kind"] == "particle", p["name"])
+            .otherwise(
+                F.coalesce(
+                    F.try_element_at(F.col("__later"), F.concat_ws(_SEP, p["kind"], p["name"])),
+                    surrogate(p["kind"], p["name"], key, F.lit(0)),
+                )
+            )
         )
-        return bound(names, lambda n: written_like(hit, n))
 
-    source = F.col(text)
+    def replaced(hit: Column) -> Column:
+        return bound(F.transform(parts(hit), new_name), lambda n: written_like(hit, n))
+
     hits, gaps = F.col("__hits"), F.col("__gaps")
-    out = docs.withColumn("__hits", F.coalesce(found_in(source), F.array().cast("array<string>")))
-    out = out.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(source, ANY, -1)))
+    out = out.withColumn("__own", pattern)
+    own = F.col("__own")
+    every = F.when(own.isNotNull(), F.regexp_extract_all(source, own, F.lit(0))).otherwise(found_in(source))
+    out = out.withColumn("__hits", F.coalesce(every, F.array().cast("array<string>")))
+    between = F.when(own.isNotNull(), F.split(source, own, -1)).otherwise(F.split(source, ANY, -1))
+    out = out.withColumn("__gaps", F.when(F.size("__hits") > 0, between))
     joined = F.concat(
         F.array_join(F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.concat(g, replaced(h))), ""),
         F.element_at(gaps, -1),
@@ -386,4 +497,4 @@ def with_surrogates(docs: DataFrame, text: str, key: str) -> DataFrame:
     has = F.size(hits) > 0
     return out.withColumns(
         {"__entities": F.when(has, spans).otherwise(none), text: F.when(has, joined).otherwise(source)}
-    ).drop("__hits", "__gaps", "__later")
+    ).drop("__hits", "__gaps", "__later", "__people", "__forms", "__own")

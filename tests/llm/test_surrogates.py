@@ -133,3 +133,59 @@ def test_exhausted_format_takes_longer_surrogates(spark):
     assert all(re.fullmatch(r"\+1\d{2}(\d{4})*", r["surrogate"]) for r in got)
     hit = spark.range(1).select(surrogates.written_like(F.lit("+1 555-0123"), F.array(F.lit("+198765432109"))).alias("t"))
     assert hit.first()["t"] == "+1 987-65432109"
+
+
+PEOPLE = [
+    "Mr. John Fitzgerald Kennedy spoke. Later John Kennedy left; KENNEDY said Fitzgerald's car, not Johnson or kennedy.",
+    "Mr. J. R. Smith and Mrs. Anna B. Smith; Smith wrote to Anna.",
+    "Dr. John Smith came. Herr Ludwig van Beethoven and Beethoven stayed.",
+    "John Smith is not named with a title here, nor Beethoven.",
+    "Dr. Robin Adams, Mrs. Robin Adams, Mr. Robin Adams; Prof. Kim Lee, Ms. Kim Lee.",
+    "Госпожа Анна Ивановна Петрова; Анна и Петрова.",
+]
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    df = spark.createDataFrame(list(enumerate(PEOPLE)), "doc_id long, text string")
+    return {r["doc_id"]: r for r in surrogates.with_surrogates(df, "text", "k3").collect()}
+
+
+def test_no_part_of_a_titled_name_stays(people):
+    for i, names in ((0, "John Fitzgerald Kennedy KENNEDY"), (1, "J. R. Smith Anna B."), (2, "John Smith Ludwig Beethoven"), (5, "Анна Ивановна Петрова")):
+        for name in names.split():
+            assert not re.search(rf"(?<!\w){re.escape(name)}(?!\w)", people[i]["text"]), (name, people[i]["text"])
+    assert "Johnson" in people[0]["text"] and people[0]["text"].endswith("kennedy.") and " van " in people[2]["text"]
+    assert people[3]["text"] == PEOPLE[3] and people[3][surrogates.ENTITIES] == []
+
+
+def test_one_name_has_one_surrogate_with_or_without_a_title(people):
+    words = lambda i: re.findall(r"\w+(?:\.|)", people[i]["text"])
+    first = re.match(r"Mr\. (\w+) (\w+) (\w+) spoke\. Later (\w+) (\w+) left; (\w+) said (\w+)'s car", people[0]["text"])
+    john, middle, family, john2, family2, family3, middle2 = first.groups()
+    assert (john2, family2, family3, middle2) == (john, family, family.upper(), middle) and len({john, middle, family}) == 3
+    second = re.match(r"Mr\. (\w)\. (\w)\. (\w+) and Mrs\. (\w+) (\w)\. (\w+); (\w+) wrote to (\w+)\.$", people[1]["text"])
+    j, r, smith, anna, b, smith2, smith3, anna2 = second.groups()
+    assert smith == smith2 == smith3 and anna == anna2 and j != "J" and len({j, r, b}) == 3
+    third = re.match(r"Dr\. (\w+) (\w+) came\. Herr (\w+) van (\w+) and (\w+) stayed\.$", people[2]["text"]).groups()
+    assert third[0] == john and third[1] == smith and third[3] == third[4]
+    assert words(5)
+
+
+def test_titles_of_several_genders_share_a_given_name(people):
+    found = re.match(r"Dr\. (\w+) (\w+), Mrs\. (\w+) (\w+), Mr\. (\w+) (\w+); Prof\. (\w+) (\w+), Ms\. (\w+) (\w+)\.$", people[4]["text"]).groups()
+    assert found[0] == found[2] == found[4] and found[1] == found[3] == found[5] and found[6] == found[8] and found[7] == found[9]
+    assert found[6].endswith("a")  # a female title and a neutral one
+
+
+def test_places_of_names(people):
+    for i, text in enumerate(PEOPLE):
+        for e in people[i][surrogates.ENTITIES]:
+            assert e["kind"] == "person" and text[e["start"] : e["end"]].strip() == text[e["start"] : e["end"]] != ""
+    own = [PEOPLE[0][e["start"] : e["end"]] for e in people[0][surrogates.ENTITIES]]
+    assert own == ["Mr. John Fitzgerald Kennedy", "John", "Kennedy", "KENNEDY", "Fitzgerald"]
+
+
+def test_crowded_names_take_longer_surrogates(spark):
+    values = spark.range(1).select(*[surrogates.surrogate(F.lit("family_latin"), F.lit("x"), "k", F.lit(a)).alias(f"a{a}") for a in (0, 6, 12)]).first()
+    assert len(values["a0"]) + 1 < len(values["a6"]) + 2 <= len(values["a12"]) + 2 and len({*values}) == 3
