@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def audit_parts(warehouse: Warehouse, tables: list[str]) -> DataFrame:
     known = {(r["table"], as_timestamp(r["id"])): r["value"] for r in state_rows}
     current = {(t, s): v for t in facts for s, v in states[t].items() if s is not None}
     kept = [k for k, v in current.items() if known.get(k) == v]
-    fresh = [cut_lineage(parts_of(t, warehouse.read(t))) for t in tables if t not in facts]
+    fresh = [parts_of(t, warehouse.read(t)) for t in tables if t not in facts]
     changed: dict[str, list] = {}
     for t, s in sorted(current.keys() - set(kept)):
         changed.setdefault(t, []).append(s)
@@ -57,24 +58,20 @@ def audit_parts(warehouse: Warehouse, tables: list[str]) -> DataFrame:
     for t in facts:
         whole = warehouse.read(t)
         if None in states[t]:
-            fresh.append(cut_lineage(parts_of(t, whole.filter(F.col("snapshot_id").isNull()))))
+            fresh.append(parts_of(t, whole.filter(F.col("snapshot_id").isNull())))
         if t in changed:
             new.append(parts_of(t, warehouse.read_snapshots(t, changed[t])))
     if new:
         marks = [(t, s, "state", "", current[t, s], 0) for t, ids in changed.items() for s in ids]
         new.append(literal_table(spark, marks, PARTS))
-        rows = new[0]
-        for df in new[1:]:
-            rows = rows.unionByName(df)
+        rows = reduce(DataFrame.unionByName, new)
         rows.hint("rebalance", "table", "snapshot_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "table", "snapshot_id"
         ).parquet(_path(warehouse))
     _remove(warehouse, known.keys() - current.keys())
     wanted = literal_table(spark, list(current), "table string, snapshot_id timestamp")
     out = _stored(warehouse).filter("kind <> 'state'").join(wanted, ["table", "snapshot_id"], "left_semi")
-    for df in fresh:
-        out = out.unionByName(df)
-    return out
+    return out.unionByName(cut_lineage(reduce(DataFrame.unionByName, fresh))) if fresh else out
 
 
 def _remove(warehouse: Warehouse, gone) -> None:

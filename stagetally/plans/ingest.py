@@ -102,8 +102,7 @@ def ingest_snapshot(
     with Load(warehouse) as load:
         registry_log.register_ingest_start(warehouse, snapshot, as_of, trigger, load.name)
         try:
-            for name, rows in facts.items():
-                load.stage(rows, name)
+            load.stage_all(facts)
             references = {
                 "owners": landing.read_owners(spark, paths["owners"]),
                 "deal_stage_reference": landing.flatten_deal_stages(

@@ -104,8 +104,7 @@ def migrate_snapshots(
     if dry_run:
         return migration_counts(mapped, target)
     with Load(target) as load:
-        for name, rows in mapped.items():
-            load.stage(rows, name)
+        load.stage_all(mapped)
         if rejected_path:
             for name in mapped:
                 rejected = load.rows(name).filter("snapshot_id IS NULL")

@@ -89,9 +89,8 @@ def score_snapshots(
         with Load(warehouse) as load:
             load.stage(_stamped(units, stamps), UNITS_TABLE)
             history = score_history(load.rows(UNITS_TABLE), F.lit(None).cast("timestamp"))
-            load.stage(_stamped(history, stamps), HISTORY_TABLE)
             attributed = attributed_units(load.rows(UNITS_TABLE), warehouse.read_snapshots("companies", ids), deals)
-            load.stage(owner_rows(attributed), OWNER_ROWS_TABLE)
+            load.stage_all({HISTORY_TABLE: _stamped(history, stamps), OWNER_ROWS_TABLE: owner_rows(attributed)})
             unit_rows, history_rows = load.counts(UNITS_TABLE, ids), load.counts(HISTORY_TABLE, ids)
             load.publish(ids)
     except Exception as error:

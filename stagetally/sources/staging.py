@@ -9,7 +9,8 @@ and removed without touching rows of others.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation
@@ -57,6 +58,16 @@ class Load:
         )
         self.observed[name] = seen.get
 
+    def stage_all(self, tables: Mapping[str, DataFrame]) -> None:
+        """Stage several tables at a time, so that the tail of one write does not leave the cluster idle.
+
+        All have ended, well or not, when this returns or raises.
+        """
+        with ThreadPoolExecutor(max(1, len(tables))) as pool:
+            running = [pool.submit(self.stage, df, name) for name, df in tables.items()]
+        for one in running:
+            one.result()
+
     def rows(self, name: str) -> DataFrame:
         """What is staged, before it is published."""
         return self.warehouse._read_at(self._path(name), name)
