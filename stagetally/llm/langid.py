@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import re
-import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,16 +20,14 @@ BUCKETS = 1 << 14
 LEAST_LEAD = 0.2
 
 
-@functools.cache
-def _other() -> re.Pattern:
-    """Runs of what is no letter; numerals like ½ and Ⅷ count as word characters to a pattern, but are none."""
-    numerals = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-    return re.compile(rf"[\W\d_{numerals}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
     """Counts of hashed byte pairs and triples of the letters, words parted by one space; None without letters."""
-    letters = _other().sub(" ", (text or "").lower()).strip()
+    letters = _OTHER.sub(" ", (text or "").lower()).strip()
+    if not letters.replace(" ", "").isalpha():  # numerals like ½ and Ⅷ count as word characters to the pattern
+        letters = " ".join("".join(c if c.isalpha() else " " for c in letters).split())
     if not letters:
         return None
     b = np.frombuffer(f" {letters} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
