@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import html as entities
+import math
 import re
-from bisect import bisect_left, bisect_right
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -239,83 +240,164 @@ def shape_of(root: Node) -> tuple[Shape, list[Shape]]:
     return below[id(root)], found
 
 
-#: Cells of all matching tables of one pair of trees; what lies beyond is matched by anchors.
-_CELLS = 200_000
+#: Matching tables with more cells are computed a row at a time in numpy; the result is the same.
+_CELLS = 10_000
 #: A pair of aligned nodes counts this much more than a pair with equal content.
 _PAIR = 1 << 32
 
 
-def _anchors(xs: list[Shape], ys: list[Shape]) -> list[tuple[Shape, Shape]]:
-    """A matching of long lists: children whose content both sides have once, in order, and between them equal symbols in order."""
-
-    def once(own: list[Shape]) -> dict[int, int]:
-        times = Counter(x.key for x in own)
-        return {x.key: i for i, x in enumerate(own) if times[x.key] == 1}
-
-    left, right = once(xs), once(ys)
-    tops: list[int] = []  # for every length, the pair that ends the best chain of that length
-    before: dict[tuple[int, int], tuple[int, int] | None] = {}
-    ends: list[tuple[int, int]] = []
-    for i, j in sorted((i, right[k]) for k, i in left.items() if k in right):
-        at = bisect_left(tops, j)
-        before[i, j] = ends[at - 1] if at else None
-        tops[at : at + 1], ends[at : at + 1] = [j], [(i, j)]
-    chain, last = [], ends[-1] if ends else None
-    while last:
-        chain.append(last)
-        last = before[last]
-    pairs, i, j = [], 0, 0
-    for a, b in [*reversed(chain), (len(xs), len(ys))]:
-        places: dict[str, list[int]] = {}
-        for q in range(j, b):
-            places.setdefault(ys[q].symbol, []).append(q)
-        low = j
-        for p in range(i, a):
-            own = places.get(xs[p].symbol, [])
-            at = bisect_left(own, low)
-            if at < len(own):
-                pairs.append((xs[p], ys[own[at]]))
-                low = own[at] + 1
-        if a < len(xs):
-            pairs.append((xs[a], ys[b]))
-        i, j = a + 1, b + 1
-    return pairs
+def _nodes(top: Shape) -> list[Shape]:
+    found, todo = [], [top]
+    while todo:
+        x = todo.pop()
+        found.append(x)
+        todo += reversed(x.children)
+    return found
+
+
+class _Wide:
+    """Two long lists of children, each known by its signs; gives the rows of their matching table."""
+
+    def __init__(self, matching: "Matching", xs: list[Shape], ys: list[Shape]):
+        self.matching, self.xs, self.ys = matching, xs, ys
+        self.kinds = list({matching.signs_a[x.number]: x for x in xs}.values())
+        signs = [matching.signs_b[y.number] for y in ys]
+        firsts = dict(zip(reversed(signs), reversed(ys)))
+        place = {sign: i for i, sign in enumerate(firsts)}
+        self.place = np.array([place[sign] for sign in signs])
+        self.forms: dict[str, dict[int, tuple[list[Shape], list[int]]]] = {}
+        for i, y in enumerate(firsts.values()):
+            members, at = self.forms.setdefault(y.symbol, {}).setdefault(y.form, ([], []))
+            members.append(y)
+            at.append(i)
+        self.keys = {
+            form: np.array([[z.key for z in _nodes(y)] for y in members], np.int64).T.copy()
+            for of_symbol in self.forms.values()
+            for form, (members, _) in of_symbol.items()
+        }
+        self.asked, self.kept = 0, {}
+
+    def missing(self) -> list[tuple[Shape, Shape]]:
+        """Pairs whose values are needed and not known yet, of one child at a time."""
+        while self.asked < len(self.kinds):
+            x = self.kinds[self.asked]
+            self.asked += 1
+            others = [m for f, (m, _) in self.forms.get(x.symbol, {}).items() if f != x.form]
+            found = [(x, y) for members in others for y in members if self.matching._known(x, y) is None]
+            if found:
+                return found
+        return []
+
+    def weights(self, x: Shape) -> np.ndarray:
+        """Values of ``x`` against each of the other list."""
+        sign = self.matching.signs_a[x.number]
+        if sign not in self.kept:
+            if len(self.kept) > 100:
+                self.kept.clear()
+            values = np.zeros(int(self.place.max(initial=-1)) + 1, np.int64)
+            for form, (members, at) in self.forms.get(x.symbol, {}).items():
+                if form == x.form:
+                    own = np.array([z.key for z in _nodes(x)], np.int64)
+                    values[at] = x.size * _PAIR + (self.keys[form] == own[:, None]).sum(axis=0)
+                else:
+                    values[at] = [self.matching._known(x, y) for y in members]
+            self.kept[sign] = values[self.place]
+        return self.kept[sign]
+
+    def rows(self, row: np.ndarray, low: int, high: int) -> Iterator[np.ndarray]:
+        """The table's rows after ``row``, which is that of the first ``low`` children."""
+        for x in self.xs[low:high]:
+            new = row.copy()
+            np.maximum(new[1:], row[:-1] + self.weights(x), out=new[1:])
+            row = np.maximum.accumulate(new)
+            yield row
+
+    def first(self) -> np.ndarray:
+        return np.zeros(len(self.ys) + 1, np.int64)
+
+    def value(self) -> int:
+        row = self.first()
+        for row in self.rows(row, 0, len(self.xs)):
+            pass
+        return int(row[-1])
+
+    def pairs(self) -> list[tuple[Shape, Shape]]:
+        """The aligned children; some rows are kept, and those between them computed again."""
+        step = math.isqrt(len(self.xs)) + 1
+        marks, row = [], self.first()
+        for low in range(0, len(self.xs), step):
+            marks.append((low, row))
+            for row in self.rows(row, low, low + step):
+                pass
+        out, j = [], len(self.ys)
+        for low, row in reversed(marks):
+            table = [row, *self.rows(row, low, low + step)]
+            i = len(table) - 1
+            while i and j:
+                if table[i][j] == table[i - 1][j]:
+                    i -= 1
+                elif table[i][j] == table[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((self.xs[low + i], self.ys[j]))
+        return out
 
 
 class Matching:
     """Simple tree matching of two trees: symbols equal, order and parents kept.
 
     It aligns as many nodes as it can, and of such alignments takes one with
-    the most nodes of equal content.  Trees of one form match node by node, and
-    equal children at both ends of a list each other, which never costs a pair;
-    what is between them is matched by a table.  The tables of one pair of trees have ``cells`` cells at most;
-    once that is spent, lists are matched by :func:`_anchors`, so that a page's
-    time grows with its size.
+    the most nodes of equal content, whatever the trees' sizes.  Trees of one
+    form match node by node, and equal children at both ends of a list each
+    other, which never costs a pair; what is between them is matched by a
+    table.  If a table is long, a value is computed once for all nodes of one
+    sign: those with equal content if the other tree has that content too,
+    otherwise those with equal symbols and signs of children.  Tables with more than ``cells`` cells
+    are computed by :class:`_Wide`, to the same result; a list's time grows
+    with the product of both lengths, its memory with their sum times the root
+    of one.
     """
 
     def __init__(self, a: Shape, b: Shape, cells: int = _CELLS):
-        self.top, self.left = (a, b), cells
+        self.top, self.cells = (a, b), cells
         self.plans: dict[tuple[int, int], tuple] = {}
         self.values: dict[tuple[int, int], int] = {}
+        self.signs_a, self.signs_b = {}, {}
         todo = [(a, b)]
         while todo:
             x, y = todo[-1]
             if self._known(x, y) is not None:
                 todo.pop()
                 continue
-            equal, xs, ys, fixed = self._plan(x, y)
-            needed = fixed if fixed is not None else [(p, q) for p in xs for q in ys]
-            needed = [pair for pair in needed if self._known(*pair) is None]
+            equal, xs, ys, wide = self._plan(x, y)
+            if wide is None:
+                needed = [(p, q) for p in xs for q in ys if self._known(p, q) is None]
+            else:
+                needed = wide.missing()
             if needed:
                 todo += needed
                 continue
             todo.pop()
             value = _PAIR + sum(p.size * (_PAIR + 1) for p, _ in equal)
-            if fixed is not None:
-                value += sum(self._known(*pair) for pair in fixed)
-            else:
-                value += self._rows(xs, ys)[-1][-1]
-            self.values[x.number, y.number] = value
+            value += wide.value() if wide is not None else self._rows(xs, ys)[-1][-1]
+            self.values[self._signs(x, y)] = value
+            if wide is not None:
+                del self.plans[x.number, y.number]
+
+    def _signs(self, x: Shape, y: Shape) -> tuple[int, int]:
+        return (self.signs_a[x.number], self.signs_b[y.number]) if self.signs_a else (x.number, y.number)
+
+    def _sign(self) -> None:
+        """From the first long table on, values go by signs; until then by the nodes themselves."""
+        left, right = map(_nodes, self.top)
+        common = {x.key for x in left} & {y.key for y in right}
+        signs: dict = {}
+        for nodes, own in ((left, self.signs_a), (right, self.signs_b)):
+            for x in reversed(nodes):
+                kind = x.key if x.key in common else (x.symbol, *[own[c.number] for c in x.children])
+                own[x.number] = signs.setdefault(kind, len(signs))
+        self.values = {(self.signs_a[i], self.signs_b[j]): value for (i, j), value in self.values.items()}
 
     def _known(self, x: Shape, y: Shape) -> int | None:
         if x.symbol != y.symbol:
@@ -324,9 +406,10 @@ class Matching:
             return x.size * (_PAIR + 1)
         if not x.children or not y.children:
             return _PAIR
-        value = self.values.get((x.number, y.number))
+        signs = self._signs(x, y)
+        value = self.values.get(signs)
         if value is None and x.form == y.form:
-            value = self.values[x.number, y.number] = self._in_step(x, y)
+            value = self.values[signs] = self._in_step(x, y)
         return value
 
     @staticmethod
@@ -353,12 +436,12 @@ class Matching:
                 tail += 1
             equal = [*zip(xs[:low], ys[:low]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]
             xs, ys = xs[low : len(xs) - tail], ys[low : len(ys) - tail]
-            fixed = None
-            if len(xs) * len(ys) > self.left:
-                fixed = _anchors(xs, ys)
-            else:
-                self.left -= len(xs) * len(ys)
-            plan = self.plans[x.number, y.number] = (equal, xs, ys, fixed)
+            wide = None
+            if len(xs) * len(ys) > self.cells:
+                if not self.signs_a:
+                    self._sign()
+                wide = _Wide(self, xs, ys)
+            plan = self.plans[x.number, y.number] = (equal, xs, ys, wide)
         return plan
 
     def _rows(self, xs: list[Shape], ys: list[Shape]) -> list[list[int]]:
@@ -390,10 +473,10 @@ class Matching:
                 continue
             if not x.children or not y.children:
                 continue
-            equal, xs, ys, fixed = self._plan(x, y)
+            equal, xs, ys, wide = self._plan(x, y)
             todo += equal
-            if fixed is not None:
-                todo += fixed
+            if wide is not None:
+                todo += wide.pairs()
                 continue
             rows, i, j = self._rows(xs, ys), len(xs), len(ys)
             while i and j:
@@ -695,7 +778,8 @@ def main_texts(
     URL, with a null key, or of hosts and layouts with few pages are read by
     element names and marks alone.  Repeated rows give equal rows; an empty
     table gives an empty result; other columns are ignored.  Pages may be of
-    any depth and length: reading one takes time in proportion to its size.
+    any depth and length; the time of an alignment grows with the product of the
+    lengths of lists that differ.
     """
     pages = table.select(
         F.col(key).cast("long").alias("page"), F.col(url).cast("string").alias("url"), F.col(source).cast("string").alias("html")

@@ -125,6 +125,35 @@ def test_anchors_give_an_alignment_when_tables_are_spent():
             assert len(pairs) == len(once[0])
 
 
+def test_the_size_of_a_list_does_not_change_its_alignment():
+    rng = random.Random(8)
+
+    def tree(depth, most):
+        tag = rng.choice(["div", "b", "i"])
+        return f"<{tag}>" + "".join(tree(depth - 1, 4) for _ in range(rng.randrange(most) if depth else 0)) + f"{rng.randrange(3)}</{tag}>"
+
+    for k in range(80):
+        trees = [pages.shape_of(pages.parse("<div>" + "".join(tree(2, 4) for _ in range(rng.randrange(12))) + "</div>"))[0] for _ in range(2)]
+        small, large = pages.Matching(*trees, cells=10**9), pages.Matching(*trees, cells=0)
+        assert small.size() == large.size()
+        assert small._known(*small.top) == large._known(*large.top)
+        assert sorted((x.number, y.number) for x, y in small.pairs()) == sorted((x.number, y.number) for x, y in large.pairs())
+    # Lists with more cells than were once allowed for a page, and no child that a side has once.
+    lists = ["".join(f"<{t}>{rng.randrange(9)}</{t}>" for t in rng.choices(["b", "i", "u"], k=n)) for n in (520, 500)]
+    trees = [pages.shape_of(pages.parse(f"<div>{x}</div>"))[0] for x in lists]
+    found = [sorted((x.number, y.number) for x, y in m.pairs()) for m in (pages.Matching(*trees), pages.Matching(*trees, cells=10**9))]
+    assert found[0] == found[1]
+
+
+def test_long_lists_of_different_lengths_take_seconds():
+    started = time.time()
+    rows = ["".join(f"<tr><td>{i * k % 977}</td><td><a>{i}</a>{'<b>x</b>' * (i % 500 == k)}</td></tr>" for i in range(n)) for k, n in ((3, 3_000), (5, 2_990))]
+    a, b = (pages.shape_of(pages.parse(f"<table>{r}</table>"))[0] for r in rows)
+    found = pages.Matching(a, b)
+    assert found.size() == len(found.pairs()) and found.size() >= b.size - 12
+    assert time.time() - started < 30
+
+
 def test_large_and_deep_pages_take_seconds():
     started = time.time()
     rows = ["".join(f"<tr><td>{i * k % 977}</td><td><a>{i}</a></td></tr>" for i in range(20_000)) for k in (3, 5)]
