@@ -19,43 +19,34 @@ def distinct_aggregate(
 
     A list is comma-joined; without a value it is NULL, of one empty text it is empty.  Putting
     ``collect_set`` next to ``count(DISTINCT)`` would keep set objects for every
-    distinct id.  Here each row is expanded to one row per counted or listed
-    column; a hash aggregate reduces those to distinct values (large groups
-    spread over their values, low-cardinality columns collapse before the
-    shuffle), a second one to counts and sums, and only the few remaining list
-    values are collected.
+    distinct id, and sums next to distinct ids would be carried by every one of
+    them.  Here sums are taken per combination of listed values, which mostly
+    collapse before the shuffle; each distinct column is reduced to its values
+    by itself (large groups spread over them), from the columns it needs, so
+    Spark leaves out left joins that only gave others; and the last aggregate
+    puts the few rows of each group together.
     """
-    columns = dict.fromkeys([*distinct.values(), *lists.values()])
-    items = {f"_i{i}": c for i, c in enumerate(columns)}
-    kind_of = {c: i for i, c in items.items()}
-    measures = {f"_m{i}": name for i, name in enumerate(sums)}
+    listed = {c: f"_l{i}" for i, c in enumerate(dict.fromkeys(lists.values()))}
+    counted = {c: f"_n{i}" for i, c in enumerate(dict.fromkeys(distinct.values()))}
+    measures = {name: f"_m{i}" for i, name in enumerate(sums)}
 
     rows = df.select(
         *keys,
-        *[sums[name].alias(m) for m, name in measures.items()],
-        *[F.col(c).cast("string").alias(i) for i, c in items.items()],
-    ).unpivot([*keys, *measures], list(items), "_kind", "_item")
-
-    # Sums ride on the rows of the first kind, of which each input row has one.
-    carrier = F.col("_kind") == next(iter(items))
-    values = rows.groupBy(*keys, "_kind", "_item").agg(
-        *[F.sum(F.when(carrier, F.col(m))).alias(m) for m in measures]
+        *[F.col(c).cast("string").alias(v) for c, v in listed.items()],
+        *[sums[name].alias(m) for name, m in measures.items()],
     )
-    listed = F.col("_kind").isin([kind_of[c] for c in lists.values()])
-    counts = values.groupBy(*keys, "_kind", F.when(listed, F.col("_item")).alias("_value")).agg(
-        F.count("_item").alias("_n"), *[F.sum(m).alias(m) for m in measures]
-    )
-
-    def counted(column: str) -> Column:
-        n = F.sum(F.when(F.col("_kind") == kind_of[column], F.col("_n")))
-        return F.coalesce(n, F.lit(0).cast("bigint"))
+    parts = rows.groupBy(*keys, *listed.values()).agg(*[F.sum(m).alias(m) for m in measures.values()])
+    for column, n in counted.items():
+        values = df.select(*keys, F.col(column).cast("string").alias("_value")).distinct()
+        values = values.groupBy(*keys).agg(F.count("_value").alias(n))
+        parts = parts.unionByName(values, allowMissingColumns=True)
 
     def joined(column: str) -> Column:
-        found = F.collect_list(F.when(F.col("_kind") == kind_of[column], F.col("_value")))
+        found = F.collect_set(listed[column])
         return F.when(F.size(found) > 0, F.array_join(F.sort_array(found), ","))
 
-    return counts.groupBy(*keys).agg(
+    return parts.groupBy(*keys).agg(
         *[joined(c).alias(name) for name, c in lists.items()],
-        *[counted(c).alias(name) for name, c in distinct.items()],
-        *[F.sum(m).alias(name) for m, name in measures.items()],
+        *[F.coalesce(F.sum(counted[c]), F.lit(0).cast("bigint")).alias(name) for name, c in distinct.items()],
+        *[F.sum(m).alias(name) for name, m in measures.items()],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,14 +37,7 @@ def route_events(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> Dat
     event = messages.select(parse_event(F.col("value")).alias("event"))
     kind = F.col("event.type")
     snapshot = F.col("event.data.snapshot_id")
-    readable = readable_snapshot_id(snapshot).isNotNull()
-    route = (
-        F.when(F.col("event").isNull(), "invalid")
-        .when(kind == event_type(RESCORE_ALL, namespace), "rescore_all")
-        .when((kind == event_type(SNAPSHOT_COMPLETED, namespace)) & readable, "score")
-        .when(kind == event_type(SNAPSHOT_COMPLETED, namespace), "invalid")
-        .otherwise("ignore")
-    )
+    route = _route(F.col("event"), namespace)
     announced = F.coalesce(count_total(F.col("event.data.data_tables")), F.lit(0).cast("bigint"))
     return event.select(
         route.alias("route"),
@@ -54,6 +47,25 @@ def route_events(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> Dat
     )
 
 
+def _route(event: Column, namespace: str) -> Column:
+    kind = event["type"]
+    readable = readable_snapshot_id(event["data"]["snapshot_id"]).isNotNull()
+    return (
+        F.when(event.isNull(), "invalid")
+        .when(kind == event_type(RESCORE_ALL, namespace), "rescore_all")
+        .when((kind == event_type(SNAPSHOT_COMPLETED, namespace)) & readable, "score")
+        .when(kind == event_type(SNAPSHOT_COMPLETED, namespace), "invalid")
+        .otherwise("ignore")
+    )
+
+
+def requests(messages: DataFrame, namespace: str = DEFAULT_NAMESPACE) -> DataFrame:
+    """The messages that ask for a scoring, unchanged; all others change nothing."""
+    # Over an array of one, so that a message is parsed once however often the rules name it.
+    asks = F.exists(F.array(parse_event(F.col("value"))), lambda event: _route(event, namespace).isin("score", "rescore_all"))
+    return messages.filter(asks)
+
+
 def deduplicated(messages: DataFrame, within: str) -> DataFrame:
     """A stream of messages without those that were delivered before, ``within`` that time.
 
@@ -107,11 +119,12 @@ def score_on_event(
     """Start the scoring stream; ``checkpoint`` keeps its place over restarts.
 
     A message that is delivered again within ``redelivered_within``, in the
-    same micro-batch or another, is scored once.
+    same micro-batch or another, is scored once.  Only messages that ask for a
+    scoring reach the stream's state.
     """
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     if redelivered_within:
-        messages = deduplicated(messages, redelivered_within)
+        messages = deduplicated(requests(messages, namespace), redelivered_within)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, number: handle_batch(batch, warehouse, namespace, f"stream {stream}, batch {number}")
     )

@@ -86,3 +86,13 @@ def test_a_failed_batch_is_scored_when_it_is_repeated(spark, scored):
     registry_log.register_scoring_completion(warehouse, S2, 0, AS_OF)
     rows = registry.scored_in_batch(warehouse.read("snapshot_registry"), "stream z, batch 1")
     assert [r["snapshot_id"].day for r in rows.collect()] == [8]
+
+
+def test_only_requests_reach_the_stream_state(spark, scored, tmp_path):
+    warehouse, runs = scored
+    put(tmp_path, "1.txt", message(S1), message(S1), "noise", *[message(S1, n, "crm.other") for n in range(20)], message("no id"))
+    source = streams.read_messages(spark, str(tmp_path / "in"))
+    stream = streams.score_on_event(source, warehouse, str(tmp_path / "ck"), available_now=True)
+    stream.awaitTermination()
+    assert runs == [[1]]
+    assert max(op["numRowsTotal"] for p in stream.recentProgress for op in p["stateOperators"]) == 1
