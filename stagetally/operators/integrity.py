@@ -282,8 +282,15 @@ def case_violation_count(tables: Tables) -> DataFrame:
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per unique key."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per unique key.
+
+    Keys are nearly all different, so a partial count before the shuffle would
+    only fill memory, and they compress so well that partitions merged by size
+    hold many millions of them.  The rows are dealt into the session's number
+    of shuffle partitions instead, which are not merged.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*keys).repartition(parts, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -100,3 +100,12 @@ def test_an_expected_table_that_is_absent_is_an_issue(spark, warehouse):
         warehouse.append_table(df, name)
     report = audit.integrity_audit(warehouse, None, AS_OF)
     assert report.issues.filter("issue_type = 'missing_table' AND table = 'deals'").count() == 1
+
+
+def test_key_counts_keep_the_number_of_partitions(spark):
+    """No partial count fills memory before the shuffle, and its partitions are not merged by their compressed size."""
+    df = spark.range(30).selectExpr("CAST(id % 7 AS STRING) AS company_id", "timestamp_seconds(id % 1) AS snapshot_id")
+    found = integrity.key_counts(df, ["company_id", "snapshot_id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert sorted((r["company_id"], r["n"]) for r in found.collect()) == [(str(i), 5 if i < 2 else 4) for i in range(7)]
