@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagetally.operators import registry
-from stagetally.operators.digest import digests
+from stagetally.operators.digest import digests, row_hash
 from stagetally.plans import ingest, migrate, registry_log, score
 from stagetally.session import literal_table
 from stagetally.sources.staging import Load
@@ -194,3 +194,12 @@ def test_gated_ingest(spark, warehouse, tmp_path):
     with pytest.raises(ValueError, match="nothing landed for owners, deal_stage_reference"):
         run_ingest(warehouse, landed(spark, tmp_path), "2025-07-01T00:00:00Z", gate=True)
     assert warehouse.tables() == []
+
+
+def test_digest_sums_are_taken_in_longs_and_exact(spark):
+    rows = spark.range(300).selectExpr("CAST(id AS STRING) AS x", "IF(id % 3 = 0, NULL, id) AS y")
+    found = digests(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(" not in plan
+    hashes = [r[0] for r in rows.select(row_hash(rows.columns)).collect()]
+    assert min(hashes) < 0 < max(hashes) and int(found.first()["hash_sum"]) == sum(hashes)
