@@ -218,7 +218,10 @@ class Bed:
 
     @cached_property
     def history(self) -> DataFrame:
-        return score_history(self.units, F.col("snapshot_id") + F.expr("INTERVAL '2' DAY"))
+        return self.scored(self.units)
+
+    def scored(self, units: DataFrame) -> DataFrame:
+        return score_history(units, F.col("snapshot_id") + F.expr("INTERVAL '2' DAY"))
 
     @property
     def audited(self) -> dict[str, DataFrame]:

@@ -201,11 +201,6 @@ def value_issues(tables: Tables, rules: Iterable[str] = tuple(VALUE_RULES)) -> D
 
 def value_issue_rows(counted: DataFrame, numbered: list[tuple], keys: DataFrame) -> DataFrame:
     """Issues from counts of offending values (number, value, n) of numbered rules, and the keys of referenced tables."""
-    names = literal_table(
-        SparkSession.getActiveSession(),
-        numbered,
-        "number string, rule string, table string, field string, target string",
-    )
     targets = {r[0]: r[4] for r in numbered if r[4]}
     if targets:
         # Values of the other rules have an empty target, so they pass the anti join.
@@ -213,13 +208,23 @@ def value_issue_rows(counted: DataFrame, numbered: list[tuple], keys: DataFrame)
         for number, name in targets.items():
             target = F.when(F.col("number") == number, name).otherwise(target)
         counted = counted.withColumn("target", target).join(keys, ["target", "value"], "left_anti")
+    return numbered_issue_rows(_with_samples(counted, ["number"]), numbered)
+
+
+def numbered_issue_rows(found: DataFrame, numbered: list[tuple]) -> DataFrame:
+    """Issues from totals and samples of numbered rules (number, count, sample_values)."""
+    names = literal_table(
+        SparkSession.getActiveSession(),
+        numbered,
+        "number string, rule string, table string, field string, target string",
+    )
     orphan = F.col("rule") == "orphaned_reference"
     text = (
         F.when(orphan, F.concat("field", F.lit(" values without a row in "), "target"))
         .when(F.col("rule") == "invalid_format", F.concat(F.lit("Not an e-mail address in "), "field"))
         .otherwise(F.concat("field", F.lit(" should be lower case")))
     )
-    return _rule_issues(_with_samples(counted, ["number"]).join(names, "number"), text)
+    return _rule_issues(found.join(names, "number"), text)
 
 
 def _present(rule: tuple, tables: Tables) -> tuple:

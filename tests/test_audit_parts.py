@@ -115,3 +115,23 @@ def test_few_tables_and_none(spark, warehouse):
     empty = Warehouse(spark, warehouse.root + "-none")
     assert audit.integrity_audit(warehouse, None, AS_OF, keep_parts=False).issues.count() > 0
     assert empty.tables() == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parts_keep_few_values_and_meet_once(spark, full):
+    """Only references and keys are kept whole, the registry's log is folded once, and references meet keys in one aggregate."""
+    rows = [company(f"n{i}", "lead", S4, owner_id=f"z{i:02}", proff_link=f"HTTP://{i:02}") for i in range(40)]
+    full.append_table(table(spark, "companies", rows), "companies")
+    full.append_table(table(spark, "deals", [deal(f"d{i}", f"gone{i:02}", "won", S4) for i in range(40)]), "deals")
+    check(full)
+    own = audit_store._stored(full).filter(F.col("snapshot_id") == F.lit(S4).cast("timestamp"))
+    links = own.filter("field = 'proff_link'").select("value", "n").collect()
+    assert {tuple(r) for r in links} == {(None, 40), *[(f"HTTP://{i:02}", 0) for i in range(5)]} and len(links) == 6
+    assert own.filter("field = 'owner_id' AND value LIKE 'z%'").count() == 40
+    registry = audit_parts.parts_of("snapshot_registry", full.read("snapshot_registry"))
+    assert plan_of(registry).count("Window [") == 1
+    merged = plan_of(audit_parts.merged_issues(audit_store._stored(full), full.tables()))
+    assert "LeftAnti" not in merged and merged.count("RepartitionByExpression") == 1
